@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from spindle import constants as C
 from spindle.functions.text import dataset_tag, ids_to_string
-from spindle.operators import codec
+from spindle.operators import codec, packing
 from spindle.sources import corpus
 
 # --- fixed values: parameters of the registered queries ----------------------
@@ -107,9 +107,98 @@ def q_encode_lines(spark, sf_dir):
                     ids_to_string("ids").alias("ids"))
 
 
+# ----------------------------------------------------------------- packing
+STEPS = C.STEPS_PER_EPOCH
+EPOCHS = 2
+SLIDE_SIZE, SLIDE_STRIDE = C.BLOCK_SIZE, C.BLOCK_SIZE // 2
+
+
+def stream_parts(spark, sf_dir):
+    e = encoded_docs(spark, sf_dir)
+    return packing.with_offsets(e), packing.stream_total(e)
+
+
+def _blocks_out(df, cols=("step", "row")):
+    return df.select(*[F.col(c).cast("bigint").alias(c) for c in cols],
+                     F.size("x").cast("bigint").alias("n"), ids_to_string("x").alias("x"))
+
+
+def q_token_offsets(spark, sf_dir):
+    wo, _ = stream_parts(spark, sf_dir)
+    return wo.select("doc_id", F.col("n").cast("bigint").alias("n_ids"), "offset")
+
+
+def q_concat_stream(spark, sf_dir):
+    wo, _ = stream_parts(spark, sf_dir)
+    return packing.token_stream(wo).withColumn("token_id", F.col("token_id").cast("bigint"))
+
+
+def q_pack_blocks(spark, sf_dir):
+    wo, _ = stream_parts(spark, sf_dir)
+    return _blocks_out(packing.pack_blocks(wo), ("block", "step", "row"))
+
+
+def q_reshape_rows(spark, sf_dir):
+    wo, _ = stream_parts(spark, sf_dir)
+    r = packing.reshape(packing.token_stream(wo))
+    return r.select("gpos", F.col("token_id").cast("bigint").alias("token_id"),
+                    F.col("step").cast("bigint").alias("step"), F.col("row").cast("bigint").alias("row"),
+                    F.col("col").cast("bigint").alias("col"))
+
+
+def q_drop_remainder(spark, sf_dir):
+    wo, tot = stream_parts(spark, sf_dir)
+    return _blocks_out(packing.full_batches(wo, tot))
+
+
+def q_pack_wrap(spark, sf_dir):
+    wo, tot = stream_parts(spark, sf_dir)
+    return _blocks_out(packing.pack_wrap(wo, tot, STEPS))
+
+
+def q_pack_carry(spark, sf_dir):
+    wo, tot = stream_parts(spark, sf_dir)
+    return _blocks_out(packing.pack_carry(wo, tot, STEPS))
+
+
+def q_steps_per_epoch(spark, sf_dir):
+    wo, tot = stream_parts(spark, sf_dir)
+    return _blocks_out(packing.limit_steps(packing.full_batches(wo, tot), STEPS))
+
+
+def q_epochs(spark, sf_dir):
+    wo, tot = stream_parts(spark, sf_dir)
+    ep = packing.with_epochs(packing.pack_wrap(wo, tot, STEPS), EPOCHS)
+    return _blocks_out(ep, ("epoch", "step", "row"))
+
+
+def q_training_pairs(spark, sf_dir):
+    wo, tot = stream_parts(spark, sf_dir)
+    tp = packing.training_pairs(wo, tot, shift=1)
+    return tp.select(F.col("step").cast("bigint").alias("step"), F.col("row").cast("bigint").alias("row"),
+                     ids_to_string("x").alias("x"), ids_to_string("y").alias("y"))
+
+
+def q_sliding_blocks(spark, sf_dir):
+    wo, tot = stream_parts(spark, sf_dir)
+    return _blocks_out(packing.sliding_blocks(wo, tot, SLIDE_SIZE, SLIDE_STRIDE), ("window",))
+
+
+def encoded_prompts(spark, sf_dir):
+    prompts = corpus.read_prompts(table(spark, sf_dir, "conversations"))
+    return codec.encode(prompts, vocab(spark, sf_dir), keys=("seq_id",))
+
+
+def q_truncate_context(spark, sf_dir):
+    ep = encoded_prompts(spark, sf_dir)
+    ctx = packing.tail_ids("ids", C.BLOCK_SIZE)
+    return ep.select("seq_id", F.size("ids").cast("bigint").alias("n_ids"),
+                     ids_to_string(ctx).alias("ctx"))
+
+
 def flagship(spark, sf_dir):
     """Minimum slice: documents -> pre-tokens -> vocab -> ids -> full batches."""
-    return q_encode(spark, sf_dir)
+    return q_drop_remainder(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -125,4 +214,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_seq": q_decode_seq,
     "token_counts": q_token_counts,
     "encode_lines": q_encode_lines,
+    "token_offsets": q_token_offsets,
+    "concat_stream": q_concat_stream,
+    "pack_blocks": q_pack_blocks,
+    "reshape_rows": q_reshape_rows,
+    "drop_remainder": q_drop_remainder,
+    "pack_wrap": q_pack_wrap,
+    "pack_carry": q_pack_carry,
+    "steps_per_epoch": q_steps_per_epoch,
+    "epochs": q_epochs,
+    "training_pairs": q_training_pairs,
+    "sliding_blocks": q_sliding_blocks,
+    "truncate_context": q_truncate_context,
 }

@@ -138,3 +138,120 @@ SELECT ln.doc_id, CAST(ln.line_no AS BIGINT) AS line_no,
        CAST(len(COALESCE(x.ids, [])) AS BIGINT) AS n_ids, array_to_string(COALESCE(x.ids, []), ' ') AS ids
 FROM ln LEFT JOIN (SELECT doc_id, line_no, flatten(list(ids ORDER BY pos)) AS ids FROM le GROUP BY 1, 2) x
   USING (doc_id, line_no)"""
+
+# ---------------------------------------------------------------- packing
+from spindle.plans.catalog import EPOCHS, SLIDE_SIZE, SLIDE_STRIDE, STEPS  # noqa: E402
+
+B, R = C.BLOCK_SIZE, C.BATCH_SIZE
+BR = B * R
+
+STREAM = f"""
+offs AS (
+  SELECT doc_id, CAST(len(ids) AS BIGINT) AS n,
+         CAST(COALESCE(sum(len(ids)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              AS BIGINT) AS "offset"
+  FROM ed
+),
+st AS (
+  SELECT s.doc_id, CAST(s.pos AS BIGINT) AS pos, CAST(o."offset" + s.pos AS BIGINT) AS gpos,
+         CAST(s.token_id AS BIGINT) AS token_id
+  FROM (SELECT doc_id, unnest(range(len(ids))) AS pos, unnest(ids) AS token_id FROM ed) s
+  JOIN offs o USING (doc_id)
+),
+tot AS (SELECT CAST(count(*) AS BIGINT) AS total FROM st),
+blk AS (
+  SELECT gpos // {B} AS block, list(token_id ORDER BY gpos) AS x FROM st GROUP BY 1
+),
+nfull AS (SELECT total // {BR} AS n_full FROM tot),
+fullb AS (
+  SELECT block // {R} AS step, block % {R} AS "row", x FROM blk, nfull WHERE block < n_full * {R}
+)"""
+
+PACK = CODEC + "," + STREAM
+
+
+def _bout(cols="step, \"row\"", src="fullb"):
+    return f"""
+SELECT {cols}, CAST(len(x) AS BIGINT) AS n, array_to_string(x, ' ') AS x FROM {src}"""
+
+
+SQL["token_offsets"] = PACK + """
+SELECT doc_id, n AS n_ids, "offset" FROM offs"""
+
+SQL["concat_stream"] = PACK + """
+SELECT doc_id, pos, gpos, token_id FROM st"""
+
+SQL["pack_blocks"] = PACK + f"""
+SELECT block, block // {R} AS step, block % {R} AS "row", CAST(len(x) AS BIGINT) AS n,
+       array_to_string(x, ' ') AS x FROM blk"""
+
+SQL["reshape_rows"] = PACK + f"""
+SELECT gpos, token_id, gpos // {BR} AS step, (gpos % {BR}) // {B} AS "row", gpos % {B} AS col FROM st"""
+
+SQL["drop_remainder"] = PACK + _bout()
+
+WRAP = f""",
+wrap AS (
+  SELECT CAST(r.k AS BIGINT) AS step, f."row", f.x
+  FROM range({STEPS}) r(k), nfull JOIN fullb f ON f.step = r.k % nfull.n_full
+)"""
+SQL["pack_wrap"] = PACK + WRAP + _bout(src="wrap")
+
+SQL["pack_carry"] = PACK + f""",
+rep AS (
+  SELECT st.gpos + p.pass * tot.total AS g, st.token_id
+  FROM st, tot, range(CAST(ceil({STEPS * BR} / tot.total) AS BIGINT)) p(pass)
+),
+carry AS (
+  SELECT (g // {B}) // {R} AS step, (g // {B}) % {R} AS "row", list(token_id ORDER BY g) AS x
+  FROM rep WHERE g < {STEPS * BR} GROUP BY 1, 2
+)""" + _bout(src="carry")
+
+SQL["steps_per_epoch"] = PACK + f""",
+capped AS (SELECT * FROM fullb WHERE step < {STEPS})""" + _bout(src="capped")
+
+SQL["epochs"] = PACK + WRAP + f""",
+epx AS (SELECT CAST(e.epoch AS BIGINT) AS epoch, w.* FROM range(1, {EPOCHS + 1}) e(epoch), wrap w)""" + \
+    _bout('epoch, step, "row"', "ep")
+
+SQL["training_pairs"] = PACK + f""",
+nb AS (SELECT ((total - 1) // {BR}) * {R} AS nb FROM tot),
+xb AS (SELECT gpos // {B} AS block, list(token_id ORDER BY gpos) AS x FROM st, nb
+       WHERE gpos < nb.nb * {B} GROUP BY 1),
+yb AS (SELECT (gpos - 1) // {B} AS block, list(token_id ORDER BY gpos) AS y FROM st, nb
+       WHERE gpos >= 1 AND gpos - 1 < nb.nb * {B} GROUP BY 1)
+SELECT xb.block // {R} AS step, xb.block % {R} AS "row",
+       array_to_string(x, ' ') AS x, array_to_string(y, ' ') AS y
+FROM xb JOIN yb USING (block)"""
+
+SQL["sliding_blocks"] = PACK + f""",
+win AS (
+  SELECT w AS "window", list(token_id ORDER BY gpos) AS x
+  FROM (SELECT st.gpos, st.token_id,
+               unnest(range(greatest(0, CAST(ceil((st.gpos - {SLIDE_SIZE - 1}) / {SLIDE_STRIDE}) AS BIGINT)),
+                            least(st.gpos // {SLIDE_STRIDE}, (tot.total - {SLIDE_SIZE}) // {SLIDE_STRIDE}) + 1))
+                 AS w
+        FROM st, tot)
+  GROUP BY 1
+)""" + _bout('"window"', "win")
+
+PROMPT_CODEC = with_ctes(PRETOKENS, VOCAB) + f""",
+pr AS (SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS seq_id, text FROM conversations WHERE role = 'user'),
+ppt AS (
+  SELECT seq_id, unnest(range(len(toks))) AS pos, unnest(toks) AS token
+  FROM (SELECT seq_id, regexp_extract_all(text, '{P}') AS toks FROM pr)
+),
+pep AS (
+  SELECT ppt.seq_id, ppt.pos,
+         CASE WHEN vw.token_id IS NOT NULL THEN [vw.token_id] ELSE {_byte_ids('ppt.token')} END AS ids
+  FROM ppt LEFT JOIN vw ON ppt.token = vw.token
+),
+pe AS (
+  SELECT pr.seq_id, COALESCE(x.ids, []) AS ids
+  FROM pr LEFT JOIN (SELECT seq_id, flatten(list(ids ORDER BY pos)) AS ids FROM pep GROUP BY 1) x USING (seq_id)
+)"""
+
+SQL["truncate_context"] = PROMPT_CODEC + f"""
+SELECT seq_id, CAST(len(ids) AS BIGINT) AS n_ids,
+       array_to_string(CASE WHEN len(ids) > {B} THEN ids[len(ids) - {B} + 1:] ELSE ids END, ' ') AS ctx
+FROM pe"""
