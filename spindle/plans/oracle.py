@@ -212,7 +212,7 @@ capped AS (SELECT * FROM fullb WHERE step < {STEPS})""" + _bout(src="capped")
 
 SQL["epochs"] = PACK + WRAP + f""",
 epx AS (SELECT CAST(e.epoch AS BIGINT) AS epoch, w.* FROM range(1, {EPOCHS + 1}) e(epoch), wrap w)""" + \
-    _bout('epoch, step, "row"', "ep")
+    _bout('epoch, step, "row"', "epx")
 
 SQL["training_pairs"] = PACK + f""",
 nb AS (SELECT ((total - 1) // {BR}) * {R} AS nb FROM tot),
