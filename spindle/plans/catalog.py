@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from spindle import constants as C
 from spindle.functions.text import dataset_tag, ids_to_string
-from spindle.operators import codec, packing
+from spindle.operators import blocklist, codec, packing, scoring
 from spindle.sources import corpus
 
 # --- fixed values: parameters of the registered queries ----------------------
@@ -196,6 +196,152 @@ def q_truncate_context(spark, sf_dir):
                      ids_to_string(ctx).alias("ctx"))
 
 
+# ----------------------------------------------------------------- blocklist
+def blocklist_words(spark) -> DataFrame:
+    return spark.createDataFrame([(w,) for w in BLOCKLIST_WORDS], "word string")
+
+
+def q_blocked_token_ids(spark, sf_dir):
+    v = vocab(spark, sf_dir)
+    b = blocklist.blocked_token_ids(v.df, blocklist_words(spark))
+    return b.select(F.col("token_id").cast("bigint").alias("token_id"), "token")
+
+
+def q_blocked_rate(spark, sf_dir):
+    pre = codec.explode_pretokens(documents(spark, sf_dir))
+    r = blocklist.blocked_rate(pre, blocklist_words(spark))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("bigint").alias("toxic"))
+    return r.join(labels, "doc_id", "left")
+
+
+# ----------------------------------------------------------------- score chain
+# Scores without a model: ``embeddings`` as (seq_id, token_id, score); history
+# ids[i] = (vec_id + i % 3) % 64 for i = 0..7.
+FIXTURE_BLOCKED = (5, 21, 37, 53)
+TOP_P_FIXTURE = 0.9
+SEED = 42
+FIXTURE_EOS = 0
+
+
+def fixture_scores(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    return (e.select(F.col("vec_id").cast("bigint").alias("seq_id"),
+                     F.posexplode("embedding").alias("token_id", "v"))
+             .select("seq_id", F.col("token_id").cast("int").alias("token_id"),
+                     (F.col("v").cast("double") * 10).alias("score")))
+
+
+def fixture_seqs(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    ids = F.transform(F.sequence(F.lit(0), F.lit(7)),
+                      lambda i: ((F.col("vec_id") + i % 3) % 64).cast("int"))
+    return e.select(F.col("vec_id").cast("bigint").alias("seq_id"), ids.alias("ids"))
+
+
+def fixture_blocked(spark) -> DataFrame:
+    return spark.createDataFrame([(i,) for i in FIXTURE_BLOCKED], "token_id int")
+
+
+def _chain(spark, sf_dir, upto: str) -> DataFrame:
+    seqs = fixture_seqs(spark, sf_dir)
+    s = scoring.temperature(fixture_scores(spark, sf_dir), C.TEMPERATURE)
+    if upto == "temperature":
+        return s
+    s = blocklist.mask_blocked(s, fixture_blocked(spark))
+    if upto == "mask_blocked":
+        return s
+    s = scoring.no_repeat_ngram(s, seqs, C.NO_REPEAT_NGRAM)
+    if upto == "no_repeat_ngram":
+        return s
+    s = scoring.repetition_penalty(s, seqs, C.REPETITION_PENALTY)
+    if upto == "repetition_penalty":
+        return s
+    s = scoring.softmax(s)
+    if upto == "softmax":
+        return s
+    return scoring.suppress_last(s, seqs)
+
+
+def _score_out(df):
+    return df.select("seq_id", F.col("token_id").cast("bigint").alias("token_id"),
+                     F.round("score", 6).alias("score"))
+
+
+def _prob_out(df, rank=False):
+    cols = ["seq_id", F.col("token_id").cast("bigint").alias("token_id")]
+    if rank:
+        cols.append(F.col("rank").cast("bigint").alias("rank"))
+    return df.select(*cols, F.round("p", 6).alias("p"))
+
+
+def q_temperature(spark, sf_dir):
+    return _score_out(_chain(spark, sf_dir, "temperature"))
+
+
+def q_mask_blocked(spark, sf_dir):
+    return _score_out(_chain(spark, sf_dir, "mask_blocked"))
+
+
+def q_no_repeat_ngram(spark, sf_dir):
+    return _score_out(_chain(spark, sf_dir, "no_repeat_ngram"))
+
+
+def q_repetition_penalty(spark, sf_dir):
+    return _score_out(_chain(spark, sf_dir, "repetition_penalty"))
+
+
+def q_softmax(spark, sf_dir):
+    return _prob_out(_chain(spark, sf_dir, "softmax"))
+
+
+def q_suppress_last(spark, sf_dir):
+    return _prob_out(_chain(spark, sf_dir, "suppress_last"))
+
+
+def q_top_k(spark, sf_dir):
+    return _prob_out(scoring.top_k(_chain(spark, sf_dir, "suppress_last"), C.TOP_K), rank=True)
+
+
+def q_top_p(spark, sf_dir):
+    return _prob_out(scoring.top_p(_chain(spark, sf_dir, "suppress_last"), TOP_P_FIXTURE), rank=True)
+
+
+def q_greedy(spark, sf_dir):
+    g = scoring.greedy(_chain(spark, sf_dir, "suppress_last"))
+    return g.select("seq_id", F.col("token_id").cast("bigint").alias("token_id"))
+
+
+def _drawn(spark, sf_dir):
+    kept = scoring.top_k(_chain(spark, sf_dir, "suppress_last"), C.TOP_K)
+    return scoring.sample(kept, SEED, 0)
+
+
+def q_sample_token(spark, sf_dir):
+    d = _drawn(spark, sf_dir)
+    return d.select("seq_id", F.col("token_id").cast("bigint").alias("token_id"),
+                    F.round("u", 12).alias("u"))
+
+
+def q_append_token(spark, sf_dir):
+    a = scoring.append_token(fixture_seqs(spark, sf_dir), _drawn(spark, sf_dir))
+    return a.select("seq_id", F.size("ids").cast("bigint").alias("n_ids"), ids_to_string("ids").alias("ids"))
+
+
+def q_stop_rule(spark, sf_dir):
+    d = _drawn(spark, sf_dir)
+    reason = scoring.stop_flags(F.col("token_id"), F.lit(1), FIXTURE_EOS, C.MAX_NEW_TOKENS)
+    return d.select("seq_id", F.col("token_id").cast("bigint").alias("token_id"), reason.alias("reason"))
+
+
+def q_processor_chain(spark, sf_dir):
+    seqs = fixture_seqs(spark, sf_dir)
+    procs = [lambda d: scoring.no_repeat_ngram(d, seqs, C.NO_REPEAT_NGRAM),
+             lambda d: scoring.repetition_penalty(d, seqs, C.REPETITION_PENALTY)]
+    kept = scoring.processor_chain(fixture_scores(spark, sf_dir), seqs, fixture_blocked(spark),
+                                   t=C.TEMPERATURE, k=C.TOP_K, p=None, processors=procs)
+    return _prob_out(kept, rank=True)
+
+
 def flagship(spark, sf_dir):
     """Minimum slice: documents -> pre-tokens -> vocab -> ids -> full batches."""
     return q_drop_remainder(spark, sf_dir)
@@ -226,4 +372,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "training_pairs": q_training_pairs,
     "sliding_blocks": q_sliding_blocks,
     "truncate_context": q_truncate_context,
+    "blocked_token_ids": q_blocked_token_ids,
+    "blocked_rate": q_blocked_rate,
+    "temperature": q_temperature,
+    "mask_blocked": q_mask_blocked,
+    "no_repeat_ngram": q_no_repeat_ngram,
+    "repetition_penalty": q_repetition_penalty,
+    "softmax": q_softmax,
+    "suppress_last": q_suppress_last,
+    "top_k": q_top_k,
+    "top_p": q_top_p,
+    "greedy": q_greedy,
+    "sample_token": q_sample_token,
+    "append_token": q_append_token,
+    "stop_rule": q_stop_rule,
+    "processor_chain": q_processor_chain,
 }

@@ -255,3 +255,104 @@ SQL["truncate_context"] = PROMPT_CODEC + f"""
 SELECT seq_id, CAST(len(ids) AS BIGINT) AS n_ids,
        array_to_string(CASE WHEN len(ids) > {B} THEN ids[len(ids) - {B} + 1:] ELSE ids END, ' ') AS ctx
 FROM pe"""
+
+# ---------------------------------------------------------------- blocklist
+from spindle.plans.catalog import (FIXTURE_BLOCKED, FIXTURE_EOS, SEED,  # noqa: E402
+                                   TOP_P_FIXTURE)
+
+_words = ", ".join(f"('{w}')" for w in BLOCKLIST_WORDS)
+BL = f"""
+bl AS (SELECT DISTINCT lower(word) AS word FROM (VALUES {_words}) t(word)
+       WHERE word IS NOT NULL AND length(word) > 0)"""
+
+SQL["blocked_token_ids"] = with_ctes(PRETOKENS, VOCAB, BL) + """
+SELECT token_id, token FROM vocab v
+WHERE EXISTS (SELECT 1 FROM bl WHERE contains(regexp_replace(lower(v.token), '^\\s+', ''), bl.word))"""
+
+SQL["blocked_rate"] = with_ctes(PRETOKENS, BL) + """,
+bt AS (SELECT token FROM (SELECT DISTINCT token FROM pt) d
+       WHERE EXISTS (SELECT 1 FROM bl WHERE contains(regexp_replace(lower(d.token), '^\\s+', ''), bl.word)))
+SELECT pt.doc_id, CAST(count(*) AS BIGINT) AS n_pretokens,
+       CAST(count(bt.token) AS BIGINT) AS n_blocked,
+       round(count(bt.token) / count(*), 6) AS blocked_rate,
+       CAST(any_value(l.toxic) AS BIGINT) AS toxic
+FROM pt LEFT JOIN bt USING (token) LEFT JOIN labels l ON l.doc_id = pt.doc_id
+GROUP BY pt.doc_id"""
+
+# ---------------------------------------------------------------- score chain
+_blocked = ", ".join(str(i) for i in FIXTURE_BLOCKED)
+NEG = "CAST('-inf' AS DOUBLE)"
+CHAIN = f"""
+WITH sc0 AS (
+  SELECT CAST(vec_id AS BIGINT) AS seq_id, CAST(unnest(range(len(embedding))) AS BIGINT) AS token_id,
+         CAST(unnest(embedding) AS DOUBLE) * 10 AS score
+  FROM embeddings
+),
+sq AS (
+  SELECT CAST(vec_id AS BIGINT) AS seq_id, list_transform(range(8), lambda i: (vec_id + i % 3) % 64) AS ids
+  FROM embeddings
+),
+bans AS (
+  SELECT DISTINCT seq_id, g[3] AS token_id
+  FROM (SELECT seq_id, ids, unnest(list_transform(range(len(ids) - 2), lambda i: ids[i + 1:i + 3])) AS g FROM sq)
+  WHERE g[1:2] = ids[-2:]
+),
+s_temp AS (SELECT seq_id, token_id, score / {C.TEMPERATURE} AS score FROM sc0),
+s_mask AS (SELECT seq_id, token_id, CASE WHEN token_id IN ({_blocked}) THEN {NEG} ELSE score END AS score
+           FROM s_temp),
+s_ngram AS (SELECT s.seq_id, s.token_id, CASE WHEN b.token_id IS NOT NULL THEN {NEG} ELSE s.score END AS score
+            FROM s_mask s LEFT JOIN bans b USING (seq_id, token_id)),
+s_pen AS (SELECT s.seq_id, s.token_id,
+                 CASE WHEN list_contains(q.ids, s.token_id)
+                      THEN CASE WHEN s.score < 0 THEN s.score * {C.REPETITION_PENALTY}
+                                ELSE s.score / {C.REPETITION_PENALTY} END
+                      ELSE s.score END AS score
+          FROM s_ngram s JOIN sq q USING (seq_id)),
+s_soft AS (
+  SELECT seq_id, token_id, e / sum(e) OVER (PARTITION BY seq_id) AS p
+  FROM (SELECT seq_id, token_id,
+               CASE WHEN max(score) OVER (PARTITION BY seq_id) = {NEG} THEN 0.0
+                    ELSE exp(score - max(score) OVER (PARTITION BY seq_id)) END AS e
+        FROM s_pen)
+),
+s_sup0 AS (SELECT s.seq_id, s.token_id, CASE WHEN s.token_id = q.ids[-1] THEN 0.0 ELSE s.p END AS p
+           FROM s_soft s JOIN sq q USING (seq_id)),
+s_sup AS (SELECT seq_id, token_id, p / sum(p) OVER (PARTITION BY seq_id) AS p FROM s_sup0),
+s_rank AS (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY p DESC, token_id) AS rank,
+                  sum(p) OVER (PARTITION BY seq_id ORDER BY p DESC, token_id
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+           FROM s_sup),
+s_topk AS (SELECT seq_id, token_id, rank, p / sum(p) OVER (PARTITION BY seq_id) AS p FROM s_rank
+           WHERE rank <= {C.TOP_K}),
+s_topp AS (SELECT seq_id, token_id, rank, p / sum(p) OVER (PARTITION BY seq_id) AS p FROM s_rank
+           WHERE cum <= {TOP_P_FIXTURE} OR rank = 1),
+s_draw AS (
+  SELECT seq_id,
+         COALESCE(arg_min(token_id, rank) FILTER (WHERE cum > u), arg_max(token_id, rank)) AS token_id,
+         any_value(u) AS u
+  FROM (SELECT *, sum(p) OVER (PARTITION BY seq_id ORDER BY p DESC, token_id
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+               CAST(('0x' || substr(md5(concat_ws('|', {SEED}, seq_id, 0)), 1, 13)) AS BIGINT)
+                 / 4503599627370496.0 AS u
+        FROM s_topk)
+  GROUP BY seq_id
+)"""
+
+SQL["temperature"] = CHAIN + "\nSELECT seq_id, token_id, round(score, 6) AS score FROM s_temp"
+SQL["mask_blocked"] = CHAIN + "\nSELECT seq_id, token_id, round(score, 6) AS score FROM s_mask"
+SQL["no_repeat_ngram"] = CHAIN + "\nSELECT seq_id, token_id, round(score, 6) AS score FROM s_ngram"
+SQL["repetition_penalty"] = CHAIN + "\nSELECT seq_id, token_id, round(score, 6) AS score FROM s_pen"
+SQL["softmax"] = CHAIN + "\nSELECT seq_id, token_id, round(p, 6) AS p FROM s_soft"
+SQL["suppress_last"] = CHAIN + "\nSELECT seq_id, token_id, round(p, 6) AS p FROM s_sup"
+SQL["top_k"] = CHAIN + "\nSELECT seq_id, token_id, rank, round(p, 6) AS p FROM s_topk"
+SQL["top_p"] = CHAIN + "\nSELECT seq_id, token_id, rank, round(p, 6) AS p FROM s_topp"
+SQL["greedy"] = CHAIN + "\nSELECT seq_id, token_id FROM s_rank WHERE rank = 1"
+SQL["sample_token"] = CHAIN + "\nSELECT seq_id, token_id, round(u, 12) AS u FROM s_draw"
+SQL["append_token"] = CHAIN + """
+SELECT q.seq_id, CAST(len(q.ids) + 1 AS BIGINT) AS n_ids, array_to_string(list_append(q.ids, d.token_id), ' ') AS ids
+FROM sq q JOIN s_draw d USING (seq_id)"""
+SQL["stop_rule"] = CHAIN + f"""
+SELECT seq_id, token_id,
+       CASE WHEN token_id = {FIXTURE_EOS} THEN 'eos' WHEN 1 >= {C.MAX_NEW_TOKENS} THEN 'max_new' END AS reason
+FROM s_draw"""
+SQL["processor_chain"] = SQL["top_k"]
