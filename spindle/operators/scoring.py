@@ -26,9 +26,16 @@ from spindle.functions.text import md5_uniform
 
 NEG_INF = float("-inf")
 
-_seq = Window.partitionBy("seq_id")
-_ranked = Window.partitionBy("seq_id").orderBy(F.desc("p"), F.asc("token_id"))
-_running = _ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _seq():
+    return Window.partitionBy("seq_id")
+
+
+def _ranked():
+    return Window.partitionBy("seq_id").orderBy(F.desc("p"), F.asc("token_id"))
+
+
+def _running():
+    return _ranked().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 # ------------------------------------------------------- per-sequence history
@@ -76,11 +83,15 @@ def temperature(scores: DataFrame, t: float = C.TEMPERATURE) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- N2
+def ban(scores: DataFrame, flag: Column) -> DataFrame:
+    """Rule of N2 (and B3): a flagged id gets score -inf."""
+    return scores.withColumn("score", F.when(flag, F.lit(NEG_INF)).otherwise(F.col("score")))
+
+
 def no_repeat_ngram(scores: DataFrame, seqs: DataFrame, n: int = C.NO_REPEAT_NGRAM) -> DataFrame:
     j, added = _with_seq(scores, seqs, ["_banned"], n)
     hit = F.coalesce(F.array_contains("_banned", F.col("token_id")), F.lit(False))
-    return j.withColumn("score", F.when(hit, F.lit(NEG_INF)).otherwise(F.col("score"))) \
-            .drop(*added)
+    return ban(j, hit).drop(*added)
 
 
 # --------------------------------------------------------------------------- N3
@@ -88,40 +99,51 @@ def penalize(score: Column, r: float) -> Column:
     return F.when(score < 0, score * F.lit(float(r))).otherwise(score / F.lit(float(r)))
 
 
-def repetition_penalty(scores: DataFrame, seqs: DataFrame,
-                       r: float = C.REPETITION_PENALTY) -> DataFrame:
+def penalty(scores: DataFrame, flag: Column, r: float = C.REPETITION_PENALTY) -> DataFrame:
+    """Rule of N3 on ids flagged as seen in the history."""
     if not r > 0:
         raise ValueError("penalty must be > 0")
+    return scores.withColumn("score", F.when(flag, penalize(F.col("score"), r))
+                             .otherwise(F.col("score")))
+
+
+def repetition_penalty(scores: DataFrame, seqs: DataFrame,
+                       r: float = C.REPETITION_PENALTY) -> DataFrame:
     j, added = _with_seq(scores, seqs, ["_hist"], C.NO_REPEAT_NGRAM)
     seen = F.coalesce(F.array_contains("_hist", F.col("token_id")), F.lit(False))
-    return j.withColumn("score", F.when(seen, penalize(F.col("score"), r))
-                        .otherwise(F.col("score"))).drop(*added)
+    return penalty(j, seen, r).drop(*added)
 
 
 # --------------------------------------------------------------------------- N4
 def softmax(scores: DataFrame) -> DataFrame:
     """``p`` = softmax of ``score`` per sequence; an all -inf sequence gets p = 0."""
-    m = F.max("score").over(_seq)
+    m = F.max("score").over(_seq())
     e = F.when(F.col("_m") == F.lit(NEG_INF), F.lit(0.0)).otherwise(F.exp(F.col("score") - F.col("_m")))
     return (scores.withColumn("_m", m).withColumn("_e", e)
-            .withColumn("p", F.col("_e") / F.sum("_e").over(_seq))
+            .withColumn("p", F.col("_e") / F.sum("_e").over(_seq()))
             .withColumn("p", F.coalesce(F.nanvl("p", F.lit(0.0)), F.lit(0.0)))
             .drop("_m", "_e"))
 
 
 def renormalize(probs: DataFrame) -> DataFrame:
-    tot = F.sum("p").over(_seq)
+    tot = F.sum("p").over(_seq())
     return probs.withColumn("_t", tot) \
                 .withColumn("p", F.when(F.col("_t") > 0, F.col("p") / F.col("_t")).otherwise(F.lit(0.0))) \
                 .drop("_t")
 
 
 # --------------------------------------------------------------------------- N5
+def zero_and_renormalize(probs: DataFrame, flag: Column) -> DataFrame:
+    """Rule of N5 on the id flagged as the previous one."""
+    p = F.when(flag, F.lit(0.0)).otherwise(F.col("p"))
+    return renormalize(probs.withColumn("p", p))
+
+
 def suppress_last(probs: DataFrame, seqs: DataFrame) -> DataFrame:
     """Previous id gets p = 0, then renormalise."""
     j, added = _with_seq(probs, seqs, ["_last"], C.NO_REPEAT_NGRAM)
-    p = F.coalesce(F.when(F.col("token_id") == F.col("_last"), F.lit(0.0)), F.col("p"))
-    return renormalize(j.withColumn("p", p).drop(*added))
+    flag = F.coalesce(F.col("token_id") == F.col("_last"), F.lit(False))
+    return zero_and_renormalize(j, flag).drop(*added)
 
 
 # --------------------------------------------------------------------------- N6
@@ -129,15 +151,15 @@ def top_k(probs: DataFrame, k: int = C.TOP_K) -> DataFrame:
     """The ``k`` most probable ids (ties by id), renormalised; adds ``rank``."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    r = probs.withColumn("rank", F.row_number().over(_ranked)).filter(F.col("rank") <= k)
+    r = probs.withColumn("rank", F.row_number().over(_ranked())).filter(F.col("rank") <= k)
     return renormalize(r)
 
 
 # --------------------------------------------------------------------------- N7
 def top_p(probs: DataFrame, p: float) -> DataFrame:
     """Sorted descending, keep ``cum <= p`` plus always the first, renormalised."""
-    r = (probs.withColumn("rank", F.row_number().over(_ranked))
-              .withColumn("_cum", F.sum("p").over(_running)))
+    r = (probs.withColumn("rank", F.row_number().over(_ranked()))
+              .withColumn("_cum", F.sum("p").over(_running())))
     kept = r.filter((F.col("_cum") <= F.lit(float(p))) | (F.col("rank") == 1)).drop("_cum")
     return renormalize(kept)
 
@@ -150,12 +172,14 @@ def sample(probs: DataFrame, seed: int, step) -> DataFrame:
     id) order whose running total exceeds ``u`` wins, else the last one.
     """
     step_col = step if isinstance(step, Column) else F.lit(step)
-    r = (probs.withColumn("_rn", F.row_number().over(_ranked))
-              .withColumn("_cum", F.sum("p").over(_running))
+    r = (probs.withColumn("_rn", F.row_number().over(_ranked()))
+              .withColumn("_cum", F.sum("p").over(_running()))
               .withColumn("u", md5_uniform(F.lit(seed), F.col("seq_id"), step_col)))
+    drawn = F.coalesce(F.min_by("token_id", F.when(F.col("_cum") > F.col("u"), F.col("_rn"))),
+                       F.max_by("token_id", F.col("_rn")))
+    # a sequence whose kept mass is 0 has no candidate: no token is drawn
     return r.groupBy("seq_id").agg(
-        F.coalesce(F.min_by("token_id", F.when(F.col("_cum") > F.col("u"), F.col("_rn"))),
-                   F.max_by("token_id", F.col("_rn"))).alias("token_id"),
+        F.when(F.sum("p") > 0, drawn).alias("token_id"),
         F.first("u").alias("u"))
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from spindle import constants as C
 from spindle.functions.text import dataset_tag, ids_to_string
-from spindle.operators import blocklist, codec, packing, scoring
+from spindle.operators import blocklist, codec, ngram, packing, scoring
+from spindle.session import cut_lineage
 from spindle.sources import corpus
 
 # --- fixed values: parameters of the registered queries ----------------------
@@ -33,12 +34,16 @@ def documents(spark, sf_dir) -> DataFrame:
 
 
 def vocab(spark, sf_dir) -> codec.Vocab:
+    """The learned vocabulary, written once per plan (bounded by VOCAB_SIZE)."""
     docs = documents(spark, sf_dir)
-    return codec.build_vocab(codec.explode_pretokens(docs), VOCAB_SIZE)
+    v = codec.build_vocab(codec.explode_pretokens(docs), VOCAB_SIZE)
+    return codec.Vocab(cut_lineage(v.df), v.size)
 
 
-def encoded_docs(spark, sf_dir) -> DataFrame:
-    return codec.encode(documents(spark, sf_dir), vocab(spark, sf_dir))
+def encoded_docs(spark, sf_dir, v: codec.Vocab | None = None) -> DataFrame:
+    """The encoded corpus ``(doc_id, ids)``, written once and reused downstream."""
+    v = v or vocab(spark, sf_dir)
+    return cut_lineage(codec.encode(documents(spark, sf_dir), v))
 
 
 # ----------------------------------------------------------------- sources
@@ -82,7 +87,7 @@ def q_encode(spark, sf_dir):
 
 def q_decode_token(spark, sf_dir):
     v = vocab(spark, sf_dir)
-    e = codec.encode(documents(spark, sf_dir), v)
+    e = encoded_docs(spark, sf_dir, v)
     used = (e.select(F.explode("ids").alias("token_id"))
             .groupBy("token_id").agg(F.count(F.lit(1)).alias("n_uses")))
     out = codec.decode_token(used, v)
@@ -91,7 +96,7 @@ def q_decode_token(spark, sf_dir):
 
 def q_decode_seq(spark, sf_dir):
     v = vocab(spark, sf_dir)
-    e = codec.encode(documents(spark, sf_dir), v)
+    e = encoded_docs(spark, sf_dir, v)
     return codec.decode_seq(e, v).select("doc_id", "text")
 
 
@@ -115,7 +120,7 @@ SLIDE_SIZE, SLIDE_STRIDE = C.BLOCK_SIZE, C.BLOCK_SIZE // 2
 
 def stream_parts(spark, sf_dir):
     e = encoded_docs(spark, sf_dir)
-    return packing.with_offsets(e), packing.stream_total(e)
+    return cut_lineage(packing.with_offsets(e)), packing.stream_total(e)
 
 
 def _blocks_out(df, cols=("step", "row")):
@@ -342,6 +347,103 @@ def q_processor_chain(spark, sf_dir):
     return _prob_out(kept, rank=True)
 
 
+# ----------------------------------------------------------------- count model
+def epoch_blocks(spark, sf_dir):
+    """One reference epoch: 1000 wrapped steps of the encoded documents."""
+    wo, tot = stream_parts(spark, sf_dir)
+    return packing.pack_wrap(wo, tot, STEPS)
+
+
+def trained_model(spark, sf_dir, blocks: DataFrame | None = None) -> ngram.CountModel:
+    v = vocab(spark, sf_dir)
+    blocks = blocks if blocks is not None else epoch_blocks(spark, sf_dir)
+    return ngram.train_ngrams(blocks, v.n_ids())
+
+
+def _model_out(m: ngram.CountModel) -> DataFrame:
+    return m.counts.select(*[F.col(c).cast("bigint").alias(c) for c in ("ord", "u", "v", "w", "cnt")])
+
+
+def q_train_ngrams(spark, sf_dir):
+    return _model_out(trained_model(spark, sf_dir))
+
+
+def q_resume_train(spark, sf_dir):
+    v = vocab(spark, sf_dir)
+    blocks = epoch_blocks(spark, sf_dir)
+    half = STEPS // 2
+    a = ngram.train_ngrams(blocks.filter(F.col("step") < half), v.n_ids())
+    b = ngram.train_ngrams(blocks.filter(F.col("step") >= half), v.n_ids())
+    return _model_out(ngram.merge_models(a, b))
+
+
+def q_cross_entropy(spark, sf_dir):
+    blocks = cut_lineage(epoch_blocks(spark, sf_dir))
+    m = trained_model(spark, sf_dir, blocks)
+    ce = ngram.cross_entropy(blocks, m)
+    return ce.select(F.col("step").cast("bigint").alias("step"), F.round("loss", 6).alias("loss"))
+
+
+def loss_series(spark, sf_dir) -> DataFrame:
+    """``events.value`` as a loss series: one run per event type, ordered by id."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_type", "event_id", F.col("value").alias("loss"))
+
+
+def q_running_mean_loss(spark, sf_dir):
+    r = ngram.running_mean(loss_series(spark, sf_dir), "loss", "event_id", ("event_type",))
+    return r.select("event_type", "event_id", "loss", F.round("mean_loss", 6).alias("mean_loss"))
+
+
+def q_format_loss(spark, sf_dir):
+    r = ngram.running_mean(loss_series(spark, sf_dir), "loss", "event_id", ("event_type",))
+    f = ngram.format_loss(r)
+    return f.select("event_type", "event_id", "raw_loss_text", "mean_loss_text")
+
+
+# ----------------------------------------------------------------- completion
+GEN_MAX_NEW = 8      # new ids per prompt in the registered completion query
+
+
+def _gen_inputs(spark, sf_dir):
+    from spindle.plans import generate
+    v = vocab(spark, sf_dir)
+    model = trained_model(spark, sf_dir)
+    tables = generate.ScoringTables.of(model)
+    prompts = cut_lineage(codec.encode(corpus.read_prompts(table(spark, sf_dir, "conversations")), v,
+                                       keys=("seq_id",)))
+    blocked = blocklist.blocked_token_ids(v.df, blocklist_words(spark)).select("token_id")
+    return v, model, tables, prompts, blocked
+
+
+def q_next_token_scores(spark, sf_dir):
+    from spindle.plans import generate
+    _, _, tables, prompts, _ = _gen_inputs(spark, sf_dir)
+    active = prompts.filter(F.size("ids") > 0)
+    sc = generate.next_token_scores(active, tables)
+    return sc.select("seq_id", F.col("token_id").cast("bigint").alias("token_id"),
+                     F.round("score", 6).alias("score"))
+
+
+def q_generate_step(spark, sf_dir):
+    from spindle.plans import generate
+    _, _, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
+    cfg = generate.GenConfig(seed=SEED)
+    st = generate.generate_step(generate.initial_state(prompts, cfg), tables, blocked, cfg, 0)
+    return st.select("seq_id", F.col("n_new").cast("bigint").alias("n_new"),
+                     F.element_at("ids", -1).cast("bigint").alias("last_id"), "reason")
+
+
+def q_complete_batch(spark, sf_dir):
+    from spindle.plans import generate
+    v, model, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
+    cfg = generate.GenConfig(seed=SEED, max_new=GEN_MAX_NEW)
+    st = generate.complete(prompts, model, cfg, blocked, tables)
+    out = generate.with_text(st, v)
+    return out.select("seq_id", F.col("n_new").cast("bigint").alias("n_new"), "reason",
+                      ids_to_string("ids").alias("ids"), "continuation")
+
+
 def flagship(spark, sf_dir):
     """Minimum slice: documents -> pre-tokens -> vocab -> ids -> full batches."""
     return q_drop_remainder(spark, sf_dir)
@@ -387,4 +489,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_token": q_append_token,
     "stop_rule": q_stop_rule,
     "processor_chain": q_processor_chain,
+    "train_ngrams": q_train_ngrams,
+    "resume_train": q_resume_train,
+    "cross_entropy": q_cross_entropy,
+    "running_mean_loss": q_running_mean_loss,
+    "format_loss": q_format_loss,
+    "next_token_scores": q_next_token_scores,
+    "generate_step": q_generate_step,
+    "complete_batch": q_complete_batch,
 }

@@ -235,7 +235,7 @@ win AS (
   GROUP BY 1
 )""" + _bout('"window"', "win")
 
-PROMPT_CODEC = with_ctes(PRETOKENS, VOCAB) + f""",
+PROMPT_PARTS = f"""
 pr AS (SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS seq_id, text FROM conversations WHERE role = 'user'),
 ppt AS (
   SELECT seq_id, unnest(range(len(toks))) AS pos, unnest(toks) AS token
@@ -250,6 +250,7 @@ pe AS (
   SELECT pr.seq_id, COALESCE(x.ids, []) AS ids
   FROM pr LEFT JOIN (SELECT seq_id, flatten(list(ids ORDER BY pos)) AS ids FROM pep GROUP BY 1) x USING (seq_id)
 )"""
+PROMPT_CODEC = with_ctes(PRETOKENS, VOCAB) + "," + PROMPT_PARTS
 
 SQL["truncate_context"] = PROMPT_CODEC + f"""
 SELECT seq_id, CAST(len(ids) AS BIGINT) AS n_ids,
@@ -282,23 +283,21 @@ GROUP BY pt.doc_id"""
 # ---------------------------------------------------------------- score chain
 _blocked = ", ".join(str(i) for i in FIXTURE_BLOCKED)
 NEG = "CAST('-inf' AS DOUBLE)"
-CHAIN = f"""
-WITH sc0 AS (
-  SELECT CAST(vec_id AS BIGINT) AS seq_id, CAST(unnest(range(len(embedding))) AS BIGINT) AS token_id,
-         CAST(unnest(embedding) AS DOUBLE) * 10 AS score
-  FROM embeddings
-),
-sq AS (
-  SELECT CAST(vec_id AS BIGINT) AS seq_id, list_transform(range(8), lambda i: (vec_id + i % 3) % 64) AS ids
-  FROM embeddings
-),
+
+
+def chain_sql(base: str, seqs: str, blocked: str, seed: int = SEED, step: int = 0,
+              top_k: int = C.TOP_K, top_p: float = TOP_P_FIXTURE) -> str:
+    """CTEs s_temp .. s_draw over ``base(seq_id, token_id, score)`` and
+    ``seqs(seq_id, ids)``; ``blocked`` is a SQL set of blocked ids."""
+    return f""",
 bans AS (
   SELECT DISTINCT seq_id, g[3] AS token_id
-  FROM (SELECT seq_id, ids, unnest(list_transform(range(len(ids) - 2), lambda i: ids[i + 1:i + 3])) AS g FROM sq)
+  FROM (SELECT seq_id, ids, unnest(list_transform(range(len(ids) - 2), lambda i: ids[i + 1:i + 3])) AS g
+        FROM {seqs} WHERE len(ids) >= 3)
   WHERE g[1:2] = ids[-2:]
 ),
-s_temp AS (SELECT seq_id, token_id, score / {C.TEMPERATURE} AS score FROM sc0),
-s_mask AS (SELECT seq_id, token_id, CASE WHEN token_id IN ({_blocked}) THEN {NEG} ELSE score END AS score
+s_temp AS (SELECT seq_id, token_id, score / {C.TEMPERATURE} AS score FROM {base}),
+s_mask AS (SELECT seq_id, token_id, CASE WHEN token_id IN {blocked} THEN {NEG} ELSE score END AS score
            FROM s_temp),
 s_ngram AS (SELECT s.seq_id, s.token_id, CASE WHEN b.token_id IS NOT NULL THEN {NEG} ELSE s.score END AS score
             FROM s_mask s LEFT JOIN bans b USING (seq_id, token_id)),
@@ -307,7 +306,7 @@ s_pen AS (SELECT s.seq_id, s.token_id,
                       THEN CASE WHEN s.score < 0 THEN s.score * {C.REPETITION_PENALTY}
                                 ELSE s.score / {C.REPETITION_PENALTY} END
                       ELSE s.score END AS score
-          FROM s_ngram s JOIN sq q USING (seq_id)),
+          FROM s_ngram s JOIN {seqs} q USING (seq_id)),
 s_soft AS (
   SELECT seq_id, token_id, e / sum(e) OVER (PARTITION BY seq_id) AS p
   FROM (SELECT seq_id, token_id,
@@ -316,28 +315,43 @@ s_soft AS (
         FROM s_pen)
 ),
 s_sup0 AS (SELECT s.seq_id, s.token_id, CASE WHEN s.token_id = q.ids[-1] THEN 0.0 ELSE s.p END AS p
-           FROM s_soft s JOIN sq q USING (seq_id)),
-s_sup AS (SELECT seq_id, token_id, p / sum(p) OVER (PARTITION BY seq_id) AS p FROM s_sup0),
+           FROM s_soft s JOIN {seqs} q USING (seq_id)),
+s_sup AS (SELECT seq_id, token_id,
+                 CASE WHEN sum(p) OVER (PARTITION BY seq_id) > 0 THEN p / sum(p) OVER (PARTITION BY seq_id)
+                      ELSE 0.0 END AS p FROM s_sup0),
 s_rank AS (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY p DESC, token_id) AS rank,
                   sum(p) OVER (PARTITION BY seq_id ORDER BY p DESC, token_id
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
            FROM s_sup),
 s_topk AS (SELECT seq_id, token_id, rank, p / sum(p) OVER (PARTITION BY seq_id) AS p FROM s_rank
-           WHERE rank <= {C.TOP_K}),
+           WHERE rank <= {top_k}),
 s_topp AS (SELECT seq_id, token_id, rank, p / sum(p) OVER (PARTITION BY seq_id) AS p FROM s_rank
-           WHERE cum <= {TOP_P_FIXTURE} OR rank = 1),
+           WHERE cum <= {top_p} OR rank = 1),
 s_draw AS (
   SELECT seq_id,
-         COALESCE(arg_min(token_id, rank) FILTER (WHERE cum > u), arg_max(token_id, rank)) AS token_id,
+         CASE WHEN sum(p) > 0 THEN
+           COALESCE(arg_min(token_id, rank) FILTER (WHERE cum > u), arg_max(token_id, rank)) END AS token_id,
          any_value(u) AS u
   FROM (SELECT *, sum(p) OVER (PARTITION BY seq_id ORDER BY p DESC, token_id
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
-               CAST(('0x' || substr(md5(concat_ws('|', {SEED}, seq_id, 0)), 1, 13)) AS BIGINT)
+               CAST(('0x' || substr(md5(concat_ws('|', {seed}, seq_id, {step})), 1, 13)) AS BIGINT)
                  / 4503599627370496.0 AS u
         FROM s_topk)
   GROUP BY seq_id
 )"""
 
+
+CHAIN = f"""
+WITH sc0 AS (
+  SELECT CAST(vec_id AS BIGINT) AS seq_id, CAST(unnest(range(len(embedding))) AS BIGINT) AS token_id,
+         CAST(unnest(embedding) AS DOUBLE) * 10 AS score
+  FROM embeddings
+),
+sq AS (
+  SELECT CAST(vec_id AS BIGINT) AS seq_id, list_transform(range(8), lambda i: (vec_id + i % 3) % 64) AS ids
+  FROM embeddings
+)""" + chain_sql("sc0", "sq", f"({_blocked})")
+
 SQL["temperature"] = CHAIN + "\nSELECT seq_id, token_id, round(score, 6) AS score FROM s_temp"
 SQL["mask_blocked"] = CHAIN + "\nSELECT seq_id, token_id, round(score, 6) AS score FROM s_mask"
 SQL["no_repeat_ngram"] = CHAIN + "\nSELECT seq_id, token_id, round(score, 6) AS score FROM s_ngram"
@@ -356,3 +370,107 @@ SELECT seq_id, token_id,
        CASE WHEN token_id = {FIXTURE_EOS} THEN 'eos' WHEN 1 >= {C.MAX_NEW_TOKENS} THEN 'max_new' END AS reason
 FROM s_draw"""
 SQL["processor_chain"] = SQL["top_k"]
+
+# ---------------------------------------------------------------- count model
+L3, L2, L1, L0 = C.LAMBDA_3, C.LAMBDA_2, C.LAMBDA_1, C.LAMBDA_0
+
+MODEL = WRAP + f""",
+wpos AS (
+  SELECT step, "row", CAST(unnest(range(len(x))) AS BIGINT) AS i, unnest(x) AS w FROM wrap
+),
+wctx AS (
+  SELECT step, "row", i, w,
+         lag(w, 2) OVER (PARTITION BY step, "row" ORDER BY i) AS u,
+         lag(w, 1) OVER (PARTITION BY step, "row" ORDER BY i) AS v
+  FROM wpos
+),
+grams AS (
+  SELECT 1 AS ord, -1 AS u, -1 AS v, w FROM wctx
+  UNION ALL SELECT 2, -1, v, w FROM wctx WHERE v IS NOT NULL
+  UNION ALL SELECT 3, u, v, w FROM wctx WHERE u IS NOT NULL
+),
+model AS (SELECT ord, u, v, w, count(*) AS cnt FROM grams GROUP BY ALL),
+m3 AS (SELECT u, v, w, cnt AS n3 FROM model WHERE ord = 3),
+mt3 AS (SELECT u, v, sum(n3) AS t3 FROM m3 GROUP BY ALL),
+m2 AS (SELECT v, w, cnt AS n2 FROM model WHERE ord = 2),
+mt2 AS (SELECT v, sum(n2) AS t2 FROM m2 GROUP BY ALL),
+m1 AS (SELECT w, cnt AS n1 FROM model WHERE ord = 1),
+mt1 AS (SELECT sum(n1) AS t1 FROM m1),
+nv AS (SELECT count(*) AS n_ids FROM vocab)"""
+
+
+def p_expr(n3="n3", t3="t3", n2="n2", t2="t2", n1="n1", t1="t1", nids="n_ids"):
+    return f"""(
+  (CASE WHEN COALESCE({t3}, 0) > 0 THEN {L3} * COALESCE({n3}, 0) / {t3} ELSE 0.0 END
+   + CASE WHEN COALESCE({t2}, 0) > 0 THEN {L2} * COALESCE({n2}, 0) / {t2} ELSE 0.0 END
+   + {L1} * COALESCE({n1}, 0) / {t1} + {L0} / CAST({nids} AS DOUBLE))
+  / (CASE WHEN COALESCE({t3}, 0) > 0 THEN {L3} ELSE 0.0 END
+     + CASE WHEN COALESCE({t2}, 0) > 0 THEN {L2} ELSE 0.0 END + {L1} + {L0}))"""
+
+
+_model_cols = "CAST(ord AS BIGINT) AS ord, CAST(u AS BIGINT) AS u, CAST(v AS BIGINT) AS v, " \
+              "CAST(w AS BIGINT) AS w, CAST(cnt AS BIGINT) AS cnt"
+SQL["train_ngrams"] = PACK + MODEL + f"\nSELECT {_model_cols} FROM model"
+SQL["resume_train"] = SQL["train_ngrams"]
+
+SQL["cross_entropy"] = PACK + MODEL + f"""
+SELECT CAST(c.step AS BIGINT) AS step,
+       round(avg(-ln({p_expr()})), 6) AS loss
+FROM wctx c
+LEFT JOIN m3 ON m3.u = c.u AND m3.v = c.v AND m3.w = c.w
+LEFT JOIN mt3 ON mt3.u = c.u AND mt3.v = c.v
+LEFT JOIN m2 ON m2.v = c.v AND m2.w = c.w
+LEFT JOIN mt2 ON mt2.v = c.v
+LEFT JOIN m1 ON m1.w = c.w, mt1, nv
+GROUP BY c.step"""
+
+RUNNING = f"""
+WITH r AS (
+  SELECT event_type, event_id, value AS loss,
+         CASE WHEN count(value) OVER w = {C.LOSS_WINDOW} THEN avg(value) OVER w END AS mean_loss
+  FROM events
+  WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN {C.LOSS_WINDOW - 1} PRECEDING AND CURRENT ROW)
+)"""
+SQL["running_mean_loss"] = RUNNING + """
+SELECT event_type, event_id, loss, round(mean_loss, 6) AS mean_loss FROM r"""
+SQL["format_loss"] = RUNNING + """
+SELECT event_type, event_id,
+       CASE WHEN mean_loss IS NOT NULL THEN printf('%.10f', loss) ELSE printf('%.4f', loss) END AS raw_loss_text,
+       CASE WHEN mean_loss IS NOT NULL THEN printf('%.10f', mean_loss) ELSE 'n/a' END AS mean_loss_text
+FROM r"""
+
+# ---------------------------------------------------------------- completion
+GEN = PACK + MODEL + "," + PROMPT_PARTS + f""",
+ctxp AS (
+  SELECT seq_id, ids, CASE WHEN len(ids) >= 2 THEN ids[-2] END AS u, ids[-1] AS v
+  FROM pe WHERE len(ids) > 0
+),
+dense AS (SELECT c.seq_id, CAST(r.t AS BIGINT) AS token_id, c.u, c.v FROM ctxp c, nv, range(nv.n_ids) r(t)),
+nts AS (
+  SELECT d.seq_id, d.token_id, ln({p_expr()}) AS score
+  FROM dense d
+  LEFT JOIN m3 ON m3.u = d.u AND m3.v = d.v AND m3.w = d.token_id
+  LEFT JOIN mt3 ON mt3.u = d.u AND mt3.v = d.v
+  LEFT JOIN m2 ON m2.v = d.v AND m2.w = d.token_id
+  LEFT JOIN mt2 ON mt2.v = d.v
+  LEFT JOIN m1 ON m1.w = d.token_id, mt1, nv
+),
+""" + BL + """,
+blkd AS (
+  SELECT token_id FROM vocab v
+  WHERE EXISTS (SELECT 1 FROM bl WHERE contains(regexp_replace(lower(v.token), '^\\s+', ''), bl.word))
+)"""
+
+SQL["next_token_scores"] = GEN + """
+SELECT seq_id, token_id, round(score, 6) AS score FROM nts"""
+
+SQL["generate_step"] = GEN + chain_sql("nts", "ctxp", "(SELECT token_id FROM blkd)", SEED, 0) + f"""
+SELECT p.seq_id,
+       CAST(CASE WHEN len(p.ids) = 0 THEN 0 WHEN d.token_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_new,
+       CAST(CASE WHEN len(p.ids) = 0 THEN NULL WHEN d.token_id IS NULL THEN p.ids[-1] ELSE d.token_id END
+            AS BIGINT) AS last_id,
+       CASE WHEN len(p.ids) = 0 THEN 'empty_prompt'
+            WHEN d.token_id IS NULL THEN 'no_candidate'
+            WHEN d.token_id = {C.EOS_ID} THEN 'eos'
+            WHEN 1 >= {C.MAX_NEW_TOKENS} THEN 'max_new' END AS reason
+FROM pe p LEFT JOIN s_draw d USING (seq_id)"""
