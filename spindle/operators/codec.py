@@ -58,7 +58,7 @@ class Vocab:
         """Scalar-subquery array indexed by ``token_id`` (element_at(arr, id+1))."""
         return (self.df
                 .select(F.sort_array(F.collect_list(F.struct("token_id", field))).alias("a"))
-                .select(F.transform("a", lambda s: s[field]))
+                .select(F.col("a").getField(field))
                 .scalar())
 
 
@@ -138,7 +138,7 @@ def encode(df: DataFrame, vocab: Vocab, keys=("doc_id",), text_col: str = "text"
     enc = encode_exploded(rows, vocab)
     part = F.when(F.col("pos").isNotNull(), F.struct("pos", "ids"))
     g = enc.groupBy(*keys).agg(F.sort_array(F.collect_list(part)).alias("_parts"))
-    cols = [*keys, F.flatten(F.transform("_parts", lambda s: s["ids"])).alias(out_col)]
+    cols = [*keys, F.flatten(F.col("_parts").getField("ids")).alias(out_col)]
     if with_pretoken_count:
         cols.append(F.size("_parts").cast("bigint").alias("n_pretokens"))
     return g.select(*cols)
@@ -177,7 +177,7 @@ def decode_seq(df: DataFrame, vocab: Vocab, ids_col: str = "ids", out_col: str =
     part = F.when(F.col("_p").isNotNull(), F.struct("_p", "hex"))
     g = j.groupBy(*keys).agg(F.sort_array(F.collect_list(part)).alias("_parts"))
     txt = F.make_valid_utf8(
-        F.unhex(F.array_join(F.transform("_parts", lambda s: s["hex"]), "")).cast("string"))
+        F.unhex(F.array_join(F.col("_parts").getField("hex"), "")).cast("string"))
     return df.join(g.select(*keys, txt.alias(out_col)), keys, "left")
 
 

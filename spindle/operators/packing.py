@@ -109,7 +109,7 @@ def _slices(docs: DataFrame, block: int, max_block: Column | None,
 def _assemble(slices: DataFrame, batch: int) -> DataFrame:
     g = slices.groupBy("block").agg(
         F.sort_array(F.collect_list(F.struct("start", "piece"))).alias("_p"))
-    x = F.flatten(F.transform("_p", lambda s: s["piece"]))
+    x = F.flatten(F.col("_p").getField("piece"))
     return g.select("block", F.floor(F.col("block") / batch).alias("step"),
                     (F.col("block") % batch).alias("row"), x.alias("x"))
 
@@ -234,7 +234,7 @@ def sliding_blocks(with_offs: DataFrame, total: Column, size: int = C.BLOCK_SIZE
                   F.slice("ids", (start - F.col("offset") + 1).cast("int"),
                           (end - start).cast("int")).alias("piece"))
     g = sl.groupBy("window").agg(F.sort_array(F.collect_list(F.struct("start", "piece"))).alias("_p"))
-    return g.select("window", F.flatten(F.transform("_p", lambda s: s["piece"])).alias("x"))
+    return g.select("window", F.flatten(F.col("_p").getField("piece")).alias("x"))
 
 
 # -------------------------------------------------------------------------- P12

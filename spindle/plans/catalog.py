@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from spindle import constants as C
 from spindle.functions.text import dataset_tag, ids_to_string
 from spindle.operators import blocklist, codec, ngram, packing, scoring
-from spindle.session import cut_lineage
+from spindle.session import cut_lineage, scratch_path
 from spindle.sources import corpus
 
 # --- fixed values: parameters of the registered queries ----------------------
@@ -444,6 +444,100 @@ def q_complete_batch(spark, sf_dir):
                       ids_to_string("ids").alias("ids"), "continuation")
 
 
+# ----------------------------------------------------------------- sinks
+def q_sink_completions(spark, sf_dir):
+    from spindle.plans import generate
+    from spindle.sources import sinks
+    v, _, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
+    cfg = generate.GenConfig(seed=SEED)
+    st = generate.generate_step(generate.initial_state(prompts, cfg), tables, blocked, cfg, 0)
+    path = scratch_path(spark, "completions")
+    sinks.write_completions(st, v, path)
+    back = spark.read.parquet(path)
+    return back.select("seq_id", F.col("step").cast("bigint").alias("step"),
+                       F.col("token_id").cast("bigint").alias("token_id"), "token_text")
+
+
+def metrics_table(spark, sf_dir) -> DataFrame:
+    blocks = cut_lineage(epoch_blocks(spark, sf_dir))
+    m = trained_model(spark, sf_dir, blocks)
+    ce = ngram.cross_entropy(blocks, m).select(F.lit("run0").alias("run"), F.lit(1).alias("epoch"),
+                                               "step", "loss")
+    return ngram.format_loss(ngram.running_mean(ce, "loss", "step", ("run", "epoch")))
+
+
+def q_sink_metrics(spark, sf_dir):
+    from spindle.sources import sinks
+    path = scratch_path(spark, "metrics")
+    sinks.write_metrics(metrics_table(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return back.select("run", F.col("epoch").cast("bigint").alias("epoch"),
+                       F.col("step").cast("bigint").alias("step"), F.round("loss", 6).alias("loss"),
+                       F.round("mean_loss", 6).alias("mean_loss"))
+
+
+def q_save_model(spark, sf_dir):
+    from spindle.sources import sinks
+    path = scratch_path(spark, "model")
+    sinks.save_model(trained_model(spark, sf_dir), path)
+    loaded = sinks.load_model(spark, path, required=True)
+    return _model_out(loaded)
+
+
+def q_load_model(spark, sf_dir):
+    """Resume: load (absent -> fresh), train one more epoch, save, load again."""
+    from spindle.sources import sinks
+    path = scratch_path(spark, "model")
+    blocks = cut_lineage(epoch_blocks(spark, sf_dir))
+    first = sinks.load_model(spark, path, required=False)        # nothing saved yet
+    m = trained_model(spark, sf_dir, blocks)
+    if first is not None:
+        m = ngram.merge_models(first, m)
+    sinks.save_model(m, path)
+    prev = sinks.load_model(spark, path, required=True)
+    sinks.save_model(ngram.merge_models(prev, trained_model(spark, sf_dir, blocks)), path)
+    return _model_out(sinks.load_model(spark, path, required=True))
+
+
+# ----------------------------------------------------------------- streaming
+def q_stream_corpus(spark, sf_dir):
+    from spindle.streaming import pipeline
+    docs = table(spark, sf_dir, "documents")
+    stream = pipeline.stream_corpus(spark, sf_dir, docs.schema, glob="documents.parquet")
+    out = scratch_path(spark, "stream-corpus")
+    pipeline.write_stream_parquet(stream.select("doc_id", "text"), out, scratch_path(spark, "ckpt"))
+    return spark.read.parquet(out).select("doc_id", "text")
+
+
+def q_stream_pack(spark, sf_dir):
+    from spindle.streaming import pipeline
+    v = vocab(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    stream = pipeline.stream_corpus(spark, sf_dir, docs.schema, glob="documents.parquet")
+    out, state = scratch_path(spark, "stream-pack"), scratch_path(spark, "stream-state")
+    pipeline.stream_pack(stream.select("doc_id", "text"), out, state, scratch_path(spark, "ckpt"),
+                         encode_fn=lambda mb: codec.encode(mb, v))
+    return _blocks_out(spark.read.parquet(out))
+
+
+def q_complete_stream(spark, sf_dir):
+    from spindle.plans import generate
+    from spindle.streaming import pipeline
+    v, model, tables, _, blocked = _gen_inputs(spark, sf_dir)
+    conv = table(spark, sf_dir, "conversations")
+    stream = pipeline.stream_corpus(spark, sf_dir, conv.schema, glob="conversations.parquet")
+    cfg = generate.GenConfig(seed=SEED, max_new=1)
+    out = scratch_path(spark, "stream-complete")
+    pipeline.complete_stream(
+        corpus.read_prompts(stream),
+        lambda mb: codec.encode(mb, v, keys=("seq_id",)),
+        lambda enc: generate.complete(enc, model, cfg, blocked, tables),
+        out, scratch_path(spark, "ckpt"))
+    st = spark.read.parquet(out)
+    return st.select("seq_id", F.col("n_new").cast("bigint").alias("n_new"),
+                     F.element_at("ids", -1).cast("bigint").alias("last_id"), "reason")
+
+
 def flagship(spark, sf_dir):
     """Minimum slice: documents -> pre-tokens -> vocab -> ids -> full batches."""
     return q_drop_remainder(spark, sf_dir)
@@ -497,4 +591,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "next_token_scores": q_next_token_scores,
     "generate_step": q_generate_step,
     "complete_batch": q_complete_batch,
+    "sink_completions": q_sink_completions,
+    "sink_metrics": q_sink_metrics,
+    "save_model": q_save_model,
+    "load_model": q_load_model,
+    "stream_corpus": q_stream_corpus,
+    "stream_pack": q_stream_pack,
+    "complete_stream": q_complete_stream,
 }

@@ -474,3 +474,28 @@ SELECT p.seq_id,
             WHEN d.token_id = {C.EOS_ID} THEN 'eos'
             WHEN 1 >= {C.MAX_NEW_TOKENS} THEN 'max_new' END AS reason
 FROM pe p LEFT JOIN s_draw d USING (seq_id)"""
+
+# ---------------------------------------------------------------- sinks / streams
+SQL["sink_metrics"] = PACK + MODEL + f""",
+ce AS (
+  SELECT c.step, avg(-ln({p_expr()})) AS loss
+  FROM wctx c
+  LEFT JOIN m3 ON m3.u = c.u AND m3.v = c.v AND m3.w = c.w
+  LEFT JOIN mt3 ON mt3.u = c.u AND mt3.v = c.v
+  LEFT JOIN m2 ON m2.v = c.v AND m2.w = c.w
+  LEFT JOIN mt2 ON mt2.v = c.v
+  LEFT JOIN m1 ON m1.w = c.w, mt1, nv
+  GROUP BY c.step
+)
+SELECT 'run0' AS run, CAST(1 AS BIGINT) AS epoch, CAST(step AS BIGINT) AS step, round(loss, 6) AS loss,
+       round(CASE WHEN count(loss) OVER w = {C.LOSS_WINDOW} THEN avg(loss) OVER w END, 6) AS mean_loss
+FROM ce
+WINDOW w AS (ORDER BY step ROWS BETWEEN {C.LOSS_WINDOW - 1} PRECEDING AND CURRENT ROW)"""
+
+SQL["save_model"] = SQL["train_ngrams"]
+SQL["load_model"] = PACK + MODEL + f"""
+SELECT {_model_cols.replace("CAST(cnt AS BIGINT)", "CAST(2 * cnt AS BIGINT)")} FROM model"""
+SQL["stream_corpus"] = "SELECT doc_id, text FROM documents"
+SQL["stream_pack"] = SQL["drop_remainder"]
+SQL["complete_stream"] = SQL["generate_step"].replace(
+    f"WHEN 1 >= {C.MAX_NEW_TOKENS} THEN 'max_new'", "WHEN 1 >= 1 THEN 'max_new'")

@@ -19,12 +19,28 @@ from spindle.functions.text import dataset_tag, normalize_newlines, split_lines
 
 
 # --------------------------------------------------------------------------- S1
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition by ``key`` when the scan has fewer splits than task slots.
+
+    A small input stored as one row group would otherwise run every per-row
+    step (regex tokenisation, encode) in a single task. The partitioning by
+    ``key`` is the one the per-document regroup needs anyway, so the exchange
+    replaces a later one. Large inputs already have enough splits and are left
+    untouched (no extra shuffle at scale).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, key)
+    return df
+
+
 def read_corpus(spark: SparkSession, path: str, text_col: str = "text",
                 id_col: str = "doc_id") -> DataFrame:
     """A map-style dataset split (parquet); only its id and text columns."""
     df = spark.read.parquet(path)
-    return df.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                     F.col(text_col).cast("string").alias("text"))
+    df = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
+                   F.col(text_col).cast("string").alias("text"))
+    return spread(df, "doc_id")
 
 
 # --------------------------------------------------------------------------- S2
@@ -158,6 +174,7 @@ def with_dataset_tag(df: DataFrame, col: str, out_col: str = "tag") -> DataFrame
 # --------------------------------------------------------------------------- S9
 def read_prompts(conversations: DataFrame) -> DataFrame:
     """User turns as prompts, ``seq_id = conv_id * 1000 + turn``."""
-    return (conversations.filter(F.col("role") == "user")
-            .select((F.col("conv_id") * 1000 + F.col("turn")).cast("bigint").alias("seq_id"),
-                    F.col("text").alias("text")))
+    p = (conversations.filter(F.col("role") == "user")
+         .select((F.col("conv_id") * 1000 + F.col("turn")).cast("bigint").alias("seq_id"),
+                 F.col("text").alias("text")))
+    return p if p.isStreaming else spread(p, "seq_id")

@@ -1,0 +1,142 @@
+"""Structured Streaming: S8, P13, G4.
+
+Streams reuse the batch functions inside ``foreachBatch``. State that must
+survive between micro-batches (the packing leftover, the next step number) is
+a small table written under the state directory and *versioned by batch id*:
+micro-batch ``b`` reads the carry of the latest batch before ``b`` and writes
+its own, and every output of ``b`` is written with overwrite semantics to a
+``batch=b`` folder. A replayed micro-batch (after a failure) therefore
+recomputes the same rows from the same carry: the sink is idempotent.
+The carry is bounded by one batch (``block * batch - 1`` ids).
+"""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from spindle import constants as C
+from spindle.operators import packing
+
+CARRY_SCHEMA = "batch_id bigint, next_step bigint, leftover array<int>"
+
+
+# --------------------------------------------------------------------------- S8
+def stream_corpus(spark: SparkSession, path: str, schema: StructType | str,
+                  fmt: str = "parquet", max_files_per_trigger: int | None = 1,
+                  glob: str | None = None) -> DataFrame:
+    """Rows of a growing directory as they arrive (one file per trigger by
+    default, so arrival order follows file modification time)."""
+    r = spark.readStream.schema(schema).format(fmt)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(path)
+
+
+def run_to_end(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Drive a streaming query over everything available now, then stop."""
+    q = (df.writeStream.foreachBatch(sink)
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def write_stream_parquet(df: DataFrame, out: str, checkpoint: str) -> None:
+    """S8 sink: each micro-batch to ``out/batch=<id>`` (overwrite = idempotent)."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
+    run_to_end(df, sink, checkpoint)
+
+
+# -------------------------------------------------------------------------- P13
+def _latest_carry(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame:
+    """The carry written by the latest micro-batch before ``batch_id``."""
+    carry_dir = os.path.join(state_dir, "carry")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(carry_dir)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prev = []
+    if fs.exists(p):
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("batch_id="):
+                b = int(name.split("=", 1)[1])
+                if b < batch_id and fs.exists(jvm.org.apache.hadoop.fs.Path(
+                        os.path.join(carry_dir, name, "_SUCCESS"))):
+                    prev.append(b)
+    if not prev:
+        return spark.createDataFrame([(-1, 0, [])], CARRY_SCHEMA)
+    b = max(prev)
+    return spark.read.parquet(os.path.join(carry_dir, f"batch_id={b}")) \
+                .select(F.lit(b).cast("bigint").alias("batch_id"), "next_step", "leftover")
+
+
+def pack_micro_batch(encoded: DataFrame, carry: DataFrame, block: int = C.BLOCK_SIZE,
+                     batch: int = C.BATCH_SIZE):
+    """Pack ``carry.leftover + encoded (in doc_id order)`` into full batches.
+
+    Returns ``(blocks(step, row, x), new_carry(next_step, leftover))``.
+    """
+    per_step = block * batch
+    lead = carry.select(F.lit(-1).cast("bigint").alias("doc_id"), F.col("leftover").alias("ids"))
+    docs = lead.unionByName(encoded.select(F.col("doc_id").cast("bigint"), "ids"))
+    wo = packing.with_offsets(docs)
+    total = wo.select(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).scalar()
+    start = carry.select("next_step").scalar()
+    n_full = F.floor(total / F.lit(per_step))
+    blocks = packing.pack_blocks(wo, block, batch, n_full * batch) \
+                    .select((F.col("step") + start).alias("step"), "row", "x")
+    # leftover: every id at or after n_full * per_step (fewer than one batch)
+    cut = n_full * per_step
+    tail = (wo.filter(F.col("offset") + F.col("n") > cut)
+              .select(F.greatest(cut - F.col("offset"), F.lit(0)).alias("_skip"), "offset", "ids")
+              .select("offset", F.slice("ids", (F.col("_skip") + 1).cast("int"), 1 << 30).alias("ids")))
+    new_carry = tail.agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("_p")) \
+        .select((start + n_full).alias("next_step"),
+                F.coalesce(F.flatten(F.col("_p").getField("ids")),
+                           F.array().cast("array<int>")).alias("leftover"))
+    return blocks, new_carry
+
+
+def stream_pack(stream: DataFrame, out: str, state_dir: str, checkpoint: str,
+                block: int = C.BLOCK_SIZE, batch: int = C.BATCH_SIZE,
+                encode_fn: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Pack while rows arrive; the leftover is carried between micro-batches.
+
+    ``stream`` yields ``(doc_id, ids)``, or raw rows that ``encode_fn`` turns
+    into them inside each micro-batch (the encode regroup is a batch
+    aggregation there). Within a micro-batch documents are ordered by ``doc_id``.
+    """
+    def sink(mb: DataFrame, batch_id: int) -> None:
+        spark = mb.sparkSession
+        carry = _latest_carry(spark, state_dir, batch_id)
+        enc = encode_fn(mb) if encode_fn is not None else mb
+        blocks, new_carry = pack_micro_batch(enc, carry, block, batch)
+        blocks.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+        new_carry.write.mode("overwrite").parquet(
+            os.path.join(state_dir, "carry", f"batch_id={batch_id}"))
+    run_to_end(stream, sink, checkpoint)
+
+
+def read_carry(spark: SparkSession, state_dir: str) -> DataFrame:
+    """The latest leftover (what the next arrival will be packed after)."""
+    return _latest_carry(spark, state_dir, 1 << 62)
+
+
+# --------------------------------------------------------------------------- G4
+def complete_stream(prompt_stream: DataFrame, encode_fn: Callable[[DataFrame], DataFrame],
+                    complete_fn: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> None:
+    """Answer prompts as they arrive. Each micro-batch is encoded, completed
+    with the batch plan, and written to ``out/batch_id=<id>`` (idempotent)."""
+    def sink(mb: DataFrame, batch_id: int) -> None:
+        done = complete_fn(encode_fn(mb))
+        done.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+    run_to_end(prompt_stream, sink, checkpoint)
