@@ -538,6 +538,27 @@ def q_complete_stream(spark, sf_dir):
                      F.element_at("ids", -1).cast("bigint").alias("last_id"), "reason")
 
 
+# ----------------------------------------------------------------- BPE
+BPE_MERGES = 32
+
+
+def q_learn_merges(spark, sf_dir):
+    from spindle.operators import bpe
+    toks = codec.explode_pretokens(documents(spark, sf_dir))
+    return bpe.learn_merges(toks, BPE_MERGES).select(
+        F.col("rank").cast("bigint").alias("rank"), "a", "b", "freq")
+
+
+def q_bpe_encode(spark, sf_dir):
+    from spindle.operators import bpe
+    toks = cut_lineage(codec.explode_pretokens(documents(spark, sf_dir)))
+    merges = bpe.learn_merges(toks, BPE_MERGES)
+    enc = bpe.bpe_encode(toks, merges)
+    per_doc = enc.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("_p"))
+    ids = F.flatten(F.col("_p").getField("ids"))
+    return per_doc.select("doc_id", F.size(ids).cast("bigint").alias("n_ids"), ids_to_string(ids).alias("ids"))
+
+
 def flagship(spark, sf_dir):
     """Minimum slice: documents -> pre-tokens -> vocab -> ids -> full batches."""
     return q_drop_remainder(spark, sf_dir)
@@ -598,4 +619,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_corpus": q_stream_corpus,
     "stream_pack": q_stream_pack,
     "complete_stream": q_complete_stream,
+    "learn_merges": q_learn_merges,
+    "bpe_encode": q_bpe_encode,
 }
