@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "spindle") -> SparkSession:
+                app_name: str = "spindle", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
 
     On a cluster, ``master`` is left to spark-submit and the cluster's own
@@ -27,6 +27,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.sql.session.timeZone", "UTC"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:      # local mode: the driver JVM is the executor
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -16,6 +16,7 @@ def spark():
     from spindle.session import ensure_checkpoint_dir
     s = (SparkSession.builder.master("local[4]")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "8g")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.adaptive.enabled", "true")
