@@ -119,8 +119,9 @@ SLIDE_SIZE, SLIDE_STRIDE = C.BLOCK_SIZE, C.BLOCK_SIZE // 2
 
 
 def stream_parts(spark, sf_dir):
+    """Encoded corpus (written once) with lazily joined offsets, and its total."""
     e = encoded_docs(spark, sf_dir)
-    return cut_lineage(packing.with_offsets(e)), packing.stream_total(e)
+    return packing.with_offsets(e), packing.stream_total(e)
 
 
 def _blocks_out(df, cols=("step", "row")):
