@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from spindle import constants as C
 from spindle.functions.text import dataset_tag, ids_to_string
-from spindle.operators import blocklist, codec, ngram, packing, scoring
+from spindle.operators import blocklist, bpe, codec, ngram, packing, scoring
+from spindle.plans import generate
 from spindle.session import cut_lineage, scratch_path
-from spindle.sources import corpus
+from spindle.sources import corpus, sinks
+from spindle.streaming import pipeline
 
 # --- fixed values: parameters of the registered queries ----------------------
 VOCAB_SIZE = 8192
@@ -407,7 +409,6 @@ GEN_MAX_NEW = 8      # new ids per prompt in the registered completion query
 
 
 def _gen_inputs(spark, sf_dir):
-    from spindle.plans import generate
     v = vocab(spark, sf_dir)
     model = trained_model(spark, sf_dir)
     tables = generate.ScoringTables.of(model)
@@ -418,7 +419,6 @@ def _gen_inputs(spark, sf_dir):
 
 
 def q_next_token_scores(spark, sf_dir):
-    from spindle.plans import generate
     _, _, tables, prompts, _ = _gen_inputs(spark, sf_dir)
     active = prompts.filter(F.size("ids") > 0)
     sc = generate.next_token_scores(active, tables)
@@ -427,7 +427,6 @@ def q_next_token_scores(spark, sf_dir):
 
 
 def q_generate_step(spark, sf_dir):
-    from spindle.plans import generate
     _, _, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
     cfg = generate.GenConfig(seed=SEED)
     st = generate.generate_step(generate.initial_state(prompts, cfg), tables, blocked, cfg, 0)
@@ -436,7 +435,6 @@ def q_generate_step(spark, sf_dir):
 
 
 def q_complete_batch(spark, sf_dir):
-    from spindle.plans import generate
     v, model, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
     cfg = generate.GenConfig(seed=SEED, max_new=GEN_MAX_NEW)
     st = generate.complete(prompts, model, cfg, blocked, tables)
@@ -447,8 +445,6 @@ def q_complete_batch(spark, sf_dir):
 
 # ----------------------------------------------------------------- sinks
 def q_sink_completions(spark, sf_dir):
-    from spindle.plans import generate
-    from spindle.sources import sinks
     v, _, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
     cfg = generate.GenConfig(seed=SEED)
     st = generate.generate_step(generate.initial_state(prompts, cfg), tables, blocked, cfg, 0)
@@ -468,7 +464,6 @@ def metrics_table(spark, sf_dir) -> DataFrame:
 
 
 def q_sink_metrics(spark, sf_dir):
-    from spindle.sources import sinks
     path = scratch_path(spark, "metrics")
     sinks.write_metrics(metrics_table(spark, sf_dir), path)
     back = spark.read.parquet(path)
@@ -478,7 +473,6 @@ def q_sink_metrics(spark, sf_dir):
 
 
 def q_save_model(spark, sf_dir):
-    from spindle.sources import sinks
     path = scratch_path(spark, "model")
     sinks.save_model(trained_model(spark, sf_dir), path)
     loaded = sinks.load_model(spark, path, required=True)
@@ -487,7 +481,6 @@ def q_save_model(spark, sf_dir):
 
 def q_load_model(spark, sf_dir):
     """Resume: load (absent -> fresh), train one more epoch, save, load again."""
-    from spindle.sources import sinks
     path = scratch_path(spark, "model")
     blocks = cut_lineage(epoch_blocks(spark, sf_dir))
     first = sinks.load_model(spark, path, required=False)        # nothing saved yet
@@ -502,7 +495,6 @@ def q_load_model(spark, sf_dir):
 
 # ----------------------------------------------------------------- streaming
 def q_stream_corpus(spark, sf_dir):
-    from spindle.streaming import pipeline
     docs = table(spark, sf_dir, "documents")
     stream = pipeline.stream_corpus(spark, sf_dir, docs.schema, glob="documents.parquet")
     out = scratch_path(spark, "stream-corpus")
@@ -511,7 +503,6 @@ def q_stream_corpus(spark, sf_dir):
 
 
 def q_stream_pack(spark, sf_dir):
-    from spindle.streaming import pipeline
     v = vocab(spark, sf_dir)
     docs = table(spark, sf_dir, "documents")
     stream = pipeline.stream_corpus(spark, sf_dir, docs.schema, glob="documents.parquet")
@@ -522,8 +513,6 @@ def q_stream_pack(spark, sf_dir):
 
 
 def q_complete_stream(spark, sf_dir):
-    from spindle.plans import generate
-    from spindle.streaming import pipeline
     v, model, tables, _, blocked = _gen_inputs(spark, sf_dir)
     conv = table(spark, sf_dir, "conversations")
     stream = pipeline.stream_corpus(spark, sf_dir, conv.schema, glob="conversations.parquet")
@@ -544,14 +533,12 @@ BPE_MERGES = 32
 
 
 def q_learn_merges(spark, sf_dir):
-    from spindle.operators import bpe
     toks = codec.explode_pretokens(documents(spark, sf_dir))
     return bpe.learn_merges(toks, BPE_MERGES).select(
         F.col("rank").cast("bigint").alias("rank"), "a", "b", "freq")
 
 
 def q_bpe_encode(spark, sf_dir):
-    from spindle.operators import bpe
     toks = cut_lineage(codec.explode_pretokens(documents(spark, sf_dir)))
     merges = bpe.learn_merges(toks, BPE_MERGES)
     enc = bpe.bpe_encode(toks, merges)

@@ -72,10 +72,14 @@ def _write_pointer(spark: SparkSession, path: str, version: int) -> None:
     fs.rename(tmp, dst)
 
 
-def save_model(model: CountModel, path: str) -> int:
-    """Write the counts as a new version, then point to it. Returns it."""
+def save_model(model: CountModel, path: str, version: int | None = None) -> int:
+    """Write the counts as a new version, then point to it. Returns it.
+
+    An explicit ``version`` overwrites that version (idempotent replays).
+    """
     spark = model.counts.sparkSession
-    version = (_read_pointer(spark, path) or 0) + 1
+    if version is None:
+        version = (_read_pointer(spark, path) or 0) + 1
     vdir = os.path.join(path, f"v={version}")
     model.counts.write.mode("overwrite").parquet(os.path.join(vdir, "counts"))
     spark.range(1).select(model.n_ids.cast("bigint").alias("n_ids")) \
@@ -84,9 +88,15 @@ def save_model(model: CountModel, path: str) -> int:
     return version
 
 
-def load_model(spark: SparkSession, path: str, required: bool = False) -> CountModel | None:
-    """The latest saved model; ``None`` if absent, an error if ``required``."""
-    version = _read_pointer(spark, path)
+def load_model(spark: SparkSession, path: str, required: bool = False,
+               version: int | None = None) -> CountModel | None:
+    """The latest (or a given) saved model; ``None`` if absent, an error if
+    ``required``."""
+    if version is None:
+        version = _read_pointer(spark, path)
+    elif not _fs(spark, path)[0].exists(
+            _fs(spark, path)[1].org.apache.hadoop.fs.Path(os.path.join(path, f"v={version}", "meta"))):
+        version = None
     if version is None:
         if required:
             raise FileNotFoundError(f"no saved model at {path}")

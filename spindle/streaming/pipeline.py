@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spindle import constants as C
-from spindle.operators import packing
+from spindle.operators import ngram, packing
+from spindle.sources import sinks
 
 CARRY_SCHEMA = "batch_id bigint, next_step bigint, leftover array<int>"
 
@@ -140,3 +141,32 @@ def complete_stream(prompt_stream: DataFrame, encode_fn: Callable[[DataFrame], D
         done = complete_fn(encode_fn(mb))
         done.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
     run_to_end(prompt_stream, sink, checkpoint)
+
+
+# ----------------------------------------------------------------- P9 (inf)
+def epoch_sink(blocks: DataFrame, n_ids, model_path: str) -> Callable[[DataFrame, int], None]:
+    """One epoch per micro-batch: train on ``blocks`` and add to the model saved by
+    the previous micro-batch. Version ``b + 1`` is written by batch ``b`` from
+    version ``b``, so a replayed batch rewrites the same version."""
+    def sink(_ticks: DataFrame, batch_id: int) -> None:
+        spark = blocks.sparkSession
+        m = ngram.train_ngrams(blocks, n_ids)
+        prev = sinks.load_model(spark, model_path, version=batch_id) if batch_id > 0 else None
+        if prev is None and batch_id > 0:
+            prev = sinks.load_model(spark, model_path)
+        merged = ngram.merge_models(prev, m) if prev is not None else m
+        sinks.save_model(merged, model_path, version=batch_id + 1)
+    return sink
+
+
+def train_epochs_forever(blocks: DataFrame, n_ids, model_path: str, checkpoint: str,
+                         seconds_per_epoch: int = 1):
+    """P9 with ``epochs='inf'``: a rate source ticks, each micro-batch is one
+    epoch over the same batches (see ``epoch_sink``); returns the running query,
+    which the caller stops. Every epoch reads ``blocks`` from its source again,
+    as every epoch of the original reopens its data."""
+    spark = blocks.sparkSession
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return (ticks.writeStream.foreachBatch(epoch_sink(blocks, n_ids, model_path))
+            .option("checkpointLocation", checkpoint)
+            .trigger(processingTime=f"{seconds_per_epoch} seconds").start())

@@ -34,3 +34,32 @@ def test_stream_carry_goldens(spark, tmpdir_path):
                         2: [[12, 12, 20, 20], [20, 21, 21, 21]]}
     assert pipeline.read_carry(spark, state).collect()[0].leftover == [22, 22, 22]
     assert [r.step for r in got] == list(range(6))
+
+
+def test_epochs_forever_is_replay_safe(spark, tmpdir_path):
+    from spindle.operators import ngram
+    from spindle.sources import sinks
+    blocks = spark.createDataFrame([(0, 0, [1, 2, 3, 1])], "step bigint, row bigint, x array<int>")
+    path = f"{tmpdir_path}/m"
+    sink = pipeline.epoch_sink(blocks, F.lit(4), path)
+    empty = spark.range(0)
+    sink(empty, 0)
+    sink(empty, 1)
+    sink(empty, 1)          # replay of batch 1 rewrites version 2
+    m = sinks.load_model(spark, path, required=True)
+    one = ngram.train_ngrams(blocks, F.lit(4)).counts
+    want = sorted((r.ord, r.u, r.v, r.w, 2 * r.cnt) for r in one.collect())
+    assert sorted((r.ord, r.u, r.v, r.w, r.cnt) for r in m.counts.collect()) == want
+
+
+def test_epochs_forever_runs(spark, tmpdir_path):
+    from spindle.sources import sinks
+    blocks = spark.createDataFrame([(0, 0, [1, 2, 3])], "step bigint, row bigint, x array<int>")
+    q = pipeline.train_epochs_forever(blocks, F.lit(4), f"{tmpdir_path}/m", f"{tmpdir_path}/ck")
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and (sinks._read_pointer(spark, f"{tmpdir_path}/m") or 0) < 2:
+            time.sleep(1)
+    finally:
+        q.stop()
+    assert (sinks._read_pointer(spark, f"{tmpdir_path}/m") or 0) >= 2
