@@ -121,9 +121,14 @@ SLIDE_SIZE, SLIDE_STRIDE = C.BLOCK_SIZE, C.BLOCK_SIZE // 2
 
 
 def stream_parts(spark, sf_dir):
-    """Encoded corpus (written once) with lazily joined offsets, and its total."""
+    """Encoded corpus (written once) with lazily joined offsets, and its total.
+
+    The total is one number read once, so every cut (full batches, step caps)
+    becomes a literal filter instead of a repeated scalar subquery.
+    """
     e = encoded_docs(spark, sf_dir)
-    return packing.with_offsets(e), packing.stream_total(e)
+    total = e.select(packing.stream_total(e).alias("t")).first().t
+    return packing.with_offsets(e), F.lit(int(total)).cast("bigint")
 
 
 def _blocks_out(df, cols=("step", "row")):
@@ -373,7 +378,7 @@ def q_train_ngrams(spark, sf_dir):
 
 def q_resume_train(spark, sf_dir):
     v = vocab(spark, sf_dir)
-    blocks = epoch_blocks(spark, sf_dir)
+    blocks = cut_lineage(epoch_blocks(spark, sf_dir))
     half = STEPS // 2
     a = ngram.train_ngrams(blocks.filter(F.col("step") < half), v.n_ids())
     b = ngram.train_ngrams(blocks.filter(F.col("step") >= half), v.n_ids())
