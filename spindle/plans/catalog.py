@@ -1,9 +1,11 @@
 """Registered queries: one per operator key of the inventory.
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the driver's
-tables. Shared sub-plans (vocabulary, encoded corpus, packed blocks, model)
-are rebuilt declaratively per query; Catalyst prunes what a query does not use.
-The matching DuckDB SQL lives in ``spindle.plans.oracle``.
+tables, always over whole tables. Intermediates that later stages read more
+than once (the vocabulary, the encoded corpus, an epoch of blocks, model
+tables) are written once per query with ``checkpoint()`` into the shared
+checkpoint folder; everything else stays one declarative plan. The matching
+DuckDB SQL lives in ``spindle.plans.oracle``.
 """
 
 from __future__ import annotations
