@@ -22,7 +22,7 @@ from spindle.operators import blocklist, bpe, codec, ngram, packing, scoring
 from spindle.plans import generate
 from spindle.session import cut_lineage, scratch_path
 from spindle.sources import corpus, sinks
-from spindle.streaming import pipeline
+from spindle.streaming import streams
 
 # --- fixed values: parameters of the registered queries ----------------------
 VOCAB_SIZE = 8192
@@ -367,7 +367,7 @@ def epoch_blocks(spark, sf_dir):
 def trained_model(spark, sf_dir, blocks: DataFrame | None = None) -> ngram.CountModel:
     v = vocab(spark, sf_dir)
     blocks = blocks if blocks is not None else epoch_blocks(spark, sf_dir)
-    return ngram.train_ngrams(blocks, v.n_ids())
+    return ngram.train_ngrams(blocks, v.n_ids(), max_ids=v.size + C.FIRST_WORD_ID)
 
 
 def _model_out(m: ngram.CountModel) -> DataFrame:
@@ -382,8 +382,9 @@ def q_resume_train(spark, sf_dir):
     v = vocab(spark, sf_dir)
     blocks = cut_lineage(epoch_blocks(spark, sf_dir))
     half = STEPS // 2
-    a = ngram.train_ngrams(blocks.filter(F.col("step") < half), v.n_ids())
-    b = ngram.train_ngrams(blocks.filter(F.col("step") >= half), v.n_ids())
+    bound = v.size + C.FIRST_WORD_ID
+    a = ngram.train_ngrams(blocks.filter(F.col("step") < half), v.n_ids(), max_ids=bound)
+    b = ngram.train_ngrams(blocks.filter(F.col("step") >= half), v.n_ids(), max_ids=bound)
     return _model_out(ngram.merge_models(a, b))
 
 
@@ -503,18 +504,18 @@ def q_load_model(spark, sf_dir):
 # ----------------------------------------------------------------- streaming
 def q_stream_corpus(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    stream = pipeline.stream_corpus(spark, sf_dir, docs.schema, glob="documents.parquet")
+    stream = streams.stream_corpus(spark, sf_dir, docs.schema, glob="documents.parquet")
     out = scratch_path(spark, "stream-corpus")
-    pipeline.write_stream_parquet(stream.select("doc_id", "text"), out, scratch_path(spark, "ckpt"))
+    streams.write_stream_parquet(stream.select("doc_id", "text"), out, scratch_path(spark, "ckpt"))
     return spark.read.parquet(out).select("doc_id", "text")
 
 
 def q_stream_pack(spark, sf_dir):
     v = vocab(spark, sf_dir)
     docs = table(spark, sf_dir, "documents")
-    stream = pipeline.stream_corpus(spark, sf_dir, docs.schema, glob="documents.parquet")
+    stream = streams.stream_corpus(spark, sf_dir, docs.schema, glob="documents.parquet")
     out, state = scratch_path(spark, "stream-pack"), scratch_path(spark, "stream-state")
-    pipeline.stream_pack(stream.select("doc_id", "text"), out, state, scratch_path(spark, "ckpt"),
+    streams.stream_pack(stream.select("doc_id", "text"), out, state, scratch_path(spark, "ckpt"),
                          encode_fn=lambda mb: codec.encode(mb, v))
     return _blocks_out(spark.read.parquet(out))
 
@@ -522,10 +523,10 @@ def q_stream_pack(spark, sf_dir):
 def q_complete_stream(spark, sf_dir):
     v, model, tables, _, blocked = _gen_inputs(spark, sf_dir)
     conv = table(spark, sf_dir, "conversations")
-    stream = pipeline.stream_corpus(spark, sf_dir, conv.schema, glob="conversations.parquet")
+    stream = streams.stream_corpus(spark, sf_dir, conv.schema, glob="conversations.parquet")
     cfg = generate.GenConfig(seed=SEED, max_new=1)
     out = scratch_path(spark, "stream-complete")
-    pipeline.complete_stream(
+    streams.complete_stream(
         corpus.read_prompts(stream),
         lambda mb: codec.encode(mb, v, keys=("seq_id",)),
         lambda enc: generate.complete(enc, model, cfg, blocked, tables),

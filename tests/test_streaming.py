@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from spindle.streaming import pipeline
+from spindle.streaming import streams
 
 
 def test_stream_carry_goldens(spark, tmpdir_path):
@@ -23,16 +23,16 @@ def test_stream_carry_goldens(spark, tmpdir_path):
         part = [p for p in os.listdir(f"{src}/f{f}") if p.endswith(".parquet")][0]
         os.link(f"{src}/f{f}/{part}", f"{flat}/f{f}.parquet")
         os.utime(f"{flat}/f{f}.parquet", (1_000_000 + f, 1_000_000 + f))
-    stream = pipeline.stream_corpus(spark, flat, "doc_id bigint, ids array<int>")
+    stream = streams.stream_corpus(spark, flat, "doc_id bigint, ids array<int>")
     out, state = f"{tmpdir_path}/out", f"{tmpdir_path}/state"
-    pipeline.stream_pack(stream, out, state, f"{tmpdir_path}/ckpt", block=4, batch=1)
+    streams.stream_pack(stream, out, state, f"{tmpdir_path}/ckpt", block=4, batch=1)
     got = spark.read.parquet(out).orderBy("step").collect()
     by_batch = {}
     for r in got:
         by_batch.setdefault(r.batch_id, []).append(r.x)
     assert by_batch == {0: [[0, 0, 0, 1], [1, 1, 2, 2]], 1: [[2, 10, 10, 10], [11, 11, 11, 12]],
                         2: [[12, 12, 20, 20], [20, 21, 21, 21]]}
-    assert pipeline.read_carry(spark, state).collect()[0].leftover == [22, 22, 22]
+    assert streams.read_carry(spark, state).collect()[0].leftover == [22, 22, 22]
     assert [r.step for r in got] == list(range(6))
 
 
@@ -41,7 +41,7 @@ def test_epochs_forever_is_replay_safe(spark, tmpdir_path):
     from spindle.sources import sinks
     blocks = spark.createDataFrame([(0, 0, [1, 2, 3, 1])], "step bigint, row bigint, x array<int>")
     path = f"{tmpdir_path}/m"
-    sink = pipeline.epoch_sink(blocks, F.lit(4), path)
+    sink = streams.epoch_sink(blocks, F.lit(4), path)
     empty = spark.range(0)
     sink(empty, 0)
     sink(empty, 1)
@@ -55,7 +55,7 @@ def test_epochs_forever_is_replay_safe(spark, tmpdir_path):
 def test_epochs_forever_runs(spark, tmpdir_path):
     from spindle.sources import sinks
     blocks = spark.createDataFrame([(0, 0, [1, 2, 3])], "step bigint, row bigint, x array<int>")
-    q = pipeline.train_epochs_forever(blocks, F.lit(4), f"{tmpdir_path}/m", f"{tmpdir_path}/ck")
+    q = streams.train_epochs_forever(blocks, F.lit(4), f"{tmpdir_path}/m", f"{tmpdir_path}/ck")
     try:
         deadline = time.time() + 90
         while time.time() < deadline and (sinks._read_pointer(spark, f"{tmpdir_path}/m") or 0) < 2:
