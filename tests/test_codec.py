@@ -60,3 +60,18 @@ def test_golden_checksum_sf001(spark):
     assert agg.n == 1350852
     assert agg.chk == 259623016575
     assert enc.filter(F.col("ids")[0] < 256).count() == 112788
+
+
+def test_vocab_and_encode_independent_of_shuffle_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    try:
+        for parts in ("1", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            v = K.vocab(spark, SF001)
+            e = codec.encode(K.documents(spark, SF001), v)
+            out.append((sorted(tuple(r) for r in v.df.select("token_id", "token").collect()),
+                        sorted((r.doc_id, tuple(r.ids)) for r in e.collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
