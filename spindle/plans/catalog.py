@@ -370,6 +370,12 @@ def trained_model(spark, sf_dir, blocks: DataFrame | None = None) -> ngram.Count
     return ngram.train_ngrams(blocks, v.n_ids(), max_ids=v.size + C.FIRST_WORD_ID)
 
 
+def written_model(spark, sf_dir, blocks: DataFrame) -> ngram.CountModel:
+    """The trained counts written once: the loss reads them five times."""
+    m = trained_model(spark, sf_dir, blocks)
+    return ngram.CountModel(cut_lineage(m.counts), m.n_ids, m.max_ids)
+
+
 def _model_out(m: ngram.CountModel) -> DataFrame:
     return m.counts.select(*[F.col(c).cast("bigint").alias(c) for c in ("ord", "u", "v", "w", "cnt")])
 
@@ -390,8 +396,7 @@ def q_resume_train(spark, sf_dir):
 
 def q_cross_entropy(spark, sf_dir):
     blocks = cut_lineage(epoch_blocks(spark, sf_dir))
-    m = trained_model(spark, sf_dir, blocks)
-    ce = ngram.cross_entropy(blocks, m)
+    ce = ngram.cross_entropy(blocks, written_model(spark, sf_dir, blocks))
     return ce.select(F.col("step").cast("bigint").alias("step"), F.round("loss", 6).alias("loss"))
 
 
@@ -465,8 +470,7 @@ def q_sink_completions(spark, sf_dir):
 
 def metrics_table(spark, sf_dir) -> DataFrame:
     blocks = cut_lineage(epoch_blocks(spark, sf_dir))
-    m = trained_model(spark, sf_dir, blocks)
-    ce = ngram.cross_entropy(blocks, m).select(F.lit("run0").alias("run"), F.lit(1).alias("epoch"),
+    ce = ngram.cross_entropy(blocks, written_model(spark, sf_dir, blocks)).select(F.lit("run0").alias("run"), F.lit(1).alias("epoch"),
                                                "step", "loss")
     return ngram.format_loss(ngram.running_mean(ce, "loss", "step", ("run", "epoch")))
 
