@@ -33,8 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def documents(spark, sf_dir) -> DataFrame:
-    return corpus.read_corpus(spark, os.path.join(sf_dir, "documents.parquet"))
+def documents(spark, sf_dir, balance: bool = True) -> DataFrame:
+    return corpus.read_corpus(spark, os.path.join(sf_dir, "documents.parquet"), balance=balance)
 
 
 def vocab(spark, sf_dir) -> codec.Vocab:
@@ -52,7 +52,7 @@ def encoded_docs(spark, sf_dir, v: codec.Vocab | None = None) -> DataFrame:
 
 # ----------------------------------------------------------------- sources
 def q_scan_corpus(spark, sf_dir):
-    return documents(spark, sf_dir)
+    return documents(spark, sf_dir, balance=False)
 
 
 def q_scan_text_lines(spark, sf_dir):

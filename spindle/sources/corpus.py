@@ -35,12 +35,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def read_corpus(spark: SparkSession, path: str, text_col: str = "text",
-                id_col: str = "doc_id") -> DataFrame:
-    """A map-style dataset split (parquet); only its id and text columns."""
+                id_col: str = "doc_id", balance: bool = True) -> DataFrame:
+    """A map-style dataset split (parquet); only its id and text columns.
+
+    ``balance`` spreads a scan with too few splits for the per-row work that
+    follows (tokenisation); a plain scan does not need it.
+    """
     df = spark.read.parquet(path)
     df = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
                    F.col(text_col).cast("string").alias("text"))
-    return spread(df, "doc_id")
+    return spread(df, "doc_id") if balance else df
 
 
 # --------------------------------------------------------------------------- S2
