@@ -499,3 +499,8 @@ SQL["stream_corpus"] = "SELECT doc_id, text FROM documents"
 SQL["stream_pack"] = SQL["drop_remainder"]
 SQL["complete_stream"] = SQL["generate_step"].replace(
     f"WHEN 1 >= {C.MAX_NEW_TOKENS} THEN 'max_new'", "WHEN 1 >= 1 THEN 'max_new'")
+
+SQL["sink_completions"] = GEN + chain_sql("nts", "ctxp", "(SELECT token_id FROM blkd)", SEED, 0) + """
+SELECT d.seq_id, CAST(0 AS BIGINT) AS step, CAST(d.token_id AS BIGINT) AS token_id, v.token AS token_text
+FROM s_draw d JOIN vocab v ON v.token_id = d.token_id
+WHERE d.token_id IS NOT NULL"""
