@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import mixing, quality
+from spindle.llm import bpe, mixing, quality, simhash, token_counts
 from spindle.llm.common import table
+from spindle.session import scratch_path
+
+
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,4 +29,26 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lost_words", "base_failed", "kept")])
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules)}
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                        tokenizer("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        "component_id")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                        tokenizer("word_bpe_49k.json")))
+
+
+def digests(encoded: DataFrame) -> DataFrame:
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op5_token_counts, op6_simhash, op7_bpe)}
