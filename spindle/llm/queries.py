@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import bpe, mixing, quality, simhash, token_counts
+from spindle.llm import bpe, mixing, quality, simhash, token_counts, toxicity
 from spindle.llm.common import table
 from spindle.session import scratch_path
 
@@ -29,6 +29,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lost_words", "base_failed", "kept")])
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn_lexicon(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, lexicon).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", toxicity.predicted().alias("predicted"), "n_terms")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                         tokenizer("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
@@ -51,4 +58,4 @@ def digests(encoded: DataFrame) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op5_token_counts, op6_simhash, op7_bpe)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_toxicity, op5_token_counts, op6_simhash, op7_bpe)}
