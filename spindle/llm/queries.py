@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import bpe, mixing, quality, simhash, token_counts, toxicity
+from spindle.llm import bpe, embedding_dedup, html_extract, mixing, quality, simhash, token_counts, toxicity
 from spindle.llm.common import table
 from spindle.session import scratch_path
 
@@ -36,6 +36,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out().alias("held_out"), "score", toxicity.predicted().alias("predicted"), "n_terms")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    weights = html_extract.learn_weights(pages)
+    return html_extract.extract_pages(pages, weights).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                         tokenizer("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
@@ -58,4 +65,11 @@ def digests(encoded: DataFrame) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_toxicity, op5_token_counts, op6_simhash, op7_bpe)}
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id",
+                        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_toxicity, op4_html_extraction, op5_token_counts, op6_simhash, op7_bpe,
+                                   op8_embedding_dedup)}
