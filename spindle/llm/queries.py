@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import bpe, embedding_dedup, html_extract, mixing, quality, simhash, token_counts, toxicity
+from spindle.llm import (bpe, chat_format, embedding_dedup, html_extract, mixing, quality, simhash,
+                         token_counts, toxicity, url_filter)
 from spindle.llm.common import table
 from spindle.session import scratch_path
 
@@ -71,5 +72,29 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rotated = chat_format.rotate(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
+    return rotated.withColumn("mask", F.array_join(spans, ","))
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as captures against a list whose entries, with their dates, are drawn from
+    the pages' own hosts and directories by hashes of the addresses."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = lambda salt, of: F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.coalesce(
+        of.cast("string"), F.lit("")))), 1, 6), 16, 10).cast("int")
+    day = lambda salt, of: F.date_add(F.lit("2024-01-01").cast("date"), number(salt, of) % 365)
+    url = F.col("url")
+    host, path = url_filter.host_of(url), url_filter.path_of(url)
+    entries = pages.where((number("listed", url) % 4 == 0) & (host != "")).select(
+        F.when(number("pattern", url) % 3 == 0, host).otherwise(
+            F.concat(host, F.lit("/"), F.split(path, "/")[1])).alias("pattern"),
+        F.element_at(F.array(*map(F.lit, ("block", "block", "allow", "none"))), number("action", url) % 4 + 1).alias("action"),
+        day("since", url).alias("listed_on"))
+    captures = pages.withColumn("fetched_on", day("fetched", F.col("page_id")))
+    return url_filter.filter_captures(captures, entries)
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_toxicity, op4_html_extraction, op5_token_counts, op6_simhash, op7_bpe,
-                                   op8_embedding_dedup)}
+                                   op8_embedding_dedup, op9_chat_formatting, op10_url_filters)}
