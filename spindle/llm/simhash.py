@@ -85,7 +85,7 @@ def segment_plan(max_bits: int, segments: int = 3) -> list[tuple[int, int, int]]
 
 
 def _segment(fp: Column, first: int, bits: int) -> Column:
-    return F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << bits) - 1))
+    return F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << bits) - 1 if bits < 64 else -1))
 
 
 def _ball(bits: int, radius: int) -> list[int]:
