@@ -55,8 +55,3 @@ FALLBACK_STANZA = (
     "His tender heir might bear his memory …\n"
 )
 FALLBACK_REPEAT = 200
-
-# --- size guards --------------------------------------------------------------
-# A vocabulary is broadcast (hash join / array lookup) only while its row count,
-# which is bounded by the ``size`` argument of ``build_vocab``, stays below this.
-BROADCAST_VOCAB_MAX = 4_000_000

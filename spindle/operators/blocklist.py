@@ -57,10 +57,10 @@ def blocked_token_ids(vocab_df: DataFrame, words: DataFrame) -> DataFrame:
 def mask_blocked(scores: DataFrame, blocked_ids: DataFrame) -> DataFrame:
     """Score of a blocked id becomes -inf.
 
-    ``blocked_ids`` is a subset of a vocabulary (bounded by its size), so it is
-    broadcast and the scores side is never shuffled for this step.
+    ``blocked_ids`` is a subset of a vocabulary; where Spark knows it to be small
+    (a written or literal table), the scores side isn't shuffled for this step.
     """
-    b = F.broadcast(blocked_ids.select(F.col("token_id").alias("_bid")).distinct())
+    b = blocked_ids.select(F.col("token_id").alias("_bid")).distinct()
     j = scores.join(b, scores["token_id"] == b["_bid"], "left")
     return j.withColumn("score", F.when(F.col("_bid").isNotNull(), F.lit(float("-inf")))
                         .otherwise(F.col("score"))).drop("_bid")
@@ -72,15 +72,17 @@ def blocked_rate(pretokens: DataFrame, words: DataFrame, key: str = "doc_id") ->
 
     Occurrences are first reduced to ``(key, token, count)`` (map-side, since a
     document lives in one split), the blocked flag is computed once per
-    distinct token, and only the reduced rows are joined to it.
+    distinct token, and only the reduced rows are joined to it. A key whose only
+    row has a null token (a document without pre-tokens) has no tokens and no rate.
     """
     per_doc = pretokens.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_c"))
-    distinct_tokens = per_doc.select("token").distinct()
+    distinct_tokens = per_doc.select("token").where(F.col("token").isNotNull()).distinct()
     blocked = matching_tokens(distinct_tokens, normalize_blocklist(words)) \
         .withColumn("_blocked", F.lit(1))
     j = per_doc.join(blocked, "token", "left")
     return (j.groupBy(key)
-            .agg(F.sum("_c").cast("bigint").alias("n_pretokens"),
+            .agg(F.sum(F.when(F.col("token").isNotNull(), F.col("_c")).otherwise(0)).cast("bigint").alias("n_pretokens"),
                  F.sum(F.when(F.col("_blocked") == 1, F.col("_c")).otherwise(0))
                   .cast("bigint").alias("n_blocked"))
-            .withColumn("blocked_rate", F.round(F.col("n_blocked") / F.col("n_pretokens"), 6)))
+            .withColumn("blocked_rate", F.when(
+                F.col("n_pretokens") > 0, F.round(F.col("n_blocked") / F.col("n_pretokens"), 6))))

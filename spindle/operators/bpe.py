@@ -96,8 +96,9 @@ def bpe_encode(tokens: DataFrame, merges: DataFrame, token_col: str = "token") -
     number of merges) is shipped to the tasks as a broadcast variable.
     """
     spark: SparkSession = tokens.sparkSession
-    table = {(r.a, r.b): r.rank for r in merges.collect()}
-    sym_id = {r.a + r.b: C.FIRST_WORD_ID + r.rank for r in merges.collect()}
+    rows = merges.collect()
+    table = {(r.a, r.b): r.rank for r in rows}
+    sym_id = {r.a + r.b: C.FIRST_WORD_ID + r.rank for r in rows}
     bc = spark.sparkContext.broadcast((table, sym_id))
 
     def run(batches):

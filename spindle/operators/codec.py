@@ -9,14 +9,14 @@ Scale notes
 * ``build_vocab`` is one partial+final hash aggregation on the pre-token (hot
   tokens are combined map-side), then a top-N ``TakeOrderedAndProject`` whose
   output is bounded by ``size``.
-* ``encode`` explodes pre-tokens and probes a *broadcast* vocabulary (bounded by
-  ``size`` and checked against ``BROADCAST_VOCAB_MAX``), so the token stream is
-  never shuffled for the lookup. The per-document regroup runs map-side first
-  (each document lives in one input split), so the exchange carries one id array
-  per document. Above the bound the vocabulary side is a shuffle join and AQE's
-  skew-join splitting handles hot tokens.
-* ``decode`` uses an id-indexed array (ids are dense) as an O(1) lookup table
-  evaluated once as a scalar subquery, so decoding is a narrow map with no join.
+* ``encode`` explodes pre-tokens and joins the vocabulary, which is written to files
+  first: Spark broadcasts it below its own threshold, so the token stream isn't
+  shuffled for the lookup, and else joins by shuffle with skew splitting. Documents
+  that come range-partitioned by their key (``corpus.by_document``) are regrouped
+  without another exchange.
+* ``decode`` uses an id-indexed array (ids are dense, at most ``size`` + 257) as an
+  O(1) lookup table evaluated once as a scalar subquery, so decoding is a narrow map
+  with no join. An id outside the vocabulary is an error.
 """
 
 from __future__ import annotations
@@ -42,13 +42,14 @@ class Vocab:
     df: DataFrame
     size: int
 
-    @property
-    def bounded(self) -> bool:
-        return self.size + C.FIRST_WORD_ID <= C.BROADCAST_VOCAB_MAX
-
     def words(self) -> DataFrame:
-        w = self.df.filter(F.col("kind") == "word").select("token", "token_id")
-        return F.broadcast(w) if self.bounded else w
+        return self.df.filter(F.col("kind") == "word").select("token", "token_id")
+
+    def digest(self) -> str:
+        """A name of the ids and what they decode to; equal tables have equal names."""
+        row = self.df.select(F.sum(F.xxhash64("token_id", "hex").cast("decimal(38,0)")).alias("s"),
+                             F.count("*").alias("n")).first()
+        return f"{row.n}-{row.s}"
 
     def n_ids(self) -> Column:
         """Number of ids (dense 0..n-1), as a scalar subquery column."""
@@ -63,10 +64,6 @@ class Vocab:
 
 
 # --------------------------------------------------------------------------- T1
-def with_pretokens(df: DataFrame, text_col: str = "text", out_col: str = "tokens") -> DataFrame:
-    return df.withColumn(out_col, pretokenize(text_col))
-
-
 def explode_pretokens(df: DataFrame, keys=("doc_id",), text_col: str = "text") -> DataFrame:
     """One row per pre-token: keys..., pos (0-based), token."""
     return df.select(*keys, F.posexplode(pretokenize(text_col)).alias("pos", "token"))
@@ -148,11 +145,7 @@ def encode(df: DataFrame, vocab: Vocab, keys=("doc_id",), text_col: str = "text"
 def decode_token(df: DataFrame, vocab: Vocab, id_col: str = "token_id",
                  out_col: str = "token_text") -> DataFrame:
     """One id -> its text (a lone byte id >= 0x80 decodes to U+FFFD)."""
-    if vocab.bounded:
-        arr = vocab.lookup_array("token")
-        return df.withColumn(out_col, F.element_at(arr, F.col(id_col) + 1))
-    v = vocab.df.select(F.col("token_id").alias("_tid"), F.col("token").alias(out_col))
-    return df.join(v, F.col(id_col) == F.col("_tid"), "left").drop("_tid")
+    return df.withColumn(out_col, F.element_at(vocab.lookup_array("token"), F.col(id_col) + 1))
 
 
 def decode_ids(ids: Column, hex_table: Column) -> Column:
@@ -161,31 +154,10 @@ def decode_ids(ids: Column, hex_table: Column) -> Column:
     return F.make_valid_utf8(F.unhex(F.array_join(hexes, "")).cast("string"))
 
 
-def decode_seq(df: DataFrame, vocab: Vocab, ids_col: str = "ids", out_col: str = "text",
-               keys=("doc_id",)) -> DataFrame:
+def decode_seq(df: DataFrame, vocab: Vocab, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
     """T7 over a table: a new ``out_col`` with the decoded text of ``ids_col``."""
-    if vocab.bounded:
-        # the lookup array is a scalar subquery; bind it to a column first since
-        # subqueries may not appear inside lambdas
-        return (df.withColumn("_hex_table", vocab.lookup_array("hex"))
-                  .withColumn(out_col, decode_ids(F.col(ids_col), F.col("_hex_table")))
-                  .drop("_hex_table"))
-    keys = list(keys)
-    ex = df.select(*keys, F.posexplode_outer(ids_col).alias("_p", "_id"))
-    v = vocab.df.select(F.col("token_id").alias("_id"), "hex")
-    j = ex.join(v, "_id", "left")
-    part = F.when(F.col("_p").isNotNull(), F.struct("_p", "hex"))
-    g = j.groupBy(*keys).agg(F.sort_array(F.collect_list(part)).alias("_parts"))
-    txt = F.make_valid_utf8(
-        F.unhex(F.array_join(F.col("_parts").getField("hex"), "")).cast("string"))
-    return df.join(g.select(*keys, txt.alias(out_col)), keys, "left")
-
-
-# --------------------------------------------------------------------------- T8
-def token_counts(encoded: DataFrame, ids_col: str = "ids", keys=("doc_id",)) -> DataFrame:
-    """Ids per key (no shuffle: one row in, one row out)."""
-    return encoded.select(*keys, F.size(ids_col).cast("bigint").alias("n_ids"))
-
-
-def total_tokens(encoded: DataFrame, ids_col: str = "ids") -> DataFrame:
-    return encoded.agg(F.sum(F.size(ids_col)).cast("bigint").alias("n_ids"))
+    # the lookup array is a scalar subquery; bind it to a column first since
+    # subqueries may not appear inside lambdas
+    return (df.withColumn("_hex_table", vocab.lookup_array("hex"))
+              .withColumn(out_col, decode_ids(F.col(ids_col), F.col("_hex_table")))
+              .drop("_hex_table"))

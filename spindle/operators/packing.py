@@ -8,14 +8,15 @@ per block it overlaps, and a block is the ordered concatenation of at most
 
 Scale notes
 -----------
-* Offsets (P1) use a two-level prefix sum over the narrow ``(doc_id, n)``
-  table: a window per ``doc_id`` bucket plus a window over the (few) bucket
-  totals. No single-partition window ever sees per-document rows.
-* The encoded table arrives hash-partitioned by ``doc_id`` (output of the
-  encode regroup), so joining offsets back only moves the narrow table.
+* Offsets (P1) are running sums within sorted ranges of the key, taken where the rows
+  lie (``mapInArrow`` over a sorted partition passes the id arrays through), plus the
+  total of the ranges before, one row per range. No window or task sees more than a
+  range, whether keys are dense or hashed.
+* The encoded corpus is range-partitioned by ``doc_id`` already if its text was
+  (``corpus.by_document``): then no exchange moves the id arrays before the blocks.
 * Step caps and full-batch cuts are applied at document level before any
-  slice is generated, so a 1000-step epoch over a 100 TB corpus only touches
-  the documents that reach the first 4,096,000 positions.
+  slice is generated, so a 1000-step epoch slices only the documents that reach
+  the first 4,096,000 positions (all documents are encoded before).
 * Repetition (wrap, carry, epochs) is a per-row ``sequence`` generator, not a
   join: no pair of tables is multiplied.
 """
@@ -24,39 +25,62 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from spindle import constants as C
-
-OFFSET_BUCKET = 1 << 16   # doc ids per first-level prefix-sum bucket
-
+from spindle.session import written
 
 # --------------------------------------------------------------------------- P1
-def token_offsets(lens: DataFrame, order_col: str = "doc_id", len_col: str = "n",
-                  bucket_size: int = OFFSET_BUCKET) -> DataFrame:
+def _running(df: DataFrame, key: str, n: str, ordered: bool) -> DataFrame:
+    """``df`` plus ``offset``: the sum of ``n`` over all rows before, by ``key``. ``ordered``
+    says that ``df`` is range-partitioned by ``key``, which is checked."""
+    if not ordered:
+        df = df.repartitionByRange(key)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part, before = TaskContext.get().partitionId(), 0
+        for b in batches:
+            n_of = b.column(b.schema.names.index(n)).to_numpy(zero_copy_only=False).astype(np.int64)
+            upto = before + np.cumsum(n_of)
+            if len(upto):
+                before = int(upto[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.full(len(n_of), part, np.int32)), pa.array(upto - n_of)],
+                [*b.schema.names, "_part", "_local"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "_part int", "_local bigint"])
+    local = written(df.sortWithinPartitions(key).mapInArrow(run, schema), "offsets")
+    # one row per range
+    parts = (local.groupBy("_part").agg(F.sum(n).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+             .orderBy("_part").collect())
+    start, starts, last = 0, [], None
+    for p in parts:
+        if last is not None and p.lo is not None and p.lo < last:
+            raise ValueError(f"rows aren't partitioned by ranges of {key}")
+        starts.append((p["_part"], start))
+        start, last = start + (p.n or 0), p.hi if p.hi is not None else last
+    table = df.sparkSession.createDataFrame(starts, "_part int, _start bigint")
+    return (local.join(table, "_part").withColumn("offset", F.col("_start") + F.col("_local"))
+            .drop("_part", "_local", "_start"))
+
+
+def token_offsets(lens: DataFrame, order_col: str = "doc_id", len_col: str = "n") -> DataFrame:
     """``offset`` = number of ids in all rows before this one (by ``order_col``).
 
     ``lens`` must be narrow: ``(order_col, len_col)``.
     """
-    b = F.floor(F.col(order_col) / F.lit(bucket_size)).alias("_bucket")
-    lens = lens.select(order_col, F.col(len_col).cast("bigint").alias(len_col), b)
-    in_bucket = Window.partitionBy("_bucket").orderBy(order_col) \
-                      .rowsBetween(Window.unboundedPreceding, -1)
-    local = lens.withColumn("_local", F.coalesce(F.sum(len_col).over(in_bucket), F.lit(0)))
-    totals = lens.groupBy("_bucket").agg(F.sum(len_col).alias("_btotal"))
-    # one row per bucket: (#rows / 65536) rows in a single partition
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("_bucket", F.coalesce(F.sum("_btotal").over(before), F.lit(0))
-                           .alias("_bstart"))
-    return (local.join(starts, "_bucket")
-            .select(order_col, len_col, (F.col("_bstart") + F.col("_local")).alias("offset")))
-
-
-def with_offsets(encoded: DataFrame, ids_col: str = "ids", key: str = "doc_id") -> DataFrame:
-    """Encoded rows plus ``n`` (id count) and ``offset`` in the concatenated stream."""
-    lens = encoded.select(key, F.size(ids_col).alias("n"))
-    offs = token_offsets(lens, key, "n")
-    return encoded.join(offs, key)
+    return _running(lens.select(order_col, F.col(len_col).cast("bigint").alias(len_col)), order_col, len_col, False)
+
+
+def with_offsets(encoded: DataFrame, ids_col: str = "ids", key: str = "doc_id", ordered: bool = False) -> DataFrame:
+    """Encoded rows plus ``n`` (id count) and ``offset`` in the concatenated stream; written
+    once. ``ordered``: the rows are range-partitioned by ``key``, as encoding leaves them
+    after ``corpus.by_document``, and stay where they are."""
+    sized = encoded.withColumn("n", F.size(ids_col).cast("bigint"))
+    return _running(sized, key, "n", ordered)
 
 
 def stream_total(encoded: DataFrame, ids_col: str = "ids") -> Column:
@@ -200,18 +224,11 @@ def training_pairs(with_offs: DataFrame, total: Column, shift: int = 0,
         return fb.select("step", "row", "x", F.col("x").alias("y"))
     if shift != 1:
         raise ValueError("shift must be 0 or 1")
-    nb = n_full_batches(total - 1, block, batch) * batch
-    xs = pack_blocks(with_offs, block, batch, nb)
-    ys = pack_blocks(with_offs.withColumn("offset", F.col("offset") - 1)
-                     .filter(F.col("offset") + F.col("n") > 0)
-                     .withColumn("ids", F.when(F.col("offset") < 0, F.slice("ids", 2, 1 << 30))
-                                 .otherwise(F.col("ids")))
-                     .withColumn("n", F.when(F.col("offset") < 0, F.col("n") - 1)
-                                 .otherwise(F.col("n")))
-                     .withColumn("offset", F.greatest(F.col("offset"), F.lit(0))),
-                     block, batch, nb)
-    return xs.join(ys.select("block", F.col("x").alias("y")), "block") \
-             .select("step", "row", "x", "y")
+    # windows of block + 1 ids, one block apart: x is all but the last id, y all but the first
+    n_blocks = n_full_batches(total - 1, block, batch) * batch
+    w = sliding_blocks(with_offs, total, block + 1, block).filter(F.col("window") < n_blocks)
+    return w.select(F.floor(F.col("window") / batch).alias("step"), (F.col("window") % batch).alias("row"),
+                    F.slice("x", 1, block).alias("x"), F.slice("x", 2, block).alias("y"))
 
 
 # -------------------------------------------------------------------------- P11

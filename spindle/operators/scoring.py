@@ -175,8 +175,9 @@ def sample(probs: DataFrame, seed: int, step) -> DataFrame:
     r = (probs.withColumn("_rn", F.row_number().over(_ranked()))
               .withColumn("_cum", F.sum("p").over(_running()))
               .withColumn("u", md5_uniform(F.lit(seed), F.col("seq_id"), step_col)))
+    # rounding may keep the total below u: then the last id that can be drawn at all
     drawn = F.coalesce(F.min_by("token_id", F.when(F.col("_cum") > F.col("u"), F.col("_rn"))),
-                       F.max_by("token_id", F.col("_rn")))
+                       F.max_by("token_id", F.when(F.col("p") > 0, F.col("_rn"))))
     # a sequence whose kept mass is 0 has no candidate: no token is drawn
     return r.groupBy("seq_id").agg(
         F.when(F.sum("p") > 0, drawn).alias("token_id"),

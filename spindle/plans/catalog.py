@@ -20,7 +20,7 @@ from spindle import constants as C
 from spindle.functions.text import dataset_tag, ids_to_string
 from spindle.operators import blocklist, bpe, codec, ngram, packing, scoring
 from spindle.plans import generate
-from spindle.session import cut_lineage, scratch_path
+from spindle.session import cut_lineage, scratch_path, written
 from spindle.sources import corpus, sinks
 from spindle.streaming import streams
 
@@ -33,26 +33,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def documents(spark, sf_dir, balance: bool = True) -> DataFrame:
-    return corpus.read_corpus(spark, os.path.join(sf_dir, "documents.parquet"), balance=balance)
+def documents(spark, sf_dir, ordered: bool = True) -> DataFrame:
+    return corpus.read_corpus(spark, os.path.join(sf_dir, "documents.parquet"), ordered=ordered)
 
 
 def vocab(spark, sf_dir) -> codec.Vocab:
     """The learned vocabulary, written once per plan (bounded by VOCAB_SIZE)."""
     docs = documents(spark, sf_dir)
     v = codec.build_vocab(codec.explode_pretokens(docs), VOCAB_SIZE)
-    return codec.Vocab(cut_lineage(v.df), v.size)
+    return codec.Vocab(written(v.df, "vocab"), v.size)
 
 
 def encoded_docs(spark, sf_dir, v: codec.Vocab | None = None) -> DataFrame:
     """The encoded corpus ``(doc_id, ids)``, written once and reused downstream."""
     v = v or vocab(spark, sf_dir)
-    return cut_lineage(codec.encode(documents(spark, sf_dir), v))
+    return written(codec.encode(documents(spark, sf_dir), v), "encoded")
 
 
 # ----------------------------------------------------------------- sources
 def q_scan_corpus(spark, sf_dir):
-    return documents(spark, sf_dir, balance=False)
+    return documents(spark, sf_dir, ordered=False)
 
 
 def q_scan_text_lines(spark, sf_dir):
@@ -122,15 +122,16 @@ EPOCHS = 2
 SLIDE_SIZE, SLIDE_STRIDE = C.BLOCK_SIZE, C.BLOCK_SIZE // 2
 
 
-def stream_parts(spark, sf_dir):
-    """Encoded corpus (written once) with lazily joined offsets, and its total.
+def stream_parts(spark, sf_dir, v: codec.Vocab | None = None):
+    """Encoded corpus with offsets (written once), and its total.
 
     The total is one number read once, so every cut (full batches, step caps)
     becomes a literal filter instead of a repeated scalar subquery.
     """
-    e = encoded_docs(spark, sf_dir)
-    total = e.select(packing.stream_total(e).alias("t")).first().t
-    return packing.with_offsets(e), F.lit(int(total)).cast("bigint")
+    v = v or vocab(spark, sf_dir)
+    wo = packing.with_offsets(codec.encode(documents(spark, sf_dir), v), ordered=True)
+    total = wo.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t")).first().t
+    return wo, F.lit(int(total)).cast("bigint")
 
 
 def _blocks_out(df, cols=("step", "row")):
@@ -194,6 +195,13 @@ def q_training_pairs(spark, sf_dir):
                      ids_to_string("x").alias("x"), ids_to_string("y").alias("y"))
 
 
+def q_training_pairs_same(spark, sf_dir):
+    wo, tot = stream_parts(spark, sf_dir)
+    tp = packing.training_pairs(wo, tot, shift=0)
+    return tp.select(F.col("step").cast("bigint").alias("step"), F.col("row").cast("bigint").alias("row"),
+                     ids_to_string("x").alias("x"), ids_to_string("y").alias("y"))
+
+
 def q_sliding_blocks(spark, sf_dir):
     wo, tot = stream_parts(spark, sf_dir)
     return _blocks_out(packing.sliding_blocks(wo, tot, SLIDE_SIZE, SLIDE_STRIDE), ("window",))
@@ -223,7 +231,8 @@ def q_blocked_token_ids(spark, sf_dir):
 
 
 def q_blocked_rate(spark, sf_dir):
-    pre = codec.explode_pretokens(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    pre = docs.select("doc_id", F.explode_outer(codec.pretokenize("text")).alias("token"))
     r = blocklist.blocked_rate(pre, blocklist_words(spark))
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("bigint").alias("toxic"))
     return r.join(labels, "doc_id", "left")
@@ -358,22 +367,20 @@ def q_processor_chain(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- count model
-def epoch_blocks(spark, sf_dir):
-    """One reference epoch: 1000 wrapped steps of the encoded documents."""
-    wo, tot = stream_parts(spark, sf_dir)
-    return packing.pack_wrap(wo, tot, STEPS)
+def corpus_blocks(spark, sf_dir, v: codec.Vocab):
+    """All full batches of the encoded documents, and how many there are."""
+    wo, tot = stream_parts(spark, sf_dir, v)
+    return packing.full_batches(wo, tot), tot
 
 
-def trained_model(spark, sf_dir, blocks: DataFrame | None = None) -> ngram.CountModel:
-    v = vocab(spark, sf_dir)
-    blocks = blocks if blocks is not None else epoch_blocks(spark, sf_dir)
-    return ngram.train_ngrams(blocks, v.n_ids(), max_ids=v.size + C.FIRST_WORD_ID)
+def train(v: codec.Vocab, blocks: DataFrame) -> ngram.CountModel:
+    return ngram.train_ngrams(blocks, v.n_ids(), max_ids=v.size + C.FIRST_WORD_ID, vocab=v.digest())
 
 
-def written_model(spark, sf_dir, blocks: DataFrame) -> ngram.CountModel:
+def written_model(v: codec.Vocab, blocks: DataFrame) -> ngram.CountModel:
     """The trained counts written once: the loss reads them five times."""
-    m = trained_model(spark, sf_dir, blocks)
-    return ngram.CountModel(cut_lineage(m.counts), m.n_ids, m.max_ids)
+    m = train(v, blocks)
+    return ngram.CountModel(written(m.counts, "counts"), m.n_ids, m.max_ids, m.vocab)
 
 
 def _model_out(m: ngram.CountModel) -> DataFrame:
@@ -381,22 +388,24 @@ def _model_out(m: ngram.CountModel) -> DataFrame:
 
 
 def q_train_ngrams(spark, sf_dir):
-    return _model_out(trained_model(spark, sf_dir))
+    v = vocab(spark, sf_dir)
+    return _model_out(train(v, corpus_blocks(spark, sf_dir, v)[0]))
 
 
 def q_resume_train(spark, sf_dir):
+    """Two halves of the corpus trained apart and added up."""
     v = vocab(spark, sf_dir)
-    blocks = cut_lineage(epoch_blocks(spark, sf_dir))
-    half = STEPS // 2
-    bound = v.size + C.FIRST_WORD_ID
-    a = ngram.train_ngrams(blocks.filter(F.col("step") < half), v.n_ids(), max_ids=bound)
-    b = ngram.train_ngrams(blocks.filter(F.col("step") >= half), v.n_ids(), max_ids=bound)
+    blocks = written(corpus_blocks(spark, sf_dir, v)[0], "blocks")
+    half = blocks.agg(F.floor((F.max("step") + 1) / 2)).first()[0] or 0
+    a = train(v, blocks.filter(F.col("step") < half))
+    b = train(v, blocks.filter(F.col("step") >= half))
     return _model_out(ngram.merge_models(a, b))
 
 
 def q_cross_entropy(spark, sf_dir):
-    blocks = cut_lineage(epoch_blocks(spark, sf_dir))
-    ce = ngram.cross_entropy(blocks, written_model(spark, sf_dir, blocks))
+    v = vocab(spark, sf_dir)
+    blocks = written(corpus_blocks(spark, sf_dir, v)[0], "blocks")
+    ce = ngram.cross_entropy(blocks, written_model(v, blocks))
     return ce.select(F.col("step").cast("bigint").alias("step"), F.round("loss", 6).alias("loss"))
 
 
@@ -423,10 +432,10 @@ GEN_MAX_NEW = 8      # new ids per prompt in the registered completion query
 
 def _gen_inputs(spark, sf_dir):
     v = vocab(spark, sf_dir)
-    model = trained_model(spark, sf_dir)
+    model = train(v, corpus_blocks(spark, sf_dir, v)[0])
     tables = generate.ScoringTables.of(model)
-    prompts = cut_lineage(codec.encode(corpus.read_prompts(table(spark, sf_dir, "conversations")), v,
-                                       keys=("seq_id",)))
+    prompts = written(codec.encode(corpus.read_prompts(table(spark, sf_dir, "conversations")), v,
+                                   keys=("seq_id",)), "prompts")
     blocked = blocklist.blocked_token_ids(v.df, blocklist_words(spark)).select("token_id")
     return v, model, tables, prompts, blocked
 
@@ -469,9 +478,10 @@ def q_sink_completions(spark, sf_dir):
 
 
 def metrics_table(spark, sf_dir) -> DataFrame:
-    blocks = cut_lineage(epoch_blocks(spark, sf_dir))
-    ce = ngram.cross_entropy(blocks, written_model(spark, sf_dir, blocks)).select(F.lit("run0").alias("run"), F.lit(1).alias("epoch"),
-                                               "step", "loss")
+    v = vocab(spark, sf_dir)
+    blocks = written(corpus_blocks(spark, sf_dir, v)[0], "blocks")
+    ce = ngram.cross_entropy(blocks, written_model(v, blocks)).select(
+        F.lit("run0").alias("run"), F.lit(1).alias("epoch"), "step", "loss")
     return ngram.format_loss(ngram.running_mean(ce, "loss", "step", ("run", "epoch")))
 
 
@@ -485,23 +495,22 @@ def q_sink_metrics(spark, sf_dir):
 
 
 def q_save_model(spark, sf_dir):
-    path = scratch_path(spark, "model")
-    sinks.save_model(trained_model(spark, sf_dir), path)
-    loaded = sinks.load_model(spark, path, required=True)
-    return _model_out(loaded)
+    path, v = scratch_path(spark, "model"), vocab(spark, sf_dir)
+    sinks.save_model(train(v, corpus_blocks(spark, sf_dir, v)[0]), path, vocab=v)
+    return _model_out(sinks.load_model(spark, path, required=True))
 
 
 def q_load_model(spark, sf_dir):
     """Resume: load (absent -> fresh), train one more epoch, save, load again."""
-    path = scratch_path(spark, "model")
-    blocks = cut_lineage(epoch_blocks(spark, sf_dir))
+    path, v = scratch_path(spark, "model"), vocab(spark, sf_dir)
+    blocks = written(corpus_blocks(spark, sf_dir, v)[0], "blocks")
     first = sinks.load_model(spark, path, required=False)        # nothing saved yet
-    m = trained_model(spark, sf_dir, blocks)
+    m = train(v, blocks)
     if first is not None:
         m = ngram.merge_models(first, m)
-    sinks.save_model(m, path)
+    sinks.save_model(m, path, vocab=v)
     prev = sinks.load_model(spark, path, required=True)
-    sinks.save_model(ngram.merge_models(prev, trained_model(spark, sf_dir, blocks)), path)
+    sinks.save_model(ngram.merge_models(prev, train(sinks.load_vocab(spark, path), blocks)), path, vocab=v)
     return _model_out(sinks.load_model(spark, path, required=True))
 
 
@@ -587,6 +596,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "steps_per_epoch": q_steps_per_epoch,
     "epochs": q_epochs,
     "training_pairs": q_training_pairs,
+    "training_pairs_same": q_training_pairs_same,
     "sliding_blocks": q_sliding_blocks,
     "truncate_context": q_truncate_context,
     "blocked_token_ids": q_blocked_token_ids,

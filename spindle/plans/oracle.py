@@ -89,7 +89,7 @@ SELECT doc_id,
 FROM documents"""
 
 SQL["scan_prompts"] = """
-SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS seq_id, text
+SELECT conv_id || ':' || turn AS seq_id, text
 FROM conversations WHERE role = 'user'"""
 
 _stem = r"regexp_replace(string_split(url, '/')[-1], '^(\.*[^.].*)\.[^.]*$', '\1')"
@@ -224,6 +224,9 @@ SELECT xb.block // {R} AS step, xb.block % {R} AS "row",
        array_to_string(x, ' ') AS x, array_to_string(y, ' ') AS y
 FROM xb JOIN yb USING (block)"""
 
+SQL["training_pairs_same"] = PACK + """
+SELECT step, "row", array_to_string(x, ' ') AS x, array_to_string(x, ' ') AS y FROM fullb"""
+
 SQL["sliding_blocks"] = PACK + f""",
 win AS (
   SELECT w AS "window", list(token_id ORDER BY gpos) AS x
@@ -236,7 +239,7 @@ win AS (
 )""" + _bout('"window"', "win")
 
 PROMPT_PARTS = f"""
-pr AS (SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS seq_id, text FROM conversations WHERE role = 'user'),
+pr AS (SELECT conv_id || ':' || turn AS seq_id, text FROM conversations WHERE role = 'user'),
 ppt AS (
   SELECT seq_id, unnest(range(len(toks))) AS pos, unnest(toks) AS token
   FROM (SELECT seq_id, regexp_extract_all(text, '{P}') AS toks FROM pr)
@@ -273,12 +276,12 @@ WHERE EXISTS (SELECT 1 FROM bl WHERE contains(regexp_replace(lower(v.token), '^\
 SQL["blocked_rate"] = with_ctes(PRETOKENS, BL) + """,
 bt AS (SELECT token FROM (SELECT DISTINCT token FROM pt) d
        WHERE EXISTS (SELECT 1 FROM bl WHERE contains(regexp_replace(lower(d.token), '^\\s+', ''), bl.word)))
-SELECT pt.doc_id, CAST(count(*) AS BIGINT) AS n_pretokens,
+SELECT d.doc_id, CAST(count(pt.token) AS BIGINT) AS n_pretokens,
        CAST(count(bt.token) AS BIGINT) AS n_blocked,
-       round(count(bt.token) / count(*), 6) AS blocked_rate,
+       CASE WHEN count(pt.token) > 0 THEN round(count(bt.token) / count(pt.token), 6) END AS blocked_rate,
        CAST(any_value(l.toxic) AS BIGINT) AS toxic
-FROM pt LEFT JOIN bt USING (token) LEFT JOIN labels l ON l.doc_id = pt.doc_id
-GROUP BY pt.doc_id"""
+FROM documents d LEFT JOIN pt USING (doc_id) LEFT JOIN bt USING (token) LEFT JOIN labels l ON l.doc_id = d.doc_id
+GROUP BY d.doc_id"""
 
 # ---------------------------------------------------------------- score chain
 _blocked = ", ".join(str(i) for i in FIXTURE_BLOCKED)
@@ -330,7 +333,7 @@ s_topp AS (SELECT seq_id, token_id, rank, p / sum(p) OVER (PARTITION BY seq_id)
 s_draw AS (
   SELECT seq_id,
          CASE WHEN sum(p) > 0 THEN
-           COALESCE(arg_min(token_id, rank) FILTER (WHERE cum > u), arg_max(token_id, rank)) END AS token_id,
+           COALESCE(arg_min(token_id, rank) FILTER (WHERE cum > u), arg_max(token_id, rank) FILTER (WHERE p > 0)) END AS token_id,
          any_value(u) AS u
   FROM (SELECT *, sum(p) OVER (PARTITION BY seq_id ORDER BY p DESC, token_id
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
@@ -374,9 +377,9 @@ SQL["processor_chain"] = SQL["top_k"]
 # ---------------------------------------------------------------- count model
 L3, L2, L1, L0 = C.LAMBDA_3, C.LAMBDA_2, C.LAMBDA_1, C.LAMBDA_0
 
-MODEL = WRAP + f""",
+MODEL = f""",
 wpos AS (
-  SELECT step, "row", CAST(unnest(range(len(x))) AS BIGINT) AS i, unnest(x) AS w FROM wrap
+  SELECT step, "row", CAST(unnest(range(len(x))) AS BIGINT) AS i, unnest(x) AS w FROM fullb
 ),
 wctx AS (
   SELECT step, "row", i, w,

@@ -9,6 +9,7 @@ column, never an accident of partitioning.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,32 +20,27 @@ from spindle.functions.text import dataset_tag, normalize_newlines, split_lines
 
 
 # --------------------------------------------------------------------------- S1
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition by ``key`` when the scan has fewer splits than task slots.
-
-    A small input stored as one row group would otherwise run every per-row
-    step (regex tokenisation, encode) in a single task. The partitioning by
-    ``key`` is the one the per-document regroup needs anyway, so the exchange
-    replaces a later one. Large inputs already have enough splits and are left
-    untouched (no extra shuffle at scale).
+def by_document(df: DataFrame, key: str) -> DataFrame:
+    """Range-partition by ``key``, always, into ``spark.sql.shuffle.partitions`` parts.
+
+    The per-document regroup after tokenisation needs its rows clustered by ``key``
+    and packing needs them in order of it; both are given by this one exchange of the
+    text, so the longer id arrays never move.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots, key)
-    return df
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, key)
 
 
 def read_corpus(spark: SparkSession, path: str, text_col: str = "text",
-                id_col: str = "doc_id", balance: bool = True) -> DataFrame:
+                id_col: str = "doc_id", ordered: bool = False) -> DataFrame:
     """A map-style dataset split (parquet); only its id and text columns.
 
-    ``balance`` spreads a scan with too few splits for the per-row work that
-    follows (tokenisation); a plain scan does not need it.
+    ``ordered`` deals the documents to ranges of ids (see ``by_document``).
     """
     df = spark.read.parquet(path)
     df = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
                    F.col(text_col).cast("string").alias("text"))
-    return spread(df, "doc_id") if balance else df
+    return by_document(df, "doc_id") if ordered else df
 
 
 # --------------------------------------------------------------------------- S2
@@ -80,22 +76,25 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_text_dir(spark: SparkSession, directory: str) -> DataFrame:
     """Every ``*.txt`` directly inside ``directory``, ordered by file name.
 
-    Returns ``(doc_id, file_name, text)``. Names starting with ``_`` or ``.`` are
-    hidden from Spark's file index and are skipped (the plain glob would read a
-    ``_name.txt``). A directory without any ``*.txt`` is an error.
+    Returns ``(doc_id, file_name, text)``. A name starting with ``.`` is no match of
+    the glob. Spark's readers can't see a name starting with ``_``, so such a file is
+    an error, as is a file that is listed but not read, and a directory without any
+    ``*.txt``.
     """
     _require_exists(spark, directory)
     files = _list_txt_files(spark, directory)
     if not files:
         raise ValueError(f"no *.txt files in {directory}")
     # File names are metadata the driver already lists; only they become a table.
-    order = spark.createDataFrame([(p, i) for i, p in enumerate(files)],
-                                  "file_path string, doc_id bigint")
-    df = (spark.read.text(files, wholetext=True)
-          .select(F.col("_metadata.file_path").alias("file_path"),
-                  F.col("_metadata.file_name").alias("file_name"),
+    # Names are joined, not paths: a path comes back URI-encoded.
+    order = spark.createDataFrame([(os.path.basename(p), i) for i, p in enumerate(files)],
+                                  "file_name string, doc_id bigint")
+    # paths are patterns to the reader, so their special characters are escaped
+    df = (spark.read.text([re.sub(r"([\\*?\[\]{}])", r"\\\1", f) for f in files], wholetext=True)
+          .select(F.col("_metadata.file_name").alias("file_name"),
                   normalize_newlines("value").alias("text")))
-    return df.join(order, "file_path").select("doc_id", "file_name", "text")
+    read = F.coalesce("text", F.raise_error(F.concat(F.lit("not read: "), F.col("file_name"))).cast("string"))
+    return order.join(df, "file_name", "left").select("doc_id", "file_name", read.alias("text"))
 
 
 def _list_txt_files(spark: SparkSession, directory: str) -> list[str]:
@@ -105,7 +104,9 @@ def _list_txt_files(spark: SparkSession, directory: str) -> list[str]:
     out = []
     for st in fs.listStatus(jpath):
         name = st.getPath().getName()
-        if st.isFile() and name.endswith(".txt") and name[:1] not in ("_", "."):
+        if st.isFile() and name.startswith("_") and name.endswith(".txt"):
+            raise ValueError(f"{name}: Spark can't read files whose names begin with an underscore; rename it")
+        if st.isFile() and name.endswith(".txt") and not name.startswith("."):
             out.append(st.getPath().toString())
     return sorted(out)
 
@@ -177,8 +178,8 @@ def with_dataset_tag(df: DataFrame, col: str, out_col: str = "tag") -> DataFrame
 
 # --------------------------------------------------------------------------- S9
 def read_prompts(conversations: DataFrame) -> DataFrame:
-    """User turns as prompts, ``seq_id = conv_id * 1000 + turn``."""
-    p = (conversations.filter(F.col("role") == "user")
-         .select((F.col("conv_id") * 1000 + F.col("turn")).cast("bigint").alias("seq_id"),
-                 F.col("text").alias("text")))
-    return p if p.isStreaming else spread(p, "seq_id")
+    """User turns as prompts, ``seq_id = 'conv_id:turn'`` (a string, so that no two
+    turns share one, whatever their numbers)."""
+    return (conversations.filter(F.col("role") == "user")
+            .select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("seq_id"),
+                    F.col("text").alias("text")))

@@ -1,9 +1,9 @@
 """Sinks: S10-S13.
 
-Model checkpoints are directories of Parquet tables, one per saved version,
-plus a small pointer file naming the latest complete version. A save writes
-the new version first and moves the pointer last, so a reader never sees a
-half-written model and a failed save leaves the previous one intact.
+Model checkpoints are directories of Parquet tables, one per saved version. The
+last table of a version is written when all others are there, and the latest
+version is the highest one that has it: a reader never sees a half-written
+model, and a failed save leaves the previous one as the latest.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from spindle.operators.codec import Vocab, decode_token
 from spindle.operators.ngram import CountModel
 
-POINTER = "_LATEST"
-
 
 # -------------------------------------------------------------------------- S10
 def completion_tokens(state: DataFrame, vocab: Vocab) -> DataFrame:
@@ -34,8 +32,10 @@ def write_completions(state: DataFrame, vocab: Vocab, path: str) -> None:
 
 # -------------------------------------------------------------------------- S11
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Append per-step progress rows, partitioned by run and epoch."""
-    metrics.write.mode("append").partitionBy("run", "epoch").parquet(path)
+    """Per-step progress rows, partitioned by run and epoch. An epoch that is written
+    again, as after a failure, replaces its rows; other epochs stay."""
+    (metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run", "epoch").parquet(path))
 
 
 # ------------------------------------------------------------------ S12 / S13
@@ -45,63 +45,70 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
 
-def _read_pointer(spark: SparkSession, path: str) -> int | None:
+def _complete(spark: SparkSession, path: str, version: int) -> bool:
     fs, jvm = _fs(spark, path)
-    ptr = jvm.org.apache.hadoop.fs.Path(os.path.join(path, POINTER))
-    if not fs.exists(ptr):
-        return None
-    stream = fs.open(ptr)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return int(reader.readLine().strip())
-    finally:
-        stream.close()
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(os.path.join(path, f"v={version}", "meta", "_SUCCESS")))
 
 
-def _write_pointer(spark: SparkSession, path: str, version: int) -> None:
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """The highest version that was written to its end."""
     fs, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(os.path.join(path, f"{POINTER}.{version}.tmp"))
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(f"{version}\n", "utf-8"))
-    finally:
-        out.close()
-    dst = jvm.org.apache.hadoop.fs.Path(os.path.join(path, POINTER))
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(tmp, dst)
-
-
-def save_model(model: CountModel, path: str, version: int | None = None) -> int:
-    """Write the counts as a new version, then point to it. Returns it.
-
-    An explicit ``version`` overwrites that version (idempotent replays).
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    if not fs.exists(top):
+        return None
+    names = [st.getPath().getName() for st in fs.listStatus(top)]
+    found = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
+    return max((v for v in found if _complete(spark, path, v)), default=None)
+
+
+def save_model(model: CountModel, path: str, version: int | None = None, vocab: Vocab | None = None) -> int:
+    """Write the counts, and the vocabulary if given, as a new version. Returns it.
+
+    ``meta`` is written last and makes the version count; one that is rewritten
+    (an explicit ``version``, as in a replay) doesn't count meanwhile.
     """
     spark = model.counts.sparkSession
     if version is None:
-        version = (_read_pointer(spark, path) or 0) + 1
+        version = (latest_version(spark, path) or 0) + 1
     vdir = os.path.join(path, f"v={version}")
+    fs, jvm = _fs(spark, path)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(os.path.join(vdir, "meta")), True)
     model.counts.write.mode("overwrite").parquet(os.path.join(vdir, "counts"))
-    spark.range(1).select(model.n_ids.cast("bigint").alias("n_ids")) \
+    if vocab is not None:
+        vocab.df.write.mode("overwrite").parquet(os.path.join(vdir, "vocab"))
+    name = vocab.digest() if vocab is not None else model.vocab
+    spark.range(1).select(model.n_ids.cast("bigint").alias("n_ids"), F.lit(name).cast("string").alias("vocab"),
+                          F.lit(vocab.size if vocab is not None else None).cast("int").alias("size")) \
          .write.mode("overwrite").parquet(os.path.join(vdir, "meta"))
-    _write_pointer(spark, path, version)
     return version
 
 
+def _version(spark: SparkSession, path: str, required: bool, version: int | None) -> str | None:
+    if version is None:
+        version = latest_version(spark, path)
+    elif not _complete(spark, path, version):
+        version = None
+    if version is None and required:
+        raise FileNotFoundError(f"no saved model at {path}")
+    return None if version is None else os.path.join(path, f"v={version}")
+
+
 def load_model(spark: SparkSession, path: str, required: bool = False,
                version: int | None = None) -> CountModel | None:
     """The latest (or a given) saved model; ``None`` if absent, an error if
     ``required``."""
-    if version is None:
-        version = _read_pointer(spark, path)
-    elif not _fs(spark, path)[0].exists(
-            _fs(spark, path)[1].org.apache.hadoop.fs.Path(os.path.join(path, f"v={version}", "meta"))):
-        version = None
-    if version is None:
-        if required:
-            raise FileNotFoundError(f"no saved model at {path}")
+    vdir = _version(spark, path, required, version)
+    if vdir is None:
         return None
-    vdir = os.path.join(path, f"v={version}")
     counts = spark.read.parquet(os.path.join(vdir, "counts"))
-    n_ids = spark.read.parquet(os.path.join(vdir, "meta")).select("n_ids").scalar()
-    return CountModel(counts, n_ids)
+    meta = spark.read.parquet(os.path.join(vdir, "meta"))
+    return CountModel(counts, meta.select("n_ids").scalar(), vocab=meta.first()["vocab"])
+
+
+def load_vocab(spark: SparkSession, path: str, version: int | None = None) -> Vocab:
+    """The vocabulary saved with a model: with it a loaded model encodes and decodes."""
+    vdir = _version(spark, path, True, version)
+    size = spark.read.parquet(os.path.join(vdir, "meta")).first()["size"]
+    if size is None:
+        raise FileNotFoundError(f"the model at {vdir} was saved without its vocabulary")
+    return Vocab(spark.read.parquet(os.path.join(vdir, "vocab")), size)

@@ -120,6 +120,7 @@ def stream_pack(stream: DataFrame, out: str, state_dir: str, checkpoint: str,
         spark = mb.sparkSession
         carry = _latest_carry(spark, state_dir, batch_id)
         enc = encode_fn(mb) if encode_fn is not None else mb
+        # the rows with offsets are written once, and both outputs read them
         blocks, new_carry = pack_micro_batch(enc, carry, block, batch)
         blocks.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
         new_carry.write.mode("overwrite").parquet(
@@ -144,29 +145,42 @@ def complete_stream(prompt_stream: DataFrame, encode_fn: Callable[[DataFrame], D
 
 
 # ----------------------------------------------------------------- P9 (inf)
-def epoch_sink(blocks: DataFrame, n_ids, model_path: str) -> Callable[[DataFrame, int], None]:
-    """One epoch per micro-batch: train on ``blocks`` and add to the model saved by
-    the previous micro-batch. Version ``b + 1`` is written by batch ``b`` from
-    version ``b``, so a replayed batch rewrites the same version."""
+def epoch_sink(blocks: DataFrame, n_ids, model_path: str, base: int = 0) -> Callable[[DataFrame, int], None]:
+    """One epoch per micro-batch: train on ``blocks`` and add to the model before. Batch
+    ``b`` writes version ``base + b + 1`` from version ``base + b``, so a replayed batch
+    rewrites the same version and nothing up to ``base`` is ever written."""
     def sink(_ticks: DataFrame, batch_id: int) -> None:
         spark = blocks.sparkSession
         m = ngram.train_ngrams(blocks, n_ids)
-        prev = sinks.load_model(spark, model_path, version=batch_id) if batch_id > 0 else None
-        if prev is None and batch_id > 0:
-            prev = sinks.load_model(spark, model_path)
-        merged = ngram.merge_models(prev, m) if prev is not None else m
-        sinks.save_model(merged, model_path, version=batch_id + 1)
+        before = base + batch_id
+        if before:
+            m = ngram.merge_models(sinks.load_model(spark, model_path, required=True, version=before), m)
+        sinks.save_model(m, model_path, version=before + 1)
     return sink
 
 
+def run_base(spark: SparkSession, model_path: str, checkpoint: str) -> int:
+    """The model version that a run started from (0: none), noted once beside its stream
+    checkpoint, so that a restarted run goes on from there."""
+    note = os.path.join(checkpoint, "base")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(os.path.join(note, "_SUCCESS"))
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        base = sinks.latest_version(spark, model_path) or 0
+        spark.range(1).select(F.lit(base).alias("base")).write.mode("overwrite").parquet(note)
+    return spark.read.parquet(note).first()["base"]
+
+
 def train_epochs_forever(blocks: DataFrame, n_ids, model_path: str, checkpoint: str,
                          seconds_per_epoch: int = 1):
     """P9 with ``epochs='inf'``: a rate source ticks, each micro-batch is one
-    epoch over the same batches (see ``epoch_sink``); returns the running query,
-    which the caller stops. Every epoch reads ``blocks`` from its source again,
-    as every epoch of the original reopens its data."""
+    epoch over the same batches (see ``epoch_sink``), added to the model saved at
+    ``model_path`` if there is one; returns the running query, which the caller stops.
+    Every epoch reads ``blocks`` from its source again, as every epoch of the original
+    reopens its data."""
     spark = blocks.sparkSession
+    base = run_base(spark, model_path, checkpoint)
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    return (ticks.writeStream.foreachBatch(epoch_sink(blocks, n_ids, model_path))
-            .option("checkpointLocation", checkpoint)
+    return (ticks.writeStream.foreachBatch(epoch_sink(blocks, n_ids, model_path, base))
+            .option("checkpointLocation", os.path.join(checkpoint, "stream"))
             .trigger(processingTime=f"{seconds_per_epoch} seconds").start())

@@ -103,3 +103,42 @@ def test_tail_ids(spark):
     df = spark.createDataFrame([([],), ([1, 2, 3],)], "ids array<int>")
     got = [r.t for r in df.select(packing.tail_ids("ids", 2).alias("t")).collect()]
     assert got == [[], [2, 3]]
+
+
+def test_hashed_ids_and_no_exchange_of_arrays(spark):
+    """Sparse keys are packed alike, and encoding an ordered corpus moves no id array."""
+    keys = [(i * 2_654_435_761) % 2 ** 40 for i in range(200)]
+    df = spark.createDataFrame([(k, [k % 7] * (k % 5)) for k in keys], "doc_id bigint, ids array<int>")
+    wo = packing.with_offsets(df.repartition(7))
+    want, at = {}, 0
+    for k in sorted(keys):
+        want[k] = at
+        at += k % 5
+    assert {r.doc_id: r.offset for r in wo.collect()} == want
+
+    from spindle.operators import codec
+    from spindle.sources import corpus
+    docs = corpus.read_corpus(spark, "/root/testdata/sf0.001/documents.parquet", ordered=True)
+    v = codec.build_vocab(codec.explode_pretokens(docs), 100)
+    from spindle.session import written
+    enc = codec.encode(docs, codec.Vocab(written(v.df, "vocab"), v.size)).sortWithinPartitions("doc_id")
+    plan = enc._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange rangepartitioning" in line or "Exchange hashpartitioning" in line]
+    assert len(moved) == 1 and "rangepartitioning(doc_id" in moved[0], plan
+    placed = packing.with_offsets(codec.encode(docs, codec.Vocab(written(v.df, "vocab"), v.size)), ordered=True)
+    before = 0
+    for r in placed.orderBy("doc_id").collect():
+        assert r.offset == before
+        before += len(r.ids)
+
+
+def test_rows_out_of_range_order_are_an_error(spark):
+    df = spark.createDataFrame([(i, [i]) for i in range(40)], "doc_id bigint, ids array<int>").repartition(4, "doc_id")
+    with pytest.raises(ValueError, match="ranges"):
+        packing.with_offsets(df, ordered=True)
+
+
+def test_training_pairs_same(spark):
+    wo, tot = _prep(spark, (6, 5))
+    rows = packing.training_pairs(wo, tot, shift=0, block=4, batch=1).orderBy("step").collect()
+    assert [(r.x, r.y) for r in rows] == [([0, 1, 2, 3], [0, 1, 2, 3]), ([4, 5, 6, 7], [4, 5, 6, 7])]

@@ -20,7 +20,6 @@ def test_text_dir_scan_order_and_hidden_files(spark, tmpdir_path):
     d = tmpdir_path
     _write(f"{d}/b.txt", "B1\nB2\n")
     _write(f"{d}/a.txt", "A1\nA2")
-    _write(f"{d}/_h.txt", "H")
     _write(f"{d}/.x.txt", "X")
     _write(f"{d}/z.md", "Z")
     _write(f"{d}/sub/s.txt", "S")
@@ -31,6 +30,47 @@ def test_text_dir_scan_order_and_hidden_files(spark, tmpdir_path):
     assert [r.line for r in lines] == ["A1\n", "A2", "B1\n", "B2\n"]
 
 
+def test_text_dir_reads_every_listed_file(spark, tmpdir_path):
+    names = sorted(["a b.txt", "é.txt", "100%.txt", "c#d.txt", "e%20f.txt", "plain.txt", "q?.txt"])
+    for n in names:
+        _write(f"{tmpdir_path}/{n}", f"text of {n}")
+    rows = corpus.read_text_dir(spark, tmpdir_path).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.file_name, r.text) for r in rows] == [(i, n, f"text of {n}") for i, n in enumerate(names)]
+
+
+def test_text_dir_with_a_name_spark_hides_is_an_error(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/a.txt", "A")
+    _write(f"{tmpdir_path}/_h.txt", "H")
+    with pytest.raises(ValueError, match="_h.txt"):
+        corpus.read_text_dir(spark, tmpdir_path)
+
+
+def test_prompt_ids_never_collide(spark):
+    conv = spark.createDataFrame([(1, 1000, "user", "a"), (2, 0, "user", "b"), (1, 1, "assistant", "c")],
+                                 "conv_id bigint, turn bigint, role string, text string")
+    assert {(r.seq_id, r.text) for r in corpus.read_prompts(conv).collect()} == {("1:1000", "a"), ("2:0", "b")}
+
+
+def test_no_local_scratch_on_a_cluster():
+    from spindle.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
 def test_empty_dir_is_an_error(spark, tmpdir_path):
     with pytest.raises(ValueError):
         corpus.read_text_dir(spark, tmpdir_path)

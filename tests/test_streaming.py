@@ -58,11 +58,11 @@ def test_epochs_forever_runs(spark, tmpdir_path):
     q = streams.train_epochs_forever(blocks, F.lit(4), f"{tmpdir_path}/m", f"{tmpdir_path}/ck")
     try:
         deadline = time.time() + 90
-        while time.time() < deadline and (sinks._read_pointer(spark, f"{tmpdir_path}/m") or 0) < 2:
+        while time.time() < deadline and (sinks.latest_version(spark, f"{tmpdir_path}/m") or 0) < 2:
             time.sleep(1)
     finally:
         q.stop()
-    assert (sinks._read_pointer(spark, f"{tmpdir_path}/m") or 0) >= 2
+    assert (sinks.latest_version(spark, f"{tmpdir_path}/m") or 0) >= 2
 
 
 def test_micro_batch_replay_is_idempotent(spark, tmpdir_path):
@@ -78,3 +78,54 @@ def test_micro_batch_replay_is_idempotent(spark, tmpdir_path):
     assert sorted((r.step, tuple(r.x)) for r in blocks2.collect()) == first == [(0, (1, 2, 3)), (1, (4, 5, 6))]
     nxt = streams._latest_carry(spark, state, 1).collect()[0]
     assert (nxt.next_step, nxt.leftover) == (2, [7, 8])
+
+
+def test_epochs_forever_adds_to_a_saved_model(spark, tmpdir_path):
+    """A run starts from the saved model, never writes over it, and goes on after a restart."""
+    from spindle.operators import ngram
+    from spindle.sources import sinks
+    blocks = spark.createDataFrame([(0, 0, [1, 2, 3, 1])], "step bigint, row bigint, x array<int>")
+    path, empty = f"{tmpdir_path}/m", spark.range(0)
+    sinks.save_model(ngram.train_ngrams(blocks, F.lit(4)), path)
+    total = lambda v: sinks.load_model(spark, path, True, v).counts.agg(F.sum("cnt")).first()[0]
+    one = total(1)
+    base = streams.run_base(spark, path, f"{tmpdir_path}/ck")
+    assert base == 1
+    streams.epoch_sink(blocks, F.lit(4), path, base)(empty, 0)
+    again = streams.run_base(spark, path, f"{tmpdir_path}/ck")          # restarted: same base
+    assert again == 1
+    streams.epoch_sink(blocks, F.lit(4), path, again)(empty, 0)         # batch 0 replayed
+    streams.epoch_sink(blocks, F.lit(4), path, again)(empty, 1)
+    assert (total(1), total(2), total(3)) == (one, 2 * one, 3 * one)
+    assert sinks.latest_version(spark, path) == 3
+
+
+def test_unfinished_version_does_not_count_and_vocabulary_is_saved(spark, tmpdir_path):
+    import shutil
+
+    import pytest
+    from spindle.operators import codec, ngram
+    from spindle.sources import sinks
+    docs = spark.createDataFrame([(0, "one two one")], "doc_id bigint, text string")
+    v = codec.build_vocab(codec.explode_pretokens(docs), 10)
+    blocks = spark.createDataFrame([(0, 0, [1, 2])], "step bigint, row bigint, x array<int>")
+    path = f"{tmpdir_path}/m"
+    for _ in range(2):
+        sinks.save_model(ngram.train_ngrams(blocks, v.n_ids()), path, vocab=v)
+    shutil.rmtree(f"{path}/v=2/meta")
+    assert sinks.latest_version(spark, path) == 1
+    loaded = sinks.load_vocab(spark, path)
+    assert loaded.digest() == v.digest() == sinks.load_model(spark, path).vocab
+    enc = codec.encode(docs, loaded)
+    assert codec.decode_seq(enc, loaded).first().text == "one two one"
+    with pytest.raises(Exception, match="INVALID_ARRAY_INDEX"):
+        codec.decode_seq(spark.createDataFrame([(0, [99_999])], "doc_id bigint, ids array<int>"), loaded).collect()
+
+
+def test_metrics_of_an_epoch_written_twice(spark, tmpdir_path):
+    from spindle.sources import sinks
+    rows = spark.createDataFrame([("r", e, s, 1.0) for e in (1, 2) for s in range(3)],
+                                 "run string, epoch int, step bigint, loss double")
+    sinks.write_metrics(rows, f"{tmpdir_path}/x")
+    sinks.write_metrics(rows.where("epoch = 2"), f"{tmpdir_path}/x")
+    assert spark.read.parquet(f"{tmpdir_path}/x").count() == 6
