@@ -85,19 +85,20 @@ def read_text_dir(spark: SparkSession, directory: str) -> DataFrame:
     files = _list_txt_files(spark, directory)
     if not files:
         raise ValueError(f"no *.txt files in {directory}")
-    # File names are metadata the driver already lists; only they become a table.
-    # Names are joined, not paths: a path comes back URI-encoded.
-    order = spark.createDataFrame([(os.path.basename(p), i) for i, p in enumerate(files)],
-                                  "file_name string, doc_id bigint")
+    # File names are metadata the driver already lists; only they become a table. The
+    # reader reports names URI-encoded.
+    order = spark.createDataFrame([(uri, name, i) for i, (name, uri, _) in enumerate(files)],
+                                  "_uri string, file_name string, doc_id bigint")
     # paths are patterns to the reader, so their special characters are escaped
-    df = (spark.read.text([re.sub(r"([\\*?\[\]{}])", r"\\\1", f) for f in files], wholetext=True)
-          .select(F.col("_metadata.file_name").alias("file_name"),
-                  normalize_newlines("value").alias("text")))
+    paths = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for _, _, path in files]
+    df = (spark.read.text(paths, wholetext=True)
+          .select(F.col("_metadata.file_name").alias("_uri"), normalize_newlines("value").alias("text")))
     read = F.coalesce("text", F.raise_error(F.concat(F.lit("not read: "), F.col("file_name"))).cast("string"))
-    return order.join(df, "file_name", "left").select("doc_id", "file_name", read.alias("text"))
+    return order.join(df, "_uri", "left").select("doc_id", "file_name", read.alias("text"))
 
 
-def _list_txt_files(spark: SparkSession, directory: str) -> list[str]:
+def _list_txt_files(spark: SparkSession, directory: str) -> list[tuple[str, str, str]]:
+    """(name, URI-encoded name, path) of each ``*.txt``, by name."""
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(directory)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -107,7 +108,7 @@ def _list_txt_files(spark: SparkSession, directory: str) -> list[str]:
         if st.isFile() and name.startswith("_") and name.endswith(".txt"):
             raise ValueError(f"{name}: Spark can't read files whose names begin with an underscore; rename it")
         if st.isFile() and name.endswith(".txt") and not name.startswith("."):
-            out.append(st.getPath().toString())
+            out.append((name, st.getPath().toUri().getRawPath().rsplit("/", 1)[1], st.getPath().toString()))
     return sorted(out)
 
 
