@@ -32,19 +32,23 @@ def _matchable(tokens: DataFrame, token_col: str) -> DataFrame:
 def matching_tokens(tokens: DataFrame, words: DataFrame, token_col: str = "token") -> DataFrame:
     """Rows of ``tokens`` whose normalised text contains a word (semi join).
 
-    ``tokens`` should hold distinct token texts; ``words`` is B1's output.
+    ``tokens`` should hold distinct token texts; ``words`` is B1's output. Substrings
+    travel with a hash of their token, never with its text, each once a token; the
+    text is held against the word it was matched with at the end.
     """
     lengths = words.select(F.length("word").alias("_len")).distinct()
     lens_arr = lengths.select(F.sort_array(F.collect_list("_len"))).scalar()
     t = _matchable(tokens, token_col).withColumn("_lens", lens_arr)
-    # substrings of every word length, start positions 1..len-L+1
-    subs = (t.select("*", F.explode(F.filter("_lens", lambda L: L <= F.length("_m"))).alias("_L"))
-             .select("*", F.explode(F.sequence(F.lit(1), F.length("_m") - F.col("_L") + 1))
-                     .alias("_start"))
-             .withColumn("_sub", F.expr("substring(_m, _start, _L)")))
-    hit = subs.join(words.select(F.col("word").alias("_sub")), "_sub", "left_semi")
-    keep = [c for c in tokens.columns]
-    return hit.select(*keep).distinct()
+    # distinct substrings of every word length, start positions 1..len-L+1
+    starts = lambda n: F.sequence(F.lit(1), F.length("_m") - n + 1)
+    subs = F.array_distinct(F.flatten(F.transform(
+        F.filter("_lens", lambda n: n <= F.length("_m")),
+        lambda n: F.transform(starts(n), lambda i: F.substring(F.col("_m"), i, n)))))
+    hits = (t.select(F.xxhash64("_m").alias("_key"), F.explode(subs).alias("word"))
+            .join(words, "word").distinct())
+    found = _matchable(tokens, token_col).withColumn("_key", F.xxhash64("_m"))
+    on = (found["_key"] == hits["_key"]) & F.contains(found["_m"], hits["word"])
+    return found.join(hits, on, "left_semi").select(*tokens.columns)
 
 
 # --------------------------------------------------------------------------- B2

@@ -54,27 +54,6 @@ def banned_ngram_ids(ids: Column, n: int = C.NO_REPEAT_NGRAM) -> Column:
             .otherwise(F.array().cast("array<int>"))
 
 
-def history_features(seqs: DataFrame, n: int = C.NO_REPEAT_NGRAM) -> DataFrame:
-    """``(seq_id, _banned, _hist, _last)`` from each history row (no shuffle)."""
-    ids = F.col("ids")
-    return seqs.select("seq_id",
-                       banned_ngram_ids(ids, n).alias("_banned"),
-                       F.array_distinct(ids).alias("_hist"),
-                       F.element_at(ids, -1).alias("_last"))
-
-
-FEATURES = ["_banned", "_hist", "_last"]
-
-
-def _with_seq(scores: DataFrame, seqs: DataFrame, cols: list[str], n: int):
-    """Attach history features unless already present (one join per chain)."""
-    missing = [c for c in cols if c not in scores.columns]
-    if not missing:
-        return scores, []
-    feats = history_features(seqs, n).select("seq_id", *missing)
-    return scores.join(feats, "seq_id", "left"), missing
-
-
 # --------------------------------------------------------------------------- N1
 def temperature(scores: DataFrame, t: float = C.TEMPERATURE) -> DataFrame:
     if not t > 0:
@@ -88,10 +67,17 @@ def ban(scores: DataFrame, flag: Column) -> DataFrame:
     return scores.withColumn("score", F.when(flag, F.lit(NEG_INF)).otherwise(F.col("score")))
 
 
+def _flagged(scores: DataFrame, seqs: DataFrame, ids: Column) -> DataFrame:
+    """``scores`` plus ``_hit`` (null: no) where ``ids`` of the sequence has the row's id:
+    one narrow row per (sequence, id) is joined, no array travels with the scores."""
+    marks = seqs.select(F.col("seq_id").alias("_s"), F.explode(F.array_distinct(ids)).alias("_t"), F.lit(True).alias("_hit"))
+    on = (scores["seq_id"] == F.col("_s")) & (scores["token_id"] == F.col("_t"))
+    return scores.join(marks, on, "left").drop("_s", "_t")
+
+
 def no_repeat_ngram(scores: DataFrame, seqs: DataFrame, n: int = C.NO_REPEAT_NGRAM) -> DataFrame:
-    j, added = _with_seq(scores, seqs, ["_banned"], n)
-    hit = F.coalesce(F.array_contains("_banned", F.col("token_id")), F.lit(False))
-    return ban(j, hit).drop(*added)
+    j = _flagged(scores, seqs, banned_ngram_ids(F.col("ids"), n))
+    return ban(j, F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
 # --------------------------------------------------------------------------- N3
@@ -109,9 +95,8 @@ def penalty(scores: DataFrame, flag: Column, r: float = C.REPETITION_PENALTY) ->
 
 def repetition_penalty(scores: DataFrame, seqs: DataFrame,
                        r: float = C.REPETITION_PENALTY) -> DataFrame:
-    j, added = _with_seq(scores, seqs, ["_hist"], C.NO_REPEAT_NGRAM)
-    seen = F.coalesce(F.array_contains("_hist", F.col("token_id")), F.lit(False))
-    return penalty(j, seen, r).drop(*added)
+    j = _flagged(scores, seqs, F.col("ids"))
+    return penalty(j, F.coalesce("_hit", F.lit(False)), r).drop("_hit")
 
 
 # --------------------------------------------------------------------------- N4
@@ -141,9 +126,9 @@ def zero_and_renormalize(probs: DataFrame, flag: Column) -> DataFrame:
 
 def suppress_last(probs: DataFrame, seqs: DataFrame) -> DataFrame:
     """Previous id gets p = 0, then renormalise."""
-    j, added = _with_seq(probs, seqs, ["_last"], C.NO_REPEAT_NGRAM)
+    last = seqs.select("seq_id", F.element_at("ids", -1).alias("_last"))
     flag = F.coalesce(F.col("token_id") == F.col("_last"), F.lit(False))
-    return zero_and_renormalize(j, flag).drop(*added)
+    return zero_and_renormalize(probs.join(last, "seq_id", "left"), flag).drop("_last")
 
 
 # --------------------------------------------------------------------------- N6
@@ -215,7 +200,7 @@ def processor_chain(scores: DataFrame, seqs: DataFrame, blocked_ids: DataFrame |
     ``processors`` (a list of DataFrame -> DataFrame over ``score``) replaces
     the no-repeat/penalty pair, like a user-supplied processor list.
     """
-    s = temperature(scores, t).join(history_features(seqs, n), "seq_id", "left")
+    s = temperature(scores, t)
     if blocked_ids is not None:
         from spindle.operators.blocklist import mask_blocked
         s = mask_blocked(s, blocked_ids)
@@ -225,5 +210,4 @@ def processor_chain(scores: DataFrame, seqs: DataFrame, blocked_ids: DataFrame |
     for f in processors:
         s = s.transform(f)
     probs = suppress_last(softmax(s), seqs)
-    kept = top_p(probs, p) if p is not None else top_k(probs, k)
-    return kept.drop(*FEATURES)
+    return top_p(probs, p) if p is not None else top_k(probs, k)

@@ -515,9 +515,25 @@ def q_load_model(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- streaming
+STREAM_FILES = 4
+
+
+def as_arriving(spark, df: DataFrame, key: str, name: str) -> str:
+    """A folder where the rows of ``df`` arrived in ``STREAM_FILES`` deliveries, in ranges
+    of ``key``, one after another: a stream reads one file a micro-batch."""
+    path = scratch_path(spark, name)
+    bounds = df.select(F.percentile_approx(key, [i / STREAM_FILES for i in range(1, STREAM_FILES)]).alias("b")).first().b
+    edges = [None, *sorted(set(bounds or [])), None]
+    for lo, hi in zip(edges, edges[1:]):
+        part = F.lit(True) if lo is None else F.col(key) >= lo
+        part = part if hi is None else part & (F.col(key) < hi)
+        df.filter(part if lo is not None else part | F.col(key).isNull()).write.mode("append").parquet(path)
+    return path
+
+
 def q_stream_corpus(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    stream = streams.stream_corpus(spark, sf_dir, docs.schema, glob="documents.parquet")
+    docs = documents(spark, sf_dir, ordered=False)
+    stream = streams.stream_corpus(spark, as_arriving(spark, docs, "doc_id", "arriving"), docs.schema)
     out = scratch_path(spark, "stream-corpus")
     streams.write_stream_parquet(stream.select("doc_id", "text"), out, scratch_path(spark, "ckpt"))
     return spark.read.parquet(out).select("doc_id", "text")
@@ -525,8 +541,8 @@ def q_stream_corpus(spark, sf_dir):
 
 def q_stream_pack(spark, sf_dir):
     v = vocab(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents")
-    stream = streams.stream_corpus(spark, sf_dir, docs.schema, glob="documents.parquet")
+    docs = documents(spark, sf_dir, ordered=False)
+    stream = streams.stream_corpus(spark, as_arriving(spark, docs, "doc_id", "arriving"), docs.schema)
     out, state = scratch_path(spark, "stream-pack"), scratch_path(spark, "stream-state")
     streams.stream_pack(stream.select("doc_id", "text"), out, state, scratch_path(spark, "ckpt"),
                          encode_fn=lambda mb: codec.encode(mb, v))
@@ -536,7 +552,7 @@ def q_stream_pack(spark, sf_dir):
 def q_complete_stream(spark, sf_dir):
     v, model, tables, _, blocked = _gen_inputs(spark, sf_dir)
     conv = table(spark, sf_dir, "conversations")
-    stream = streams.stream_corpus(spark, sf_dir, conv.schema, glob="conversations.parquet")
+    stream = streams.stream_corpus(spark, as_arriving(spark, conv, "conv_id", "arriving"), conv.schema)
     cfg = generate.GenConfig(seed=SEED, max_new=1)
     out = scratch_path(spark, "stream-complete")
     streams.complete_stream(
