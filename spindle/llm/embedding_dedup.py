@@ -41,7 +41,7 @@ FIT_ROWS, QUERY_ROWS = 16_384, 2048
 #: Residents aimed at for a cell, and the centroids of a half at least and at most.
 CELL_ROWS, MIN_CENTROIDS, MAX_CENTROIDS = 32, 2, 256
 #: Rows of a block.
-BLOCK = 2048
+BLOCK = 512
 TARGET_RECALL = 1.0
 #: Room left beyond the margin that the queries needed.
 SLACK = 1.25
