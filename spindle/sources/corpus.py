@@ -17,6 +17,7 @@ from pyspark.sql import Window
 
 from spindle import constants as C
 from spindle.functions.text import dataset_tag, normalize_newlines, split_lines
+from spindle.session import written
 
 
 # --------------------------------------------------------------------------- S1
@@ -67,9 +68,63 @@ def text_lines(df: DataFrame, keys=("doc_id",), text_col: str = "text") -> DataF
              .withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
+def file_lines(spark: SparkSession, files: list[tuple[str, str, str]]) -> DataFrame:
+    """S3 on files of any size: ``(doc_id, file_name, line_no, line)``, ``files`` being
+    ``(name, URI-encoded name, path)`` in the order of ``doc_id``.
+
+    The reader cuts large files into splits, at lines. Rows of a split are numbered as
+    they are read; a split's first line number is the count of the splits before it in
+    the file, from a table with one row a split. Only a file's last byte is looked at
+    beside that: whether its last line has a newline.
+    """
+    opened = [(i, name, uri, _ends_with_newline(spark, path)) for i, (name, uri, path) in enumerate(files)]
+    order = spark.createDataFrame(opened, "doc_id bigint, file_name string, _uri string, _closed boolean")
+    paths = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for _, _, path in files]
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_name").alias("_uri"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"), "value")
+    splits = lines.groupBy("_uri", "_start").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    in_file = Window.partitionBy("_uri").orderBy("_start")
+    splits = splits.select(
+        "_uri", "_start", "_first", F.sum("_n").over(Window.partitionBy("_uri")).alias("_total"),
+        F.coalesce(F.sum("_n").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    placed = lines.join(written(splits.join(order, "_uri"), "splits"), ["_uri", "_start"])
+    number = F.col("_before") + F.col("_row") - F.col("_first")
+    last = (number == F.col("_total") - 1) & ~F.col("_closed")
+    return placed.select("doc_id", "file_name", number.alias("line_no"),
+                         F.concat("value", F.when(last, "").otherwise("\n")).alias("line"))
+
+
+def _ends_with_newline(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getFileStatus(jpath).getLen()
+    if size == 0:
+        return True
+    stream = fs.open(jpath)
+    try:
+        stream.seek(size - 1)
+        return stream.read() in (10, 13)
+    finally:
+        stream.close()
+
+
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """S3 on a file: ``(doc_id, line_no, line)``."""
-    return text_lines(read_text_file(spark, path))
+    _require_exists(spark, path)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    one = (jpath.getName(), jpath.toUri().getRawPath().rsplit("/", 1)[1], path)
+    return file_lines(spark, [one]).select("doc_id", "line_no", "line")
+
+
+def read_dir_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """S4 line by line: ``(doc_id, file_name, line_no, line)`` of every ``*.txt``."""
+    _require_exists(spark, directory)
+    files = _list_txt_files(spark, directory)
+    if not files:
+        raise ValueError(f"no *.txt files in {directory}")
+    return file_lines(spark, files)
 
 
 # --------------------------------------------------------------------------- S4

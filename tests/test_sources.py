@@ -113,3 +113,29 @@ def test_with_separator(spark):
 def test_dataset_tag(spark, path, tag):
     df = spark.createDataFrame([(path,)], "p string")
     assert df.select(dataset_tag("p").alias("t")).collect()[0].t == tag
+
+
+def test_lines_of_files_cut_into_splits(spark, tmpdir_path):
+    texts = {"a b.txt": "".join(f"line {i} é\r\n" for i in range(900)) + "open end",
+             "b%.txt": "\n\nx\ry\n", "c.txt": "", "d.txt": "one\n" * 700}
+    for n, t in texts.items():
+        with open(f"{tmpdir_path}/{n}", "w", newline="") as f:
+            f.write(t)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = corpus.read_dir_lines(spark, tmpdir_path)
+        rows = df.orderBy("doc_id", "line_no").collect()
+        alone = corpus.read_text_lines(spark, f"{tmpdir_path}/a b.txt").orderBy("line_no").collect()
+        assert spark.read.text(f"{tmpdir_path}/a b.txt").rdd.getNumPartitions() > 3
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for i, (n, t) in enumerate(sorted(texts.items())):
+        mine = [r for r in rows if r.file_name == n]
+        want = t.replace("\r\n", "\n").replace("\r", "\n")
+        assert "".join(r.line for r in mine) == want and all(r.doc_id == i for r in mine)
+        assert [r.line_no for r in mine] == list(range(len(mine)))
+        assert [r.line for r in mine] == want.splitlines(keepends=True)
+    assert "".join(r.line for r in alone) == texts["a b.txt"].replace("\r\n", "\n")
