@@ -1,8 +1,8 @@
 """Byte-pair merges: T3 (learn) and T4 (encode).
 
 Symbols are written as upper-case hex of their bytes; a word is its symbols
-joined by single spaces (``"E3 81 82"``), so a merge is one regex replacement
-and never needs escaping.
+between spaces of their own (``" E3  81  82 "``), so a merge is one plain
+replacement, leftmost first, and never needs escaping.
 
 * ``learn_merges``: each round counts adjacent symbol pairs over the *distinct*
   word table weighted by frequency (partial + final hash aggregation, so hot
@@ -12,6 +12,8 @@ and never needs escaping.
 * ``bpe_encode``: distinct pre-tokens are encoded once with ``mapInPandas``
   (the merge table, bounded by the number of merges, is broadcast), then
   joined back to the occurrences.
+* ``bpe_encode_documents``: whole documents in one pass, with a bounded memo of
+  words per task; no join and no shuffle.
 
 Ids: bytes 0..255, end-of-text 256, merge ``r`` (0-based rank) is 257 + r.
 """
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle import constants as C
-from spindle.functions.text import utf8_hex
+from spindle.functions.text import pretokenize, utf8_hex
 from spindle.session import cut_lineage
 
 CHECKPOINT_EVERY = 8
@@ -32,11 +34,11 @@ def word_table(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     """``(word, freq, syms)`` from pre-token occurrences."""
     w = tokens.groupBy(F.col(token_col).alias("word")).agg(F.count(F.lit(1)).alias("freq"))
     hexes = F.regexp_extract_all(utf8_hex("word"), F.lit(".."), 0)
-    return w.select("word", "freq", F.array_join(hexes, " ").alias("syms"))
+    return w.select("word", "freq", F.concat(F.lit(" "), F.array_join(hexes, "  "), F.lit(" ")).alias("syms"))
 
 
 def _pairs(words: DataFrame) -> DataFrame:
-    arr = F.split(F.col("syms"), " ")
+    arr = F.split(F.trim(F.col("syms")), "  ")
     n = F.size(arr)
     z = F.arrays_zip(F.slice(arr, 1, n - 1).alias("a"), F.slice(arr, 2, n - 1).alias("b"))
     return (words.filter(n >= 2)
@@ -44,10 +46,6 @@ def _pairs(words: DataFrame) -> DataFrame:
             .select(F.concat_ws(" ", "p.a", "p.b").alias("pair"), "freq"))
 
 
-def merge_pattern(a: str, b: str) -> str:
-    return f"(?<=^| ){a} {b}(?= |$)"
-
-
 def learn_merges(tokens: DataFrame, n_merges: int, token_col: str = "token") -> DataFrame:
     """``(rank, a, b, freq)`` of the first ``n_merges`` merges."""
     spark = tokens.sparkSession
@@ -60,7 +58,7 @@ def learn_merges(tokens: DataFrame, n_merges: int, token_col: str = "token") ->
             break
         a, b = best[0].pair.split(" ")
         merges.append((r, a, b, int(best[0].n)))
-        words = words.withColumn("syms", F.regexp_replace("syms", merge_pattern(a, b), a + b))
+        words = words.withColumn("syms", F.replace("syms", F.lit(f" {a}  {b} "), F.lit(f" {a}{b} ")))
         if (r + 1) % CHECKPOINT_EVERY == 0:
             words = cut_lineage(words)
     return spark.createDataFrame(merges, "rank int, a string, b string, freq bigint")
@@ -114,3 +112,35 @@ def bpe_encode(tokens: DataFrame, merges: DataFrame, token_col: str = "token") -
     distinct = tokens.select(F.col(token_col).alias("word")).distinct()
     coded = distinct.mapInPandas(run, "word string, ids array<int>")
     return tokens.join(coded.withColumnRenamed("word", token_col), token_col, "left")
+
+
+MEMO_WORDS = 200_000      # words a task remembers before it starts afresh
+
+
+def bpe_encode_documents(docs: DataFrame, merges: DataFrame, key: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """T4 on documents: ``(key, ids)``, each row by itself, in one pass."""
+    rows = merges.collect()                 # bounded by the number of merges
+    ranks = {(r.a, r.b): r.rank for r in rows}
+    ids_of = {r.a + r.b: C.FIRST_WORD_ID + r.rank for r in rows}
+
+    def run(batches):
+        import pyarrow as pa
+        memo: dict[str, list[int]] = {}
+
+        def ids(word):
+            found = memo.get(word)
+            if found is None:
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                syms = _encode_word([f"{b:02X}" for b in word.encode("utf-8")], ranks)
+                found = memo[word] = [ids_of[s] if len(s) > 2 else int(s, 16) for s in syms]
+            return found
+
+        for b in batches:
+            out = [[i for w in words.as_py() or () for i in ids(w)] for words in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], [key, "ids"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return (docs.select(key, pretokenize(text_col).alias("_tokens"))
+            .mapInArrow(run, f"`{key}` {kind}, ids array<int>"))

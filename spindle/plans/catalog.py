@@ -20,7 +20,7 @@ from spindle import constants as C
 from spindle.functions.text import dataset_tag, ids_to_string
 from spindle.operators import blocklist, bpe, codec, ngram, packing, scoring
 from spindle.plans import generate
-from spindle.session import cut_lineage, scratch_path, written
+from spindle.session import scratch_path, written
 from spindle.sources import corpus, sinks
 from spindle.streaming import streams
 
@@ -576,12 +576,10 @@ def q_learn_merges(spark, sf_dir):
 
 
 def q_bpe_encode(spark, sf_dir):
-    toks = cut_lineage(codec.explode_pretokens(documents(spark, sf_dir)))
-    merges = bpe.learn_merges(toks, BPE_MERGES)
-    enc = bpe.bpe_encode(toks, merges)
-    per_doc = enc.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("_p"))
-    ids = F.flatten(F.col("_p").getField("ids"))
-    return per_doc.select("doc_id", F.size(ids).cast("bigint").alias("n_ids"), ids_to_string(ids).alias("ids"))
+    docs = documents(spark, sf_dir)
+    merges = bpe.learn_merges(codec.explode_pretokens(docs), BPE_MERGES)
+    enc = bpe.bpe_encode_documents(docs, merges)
+    return enc.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), ids_to_string("ids").alias("ids"))
 
 
 def flagship(spark, sf_dir):

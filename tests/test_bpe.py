@@ -47,3 +47,15 @@ def test_learn_and_encode_match_python(spark):
     for w, syms in table.items():
         assert enc[w] == [sym_id.get(s, int(s, 16) if len(s) == 2 else -1) for s in syms]
         assert all(i >= 0 for i in enc[w])
+
+
+def test_documents_in_one_pass_equal_tokens(spark):
+    docs = K.documents(spark, SF001).limit(10).union(
+        spark.createDataFrame([(-1, ""), (-2, None)], "doc_id bigint, text string"))
+    toks = codec.explode_pretokens(docs)
+    merges = bpe.learn_merges(toks, 8)
+    want = {}
+    for r in bpe.bpe_encode(toks, merges).orderBy("doc_id", "pos").collect():
+        want.setdefault(r.doc_id, []).extend(r.ids)
+    got = {r.doc_id: r.ids for r in bpe.bpe_encode_documents(docs, merges).collect()}
+    assert got == want | {-1: [], -2: []}
