@@ -26,16 +26,16 @@ def model_path(choice: str, base: str = ".") -> str:
     return os.path.join(base if named else choice, f"gpt_{tag}")
 
 
-def encode_corpus(docs: DataFrame, vocab: codec.Vocab) -> tuple[DataFrame, int]:
+def encode_corpus(docs: DataFrame, vocab: codec.Vocab, separator_id: int | None = None) -> tuple[DataFrame, int]:
     """``(doc_id, ids, n, offset)`` of ``docs(doc_id, text)``, written once, and the number
-    of ids."""
+    of ids; ``separator_id`` ends each document if given."""
     ordered = corpus.by_document(docs.select("doc_id", "text"), "doc_id")
-    placed = packing.with_offsets(codec.encode(ordered, vocab), ordered=True)
+    placed = packing.with_offsets(codec.encode(ordered, vocab, separator_id=separator_id), ordered=True)
     return placed, int(placed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n)
 
 
 def train(docs: DataFrame, path: str, epochs: int = 1, vocab_size: int = C.DEFAULT_VOCAB_SIZE,
-          steps: int | None = None) -> int:
+          steps: int | None = None, separator_id: int | None = None) -> int:
     """Train on ``docs(doc_id, text)`` and save to ``path``; returns the version written.
 
     A model that is there is resumed: its vocabulary encodes the corpus, and the new
@@ -51,7 +51,7 @@ def train(docs: DataFrame, path: str, epochs: int = 1, vocab_size: int = C.DEFAU
         vocab = codec.Vocab(written(v.df, "vocab"), v.size)
     else:
         vocab = sinks.load_vocab(spark, path)
-    placed, total = encode_corpus(docs, vocab)
+    placed, total = encode_corpus(docs, vocab, separator_id)
     total = F.lit(total).cast("bigint")
     blocks = packing.full_batches(placed, total) if steps is None else packing.pack_wrap(placed, total, steps)
     model = ngram.train_ngrams(packing.with_epochs(blocks, epochs), vocab.n_ids(), ("epoch", "step", "row"),
@@ -60,14 +60,15 @@ def train(docs: DataFrame, path: str, epochs: int = 1, vocab_size: int = C.DEFAU
 
 
 def complete(prompts: DataFrame, path: str, config: generate.GenConfig = generate.GenConfig(),
-             blocked_words: DataFrame | None = None) -> DataFrame:
+             blocked_words: DataFrame | None = None, block_bytes: bool = False) -> DataFrame:
     """``seq_id, n_new, reason, text, continuation`` for ``prompts(seq_id, text)`` by the
-    model saved at ``path``, without tokens that contain one of ``blocked_words(word)``."""
+    model saved at ``path``, without tokens that contain one of ``blocked_words(word)`` (and
+    with ``block_bytes`` without single bytes, which could spell one)."""
     spark: SparkSession = prompts.sparkSession
     model, vocab = sinks.load_model(spark, path, required=True), sinks.load_vocab(spark, path)
     blocked = None
     if blocked_words is not None:
-        blocked = blocklist.blocked_token_ids(vocab.df, blocked_words).select("token_id")
+        blocked = blocklist.blocked_token_ids(vocab.df, blocked_words, block_bytes).select("token_id")
     encoded = written(codec.encode(prompts, vocab, keys=("seq_id",)), "prompts")
     state = generate.complete(encoded, model, config, blocked)
     return generate.with_text(state, vocab).select("seq_id", "n_new", "reason", "text", "continuation")

@@ -52,9 +52,15 @@ def matching_tokens(tokens: DataFrame, words: DataFrame, token_col: str = "token
 
 
 # --------------------------------------------------------------------------- B2
-def blocked_token_ids(vocab_df: DataFrame, words: DataFrame) -> DataFrame:
-    """B2: ``(token_id, token)`` of every vocabulary entry that contains a word."""
-    return matching_tokens(vocab_df.select("token_id", "token"), normalize_blocklist(words))
+def blocked_token_ids(vocab_df: DataFrame, words: DataFrame, block_bytes: bool = False) -> DataFrame:
+    """B2: ``(token_id, token)`` of every vocabulary entry that contains a word.
+
+    ``block_bytes`` adds the byte entries, so that a word can't be spelled by bytes.
+    """
+    found = matching_tokens(vocab_df.select("token_id", "token"), normalize_blocklist(words))
+    if block_bytes:
+        found = found.union(vocab_df.filter(F.col("kind") == "byte").select("token_id", "token")).distinct()
+    return found
 
 
 # --------------------------------------------------------------------------- B3

@@ -123,8 +123,10 @@ def encode_exploded(tok_rows: DataFrame, vocab: Vocab) -> DataFrame:
 
 
 def encode(df: DataFrame, vocab: Vocab, keys=("doc_id",), text_col: str = "text",
-           out_col: str = "ids", with_pretoken_count: bool = False) -> DataFrame:
-    """T5: text -> ARRAY<INT> of ids, no special ids added.
+           out_col: str = "ids", with_pretoken_count: bool = False,
+           separator_id: int | None = None) -> DataFrame:
+    """T5: text -> ARRAY<INT> of ids, no special ids added unless ``separator_id`` is
+    given, which then ends every row's ids.
 
     Returns ``keys..., ids`` (plus ``n_pretokens`` on request); rows with an
     empty text get an empty array. Only the keys travel through the regroup,
@@ -135,7 +137,10 @@ def encode(df: DataFrame, vocab: Vocab, keys=("doc_id",), text_col: str = "text"
     enc = encode_exploded(rows, vocab)
     part = F.when(F.col("pos").isNotNull(), F.struct("pos", "ids"))
     g = enc.groupBy(*keys).agg(F.sort_array(F.collect_list(part)).alias("_parts"))
-    cols = [*keys, F.flatten(F.col("_parts").getField("ids")).alias(out_col)]
+    flat = F.flatten(F.col("_parts").getField("ids"))
+    if separator_id is not None:
+        flat = F.concat(flat, F.array(F.lit(separator_id).cast("int")))
+    cols = [*keys, flat.alias(out_col)]
     if with_pretoken_count:
         cols.append(F.size("_parts").cast("bigint").alias("n_pretokens"))
     return g.select(*cols)

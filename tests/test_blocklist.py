@@ -44,3 +44,10 @@ def test_mask_blocked(spark):
     b = spark.createDataFrame([(2,)], "token_id int")
     got = {r.token_id: r.score for r in blocklist.mask_blocked(sc, b).collect()}
     assert got == {1: 1.0, 2: float("-inf")}
+
+
+def test_block_bytes(spark):
+    v = K.vocab(spark, SF001)
+    words = spark.createDataFrame([("thnt",)], "word string")
+    plain = {r.token_id for r in blocklist.blocked_token_ids(v.df, words).collect()}
+    assert {r.token_id for r in blocklist.blocked_token_ids(v.df, words, block_bytes=True).collect()} == plain | set(range(256))

@@ -75,3 +75,11 @@ def test_vocab_and_encode_independent_of_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert out[0] == out[1]
+
+
+def test_separator_ends_every_row(spark):
+    docs = spark.createDataFrame([(0, "a b"), (1, "")], "doc_id bigint, text string")
+    v = codec.build_vocab(codec.explode_pretokens(docs), 10)
+    plain = {r.doc_id: r.ids for r in codec.encode(docs, v).collect()}
+    got = {r.doc_id: r.ids for r in codec.encode(docs, v, separator_id=256).collect()}
+    assert got == {k: ids + [256] for k, ids in plain.items()}
