@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindle.functions.text import strip_left
+from spindle.session import written
 
 
 # --------------------------------------------------------------------------- B1
@@ -80,19 +81,17 @@ def mask_blocked(scores: DataFrame, blocked_ids: DataFrame) -> DataFrame:
 def blocked_rate(pretokens: DataFrame, words: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per document, how many pre-tokens are blocked, on pre-token text.
 
-    Occurrences are first reduced to ``(key, token, count)`` (map-side, since a
-    document lives in one split), the blocked flag is computed once per
-    distinct token, and only the reduced rows are joined to it. A key whose only
-    row has a null token (a document without pre-tokens) has no tokens and no rate.
+    The substring test runs once per distinct token; the blocked ones are written, and
+    every occurrence is joined to them (by broadcast if Spark finds that table small,
+    else by shuffle with hot tokens split), then counted per key with partial sums. A
+    key whose only row has a null token (a document without pre-tokens) has no tokens
+    and no rate.
     """
-    per_doc = pretokens.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_c"))
-    distinct_tokens = per_doc.select("token").where(F.col("token").isNotNull()).distinct()
-    blocked = matching_tokens(distinct_tokens, normalize_blocklist(words)) \
-        .withColumn("_blocked", F.lit(1))
-    j = per_doc.join(blocked, "token", "left")
-    return (j.groupBy(key)
-            .agg(F.sum(F.when(F.col("token").isNotNull(), F.col("_c")).otherwise(0)).cast("bigint").alias("n_pretokens"),
-                 F.sum(F.when(F.col("_blocked") == 1, F.col("_c")).otherwise(0))
-                  .cast("bigint").alias("n_blocked"))
+    token = F.col("token")
+    distinct_tokens = written(pretokens.select("token").where(token.isNotNull()).distinct(), "tokens")   # read twice
+    blocked = written(matching_tokens(distinct_tokens, normalize_blocklist(words))
+                      .select("token", F.lit(True).alias("_blocked")), "blocked")
+    return (pretokens.select(key, "token").join(blocked, "token", "left").groupBy(key)
+            .agg(F.count("token").alias("n_pretokens"), F.count("_blocked").alias("n_blocked"))
             .withColumn("blocked_rate", F.when(
                 F.col("n_pretokens") > 0, F.round(F.col("n_blocked") / F.col("n_pretokens"), 6))))

@@ -67,12 +67,13 @@ def _running(df: DataFrame, key: str, n: str, ordered: bool) -> DataFrame:
             .drop("_part", "_local", "_start"))
 
 
-def token_offsets(lens: DataFrame, order_col: str = "doc_id", len_col: str = "n") -> DataFrame:
+def token_offsets(lens: DataFrame, order_col: str = "doc_id", len_col: str = "n",
+                  ordered: bool = False) -> DataFrame:
     """``offset`` = number of ids in all rows before this one (by ``order_col``).
 
     ``lens`` must be narrow: ``(order_col, len_col)``.
     """
-    return _running(lens.select(order_col, F.col(len_col).cast("bigint").alias(len_col)), order_col, len_col, False)
+    return _running(lens.select(order_col, F.col(len_col).cast("bigint").alias(len_col)), order_col, len_col, ordered)
 
 
 def with_offsets(encoded: DataFrame, ids_col: str = "ids", key: str = "doc_id", ordered: bool = False) -> DataFrame:

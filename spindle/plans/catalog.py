@@ -140,8 +140,9 @@ def _blocks_out(df, cols=("step", "row")):
 
 
 def q_token_offsets(spark, sf_dir):
-    wo, _ = stream_parts(spark, sf_dir)
-    return wo.select("doc_id", F.col("n").cast("bigint").alias("n_ids"), "offset")
+    e = codec.encode(documents(spark, sf_dir), vocab(spark, sf_dir))
+    lens = e.select("doc_id", F.size("ids").alias("n"))
+    return packing.token_offsets(lens, ordered=True).select("doc_id", F.col("n").alias("n_ids"), "offset")
 
 
 def q_concat_stream(spark, sf_dir):
