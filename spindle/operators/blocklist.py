@@ -34,19 +34,18 @@ def matching_tokens(tokens: DataFrame, words: DataFrame, token_col: str = "token
     """Rows of ``tokens`` whose normalised text contains a word (semi join).
 
     ``tokens`` should hold distinct token texts; ``words`` is B1's output. Substrings
-    travel with a hash of their token, never with its text, each once a token; the
-    text is held against the word it was matched with at the end.
+    travel with a hash of their token, never with its text; the text is held against
+    the word it was matched with at the end.
     """
     lengths = words.select(F.length("word").alias("_len")).distinct()
     lens_arr = lengths.select(F.sort_array(F.collect_list("_len"))).scalar()
     t = _matchable(tokens, token_col).withColumn("_lens", lens_arr)
-    # distinct substrings of every word length, start positions 1..len-L+1
-    starts = lambda n: F.sequence(F.lit(1), F.length("_m") - n + 1)
-    subs = F.array_distinct(F.flatten(F.transform(
-        F.filter("_lens", lambda n: n <= F.length("_m")),
-        lambda n: F.transform(starts(n), lambda i: F.substring(F.col("_m"), i, n)))))
-    hits = (t.select(F.xxhash64("_m").alias("_key"), F.explode(subs).alias("word"))
-            .join(words, "word").distinct())
+    # substrings of every word length, start positions 1..len-L+1
+    subs = (t.select(F.xxhash64("_m").alias("_key"), "_m",
+                     F.explode(F.filter("_lens", lambda n: n <= F.length("_m"))).alias("_n"))
+            .select("*", F.explode(F.sequence(F.lit(1), F.length("_m") - F.col("_n") + 1)).alias("_i"))
+            .select("_key", F.substring(F.col("_m"), F.col("_i"), F.col("_n")).alias("word")))
+    hits = subs.join(words, "word").distinct()
     found = _matchable(tokens, token_col).withColumn("_key", F.xxhash64("_m"))
     on = (found["_key"] == hits["_key"]) & F.contains(found["_m"], hits["word"])
     return found.join(hits, on, "left_semi").select(*tokens.columns)
@@ -88,7 +87,9 @@ def blocked_rate(pretokens: DataFrame, words: DataFrame, key: str = "doc_id") ->
     and no rate.
     """
     token = F.col("token")
-    distinct_tokens = written(pretokens.select("token").where(token.isNotNull()).distinct(), "tokens")   # read twice
+    # few bytes but many substrings: dealt to a fixed number of tasks, which AQE leaves as they are
+    n = int(pretokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct_tokens = written(pretokens.select("token").where(token.isNotNull()).distinct().repartition(n), "tokens")
     blocked = written(matching_tokens(distinct_tokens, normalize_blocklist(words))
                       .select("token", F.lit(True).alias("_blocked")), "blocked")
     return (pretokens.select(key, "token").join(blocked, "token", "left").groupBy(key)
