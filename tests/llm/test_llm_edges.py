@@ -151,6 +151,26 @@ def test_chat(spark, rows):
         assert out[1, 0, "bob"]["n_own"] == 2 and out[1, 1, "ann"]["n_turns"] == 1
 
 
+def test_chat_parts_are_bounded(spark):
+    """Repeated and missing turn numbers, also of the null conversation: no part is over the
+    bound, and the parts in order are the dialogue."""
+    rows = ([(None, 0, "ann", "same")] * 23 + [(None, 1, "bob", f"t{i:02}") for i in range(9)]
+            + [(None, None, "ann", f"n{i:02}") for i in range(11)] + [(5, None, "eve", f"m{i:02}") for i in range(17)]
+            + [(6, 0, "ann", "a"), (6, 9, "ann", "b"), (6, None, "ann", "c")])
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    out = chat_format.rotate(turns, part_turns=4).collect()
+    assert max(r["n_turns"] for r in out) == 4
+    for conv, who in ((None, "ann"), (None, "bob"), (5, "eve")):
+        mine = sorted((r for r in out if (r["conv_id"], r["participant"]) == (conv, who)), key=lambda r: r["part"])
+        assert [r["part"] for r in mine] == list(range(len(mine))) and all(r["n_turns"] == 4 for r in mine[:-1])
+        said = sorted((r[1] is None, r[1] or 0, r[2], r[3]) for r in rows if r[0] == conv)
+        assert "".join(r["text"] for r in mine) == "".join(
+            f"<|im_start|>{'assistant' if w == who else 'user name=' + w}\n{x}<|im_end|>\n" for _, _, w, x in said)
+        assert [r["text"][m["start"]:m["end"]] for r in mine for m in r["mask"]] == [
+            f"{x}<|im_end|>" for _, _, w, x in said if w == who]
+    assert {r["part"] for r in out if r["conv_id"] == 6} == {0, 2, None}     # by number, where numbers bound the parts
+
+
 @pytest.mark.parametrize("rows", [[], [
     (None, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0, None]),
     (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (8, [1.0]), (9, [0.0, -1.0]), (10, [])]])
