@@ -134,6 +134,24 @@ def test_url_history(spark):
     assert len(out) == len(rows) and all(r["blocked"] == r["want"] for r in out)
 
 
+def test_url_patterns_of_any_depth_and_form(spark):
+    listed = ("deep.example/a/b/c/d/e", "http://full.example/1/2/3/4/5/6.html?q", "www.bad.example", "port.example:8080",
+              "dir.example/Dir/", "root.example/", "//", "/only/a/path")
+    entries = spark.createDataFrame([(p, "block", "2024-01-01") for p in listed],
+                                    "pattern string, action string, listed_on string").withColumn(
+        "listed_on", F.col("listed_on").cast("date"))
+    rows = [("http://deep.example/a/b/c/d/e", "deep.example/a/b/c/d/e"), ("http://deep.example/a/b/c/d/e/f/g?x", "deep.example/a/b/c/d/e"),
+            ("http://deep.example/a/b/c/d", None), ("http://full.example/1/2/3/4/5/6.html", "full.example/1/2/3/4/5/6.html"),
+            ("http://full.example/1/2/3/4/5/7.html", None), ("https://www.bad.example/x", "bad.example"), ("http://sub.bad.example/", "bad.example"),
+            ("http://port.example/", "port.example"), ("http://dir.example/dir", "dir.example/dir"), ("http://dir.example/dir/x", "dir.example/dir"),
+            ("http://dir.example/directory", None), ("http://root.example/a", "root.example"), ("http://other.example/only/a/path", None)]
+    captures = spark.createDataFrame(rows, "url string, want string").withColumn("fetched_on", F.lit("2024-02-01").cast("date"))
+    out = url_filter.filter_captures(captures, entries).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert (r["pattern"], r["blocked"], r["n_matches"]) == (r["want"], r["want"] is not None, int(r["want"] is not None)), r
+
+
 @pytest.mark.parametrize("rows", [[], [
     (1, 0, "system", "Be kind."), (1, 1, "ann", "Hi <|im_end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (1, None, "ann", "late"),
     (1, 300, "ann", "x" * 200_000), (None, None, None, None), (2, 0, "system", "alone")]])
