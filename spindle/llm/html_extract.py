@@ -5,7 +5,12 @@ like theirs that labelled pages have in their content, tags score below zero: sl
 if labelled pages have them within content, heavily, by their log odds, if outside. One
 linear scan finds the contiguous region of the highest score. Its text is then cut into
 blocks, without what is never content wherever it stands (scripts, forms, menus, adverts,
-comments, by element name or class).
+comments, by element name or by a whole token of class, id or role).
+
+Labelled content (``<article>``, ``<main>``) ends a drop it stands in, as by an unclosed
+advert before it or a wrapper. An element dropped by its class, id or role that holds most
+of the page's words isn't dropped: its tags score strongly below zero instead, and what
+stands in it is judged like the rest.
 
 Labels come from the pages' own markup: in pages with an ``<article>`` or ``<main>``
 element, what stands in it is content. Weights are learnt from a bounded sample of
@@ -38,6 +43,10 @@ SAMPLE_PAGES = 2000
 MAX_KINDS = 5000
 #: Words that one unit of a tag's log odds outweighs, and what a tag within content costs.
 OUTSIDE_WORDS, INSIDE_COST = 20.0, 0.1
+#: What a tag costs whose name speaks against content, if its element holds more than this share of the words.
+NAMED_COST, MOST = 100.0, 0.5
+#: Mark of the kind of such a tag, and the scope of dropped elements.
+NAMED, HARD = "!", -1
 
 #: Elements that mark content in labelled pages.
 CONTENT_TAGS = frozenset(("article", "main"))
@@ -45,7 +54,7 @@ CONTENT_TAGS = frozenset(("article", "main"))
 DROPPED_TAGS = frozenset((
     "aside", "button", "canvas", "datalist", "dialog", "footer", "form", "head", "header", "iframe", "menu", "nav",
     "noscript", "object", "script", "select", "style", "svg", "template", "textarea", "title"))
-#: Words in a class or id that mark what isn't content.
+#: Tokens of a class, id or role that mark what isn't content.
 DROPPED_NAMES = frozenset((
     "ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent",
     "cookie", "cookies", "disqus", "footer", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation",
@@ -73,15 +82,19 @@ NAME_WORD = re.compile(r"[a-z]+")
 
 def tokens(page: str):
     """Yields (kind, name, text, words, drop, content): for a tag its kind (``name`` or
-    ``name.class``), for text the kind of the element around it; whether it stands in what
+    ``name.class``, marked if a dropped name is overruled), for text the kind of the element around it; whether it stands in what
     is never content, and in labelled content."""
-    stack = [("", "", False, False)]         # name, kind, dropped, in content
+    # a scope is 0 outside, HARD in a dropped element, else an element with a dropped name
+    stack = [("", "", 0, False)]             # name, kind, scope, in content
+    parts, above, words, opens = [], [0], [0], {}
     for m in TOKEN.finditer(page):
         text = m["text"]
         if text is not None:
             n = len(text.split())
-            _, kind, drop, content = stack[-1]
-            yield kind, None, text, n, drop, content
+            _, kind, scope, content = stack[-1]
+            if scope != HARD:
+                words[scope] += n
+            parts.append((kind, None, text, n, scope, content))
             continue
         name = m["name"]
         if name is None:                     # a comment, declaration or raw element
@@ -90,29 +103,54 @@ def tokens(page: str):
         if m["end"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
-                    _, kind, drop, content = stack[i]
+                    _, kind, scope, content = stack[i]
+                    if opens.get(scope) == i:
+                        kind = f"{NAMED}{scope} {kind}"
                     del stack[i:]
                     break
             else:
-                _, _, drop, content = stack[-1]
+                _, _, scope, content = stack[-1]
                 kind = name
-            yield kind, name, None, 0, drop, content
+            parts.append((kind, name, None, 0, scope, content))
             continue
-        rest, kind, names = m["rest"], name, []
+        rest, kind, named = m["rest"], name, False
         if "=" in rest:
-            names = [w for g in NAMES.findall(rest) for w in NAME_WORD.findall("".join(g).lower())]
+            values = ["".join(g).lower() for g in NAMES.findall(rest)]
+            names = [w for v in values for w in NAME_WORD.findall(v)]
             if names:
                 kind = f"{name}.{names[0]}"
-        _, _, drop, content = stack[-1]
+                named = any(not DROPPED_NAMES.isdisjoint(v.split()) for v in values)
+        _, _, scope, content = stack[-1]
         if name == "p" and stack[-1][0] == "p":
             stack.pop()                      # a paragraph ends the one before
-            _, _, drop, content = stack[-1]
-        drop = drop or name in DROPPED_TAGS or (bool(names) and name not in ("html", "body", "article", "main")
-                                                and not DROPPED_NAMES.isdisjoint(names))
+            _, _, scope, content = stack[-1]
+        opened = kind
+        if name in CONTENT_TAGS:
+            scope = scope if named else 0
+        elif name in DROPPED_TAGS:
+            scope = HARD
+        elif named and scope != HARD and name not in ("html", "body"):
+            above.append(scope)
+            words.append(0)
+            scope = len(above) - 1
+            opens[scope] = len(stack)
+            opened = f"{NAMED}{scope} {kind}"
         content = content or name in CONTENT_TAGS
         if name not in VOID_TAGS and not rest.endswith("/"):
-            stack.append((name, kind, drop, content))
-        yield kind, name, None, 0, drop, content
+            stack.append((name, kind, scope, content))
+        parts.append((opened, name, None, 0, scope, content))
+    total, held = sum(words), words[:]
+    for i in range(len(above) - 1, 0, -1):
+        held[above[i]] += held[i]
+    dropped = [False]
+    for i in range(1, len(above)):
+        dropped.append(dropped[above[i]] or held[i] <= MOST * total)
+    for kind, name, text, n, scope, content in parts:
+        drop = scope == HARD or dropped[scope]
+        if kind.startswith(NAMED):
+            own = kind.partition(" ")[2]
+            kind = own if drop else NAMED + own
+        yield kind, name, text, n, drop, content
 
 
 @dataclass(frozen=True)
@@ -128,6 +166,8 @@ class Weights:
         return self.words.get(kind.partition(".")[0], 0.5)
 
     def tag(self, kind: str) -> float:
+        if kind.startswith(NAMED):
+            return -NAMED_COST
         if kind in self.tags:
             return self.tags[kind]
         return self.tags.get(kind.partition(".")[0], -INSIDE_COST)

@@ -118,6 +118,23 @@ def test_pages(spark, rows):
             ["2", "2"] if rows and listed is entries else [])
 
 
+def test_names_around_the_page():
+    """Names that speak against content drop what they mark, but not the page they stand around."""
+    text = "<h1>Title</h1><p>" + "one two three four five six seven " * 20 + "</p>"
+    want = "Title\n" + ("one two three four five six seven " * 20).strip()
+    junk = "<div class='ad'>Buy this now</div><div id='sidebar'>Other links here</div>"
+    weights = html_extract.Weights()
+    for page in (f"<div class='layout has-sidebar'>{text}</div>", f"<main class='no-sidebar'>{text}</main>",
+                 f"<div class='widget-area'>{text}{junk}</div>", f"<div class='ad'><article>{text}</article>",
+                 f"<div class='ad'>Buy<article>{text}</article></div>{junk}", f"<div class='sidebar'>{text}</div>",
+                 f"<div class='widget'>{text}<div class='share'>Tell all</div></div>", f"{junk}<div class=notice>{text}</div>",
+                 f"<article>{text}{junk}</article>", f"<form><article>{text}</article></form>"):
+        assert html_extract.extract(page, weights) == want, page[:60]
+    long = "<div class='related'>" + "other words " * 10 + "</div>"
+    assert html_extract.extract(f"<body>{text}{long}</body>", weights) == want
+    assert html_extract.extract(f"<article>{text}</article><div class='comments'>{long}</div>", weights) == want
+
+
 def test_url_history(spark):
     entries = spark.createDataFrame([
         ("bad.example", "block", "2024-01-10"), ("bad.example", "none", "2024-02-10"),
