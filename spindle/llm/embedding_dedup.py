@@ -14,9 +14,12 @@ block of visitors meets every block of residents, so no task gets more than two
 however full a cell is, and all pairs are still compared. A pair of blocks returns a count
 a visitor and a spanning forest of its links, not the links. Components by contraction.
 
+Vectors are compared with those of their own length. The most frequent length, and every
+other with more than ``SMALL`` classes, has an index of its own; each of the rest is one
+cell, cut into blocks like any other, so that all its pairs meet.
+
 Defined cases: vectors that are null, zero, or hold null, NaN or infinite components link
-with nothing, and so do vectors of another length than the most frequent one (of equally
-frequent ones, the shortest); repeated rows with equal vectors link with each other; a
+with nothing; vectors of different lengths don't link; repeated rows with equal vectors link with each other; a
 null id is a row, and a component's id if all its ids are null; an empty table gives an
 empty result.
 """
@@ -42,6 +45,8 @@ FIT_ROWS, QUERY_ROWS = 16_384, 2048
 CELL_ROWS, MIN_CENTROIDS, MAX_CENTROIDS = 32, 2, 256
 #: Rows of a block.
 BLOCK = 512
+#: Classes of a length up to which all its pairs are compared without an index.
+SMALL = 2048
 TARGET_RECALL = 1.0
 #: Room left beyond the margin that the queries needed.
 SLACK = 1.25
@@ -110,20 +115,22 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, dim)
 
 
-def vector_classes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """``key, vec, n, least`` of the distinct usable vectors, and their length."""
+def vector_classes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, list[int]]:
+    """``key, dim, vec, n, least`` of the distinct usable vectors, and the lengths to index."""
     v = F.col("vec")
     usable = (vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
               .where(F.coalesce((F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x)
                                                           & (F.abs(x) < float("inf")))
                                 & F.exists(v, lambda x: x != 0), F.lit(False))))
-    lengths = (usable.groupBy(F.size(v).alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect())
-    dim = lengths[0].dim if lengths else 0
     # equal vectors are counted where they are read; the key is fixed by writing it
-    grouped = (usable.where(F.size(v) == dim).groupBy("vec")
-               .agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    grouped = (usable.groupBy("vec").agg(F.count("*").alias("n"), F.min("id").alias("least"))
                .withColumn("key", F.monotonically_increasing_id()))
-    return saved(grouped.select("key", "vec", "n", "least"), "imi-classes"), dim
+    classes = saved(grouped.select("key", F.size("vec").alias("dim"), "vec", "n", "least"), "imi-classes")
+    lengths = (classes.groupBy("dim").agg(F.count("*").alias("classes"), F.sum("n").alias("rows"))
+               .orderBy(F.desc("rows"), "dim"))
+    first = lengths.limit(1).collect()
+    return classes, [r.dim for r in first] + [r.dim for r in lengths.where(F.col("classes") > SMALL).collect()
+                                              if r.dim != first[0].dim]
 
 
 def fit_index(classes: DataFrame, dim: int, threshold: float) -> MultiIndex:
@@ -222,24 +229,27 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: s
                            vector_col: str = "embedding") -> DataFrame:
     """One row per vector: ``id``, ``n_links`` (others linked directly), ``component_id``
     (the smallest id reachable)."""
-    classes, dim = vector_classes(vectors, id_col, vector_col)
+    classes, dims = vector_classes(vectors, id_col, vector_col)
     spark = vectors.sparkSession
-    if dim:
-        index = fit_index(classes, dim, threshold)
-        places = _visited(classes, index, dim)
+    if dims:
+        places = classes.where(~F.col("dim").isin(dims)).select(
+            "key", F.lit(0).cast("long").alias("cell"), F.explode(F.array(F.lit(True), F.lit(False))).alias("resident"), "dim")
+        for dim in dims:
+            own = classes.where(F.col("dim") == dim)
+            places = places.unionByName(_visited(own, fit_index(own, dim, threshold), dim).withColumn("dim", F.lit(dim)))
         # blocks of residents and of visitors in each cell
-        blocks = saved(places.groupBy("cell").agg(*[
+        blocks = saved(places.groupBy("dim", "cell").agg(*[
             F.ceil(F.count(F.when(F.col("resident") == side, True)) / BLOCK).cast("int").alias(name)
             for side, name in ((True, "rs"), (False, "vs"))]), "imi-blocks")
         spread = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), n).cast("int")
         every = lambda n: F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)
         one, rs, vs = F.col("resident"), F.greatest("rs", F.lit(1)), F.greatest("vs", F.lit(1))
-        dealt = (places.join(blocks, "cell")
+        dealt = (places.join(blocks, ["dim", "cell"])
                  .withColumn("r", F.explode(F.when(one, F.array(spread(rs, 1))).otherwise(every(rs))))
                  .withColumn("v", F.explode(F.when(one, every(vs)).otherwise(F.array(spread(vs, 2)))))
-                 .join(classes.select("key", "vec", "n"), "key").select("cell", "r", "v", "resident", "key", "vec", "n"))
-        found = saved(dealt.groupBy("cell", "r", "v")
-                      .applyInArrow(lambda t: block_links(t, dim, threshold), "a long, b long, n long"), "imi-links")
+                 .join(classes.select("key", "vec", "n"), "key").select("dim", "cell", "r", "v", "resident", "key", "vec", "n"))
+        found = saved(dealt.groupBy("dim", "cell", "r", "v")
+                      .applyInArrow(lambda t: block_links(t, t.column("dim")[0].as_py(), threshold), "a long, b long, n long"), "imi-links")
         counts = found.groupBy("a").agg(F.sum("n").alias("others"))
         roots = components(found.select("a", "b"))
     else:

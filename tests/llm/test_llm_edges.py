@@ -217,3 +217,19 @@ def test_vectors(spark, rows):
     want = [(None, 3, 1), (1, 3, 1), (2, 3, 1), (2, 3, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5), (6, 0, 6), (7, 0, 7),
             (8, 0, 8), (9, 0, 9), (10, 0, 10)]
     assert out == (sorted(want, key=str) if rows else [])
+
+
+@pytest.mark.parametrize("small", [embedding_dedup.SMALL, 10])
+def test_vectors_of_all_lengths(spark, monkeypatch, small):
+    """Rarer lengths are compared as well, with an index of their own or as one cell."""
+    monkeypatch.setattr(embedding_dedup, "SMALL", small)
+    def turned(n, i):
+        return [1.0 if k == i % n else 0.0 for k in range(n)]
+    rows = [(100 * n + i, [x * (1 + i % 3) for x in turned(n, i)]) for n, m in ((4, 60), (8, 40), (3, 6)) for i in range(m)]
+    rows += [(1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, [0.5, -0.5])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    out = {r["id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicate_vectors(vectors).collect()}
+    want = {1: (1, 1), 2: (1, 1), 3: (0, 3)}
+    for n, m in ((4, 60), (8, 40), (3, 6)):
+        want |= {100 * n + i: (m // n - 1, 100 * n + i % n) for i in range(m)}
+    assert out == want
