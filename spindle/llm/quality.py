@@ -2,11 +2,13 @@
 
 Every ``\\n``-split line with a word is judged alone; a line fails by
 
-* punctuation: no sentence end (``. ! ? ...`` before white space, a closing quote or
-  bracket, or the line's end), or more than ``symbol_share`` symbols a word;
+* punctuation: no sentence end (``. ! ? ...`` and the marks of other scripts before white
+  space, a closing quote or bracket, or the line's end; not asked of lines half of whose
+  characters are of a script without such marks), or more than ``symbol_share`` symbols a word;
 * navigation: separators such as ``|`` at least ``separator_share`` times a word, or
   a line that is only a menu word;
-* boilerplate: a licence, cookie or copyright phrase, or more than ``echo_share`` of
+* boilerplate: a licence, cookie or copyright phrase in a line of at most ``short_line``
+  words or with ``phrase_share`` of its words in such phrases, or more than ``echo_share`` of
   the words equal to the word before them.
 
 Failing lines are removed. A document is rejected if it fails the base rule (fewer
@@ -36,8 +38,12 @@ from spindle.llm.common import WORD, text_of
 SYMBOLS = "#*$%&|<>"
 #: Separators of menus, breadcrumbs and table rows.
 SEPARATORS = "|»›•·"
-#: A sentence end within or at the end of a line.
-SENTENCE_END = r"[.!?…。！？][\"')\]»”’]*([\x20\x09-\x0D]|$)"
+#: A sentence end within or at the end of a line: Latin and CJK marks, then those of Arabic and Urdu,
+#: Indic, Armenian, Ethiopic, Khmer, Burmese, Tibetan, Mongolian and Sinhala script.
+SENTENCE_END = (r"[.!?…。！？｡．؟۔।॥։።፧፨។៕။།༎᠃᠉෴‽]"
+                r"[\"')\]»”’」』）]*([\x20\x09-\x0D]|$)")
+#: Letters of scripts that mark no sentence end (Thai, Lao).
+UNMARKED = r"[\u0E01-\u0E4E\u0E81-\u0ECD]"
 #: Phrases of boilerplate lines, in lower case.
 BOILERPLATE = ("licensed under", "released under the", "all rights reserved", "copyright",
                "terms of use", "terms of service", "privacy policy", "cookie", "javascript")
@@ -55,6 +61,8 @@ class LineRules:
     symbol_share: float = 0.125
     separator_share: float = 0.2
     echo_share: float = 0.375
+    short_line: int = 20
+    phrase_share: float = 0.2
     max_lost: float = 0.625
 
 
@@ -92,11 +100,14 @@ def _line_fails(line: Column, low: Column, words: Column, rules: LineRules) -> C
         F.zip_with(F.slice(words, 1, F.greatest(n - 1, F.lit(0))),
                    F.slice(words, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: a == b),
         lambda same: same))
-    return (~line.rlike(SENTENCE_END)
+    in_phrases = sum((F.regexp_count(low, F.lit(p)) * len(p.split()) for p in BOILERPLATE), F.lit(0))
+    shown = F.length(F.translate(line, " \t\x0b\f\r", ""))
+    return ((~line.rlike(SENTENCE_END) & (F.regexp_count(line, F.lit(UNMARKED)) * 2 < shown))
             | (_count_of(line, SYMBOLS) > n * F.lit(rules.symbol_share))
             | (_count_of(line, SEPARATORS) >= F.greatest(n * F.lit(rules.separator_share), F.lit(1.0)))
             | F.trim(low).isin(*MENU)
-            | low.rlike("|".join(BOILERPLATE))
+            | (low.rlike("|".join(BOILERPLATE))
+               & ((n <= rules.short_line) | (in_phrases >= n * F.lit(rules.phrase_share))))
             | (echo > n * F.lit(rules.echo_share)))
 
 

@@ -48,6 +48,21 @@ def test_quality(docs):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == (["3", "3", "None"] if rows else [])
 
 
+def test_quality_long_lines_and_scripts(spark):
+    """A phrase fails short lines and lines that are mostly phrases; other scripts end sentences as they do."""
+    long = " ".join(f"word{i} on baking." for i in range(30))
+    good = [f"A cookie recipe. {long}", f"{long} The copyright of this text is with the author.",
+            " ".join(f"यह वाक्य {i} है।" for i in range(9)), " ".join(f"یہ جملہ {i} ہے۔" for i in range(9)),
+            " ".join(f"هل هذا سؤال {i}؟" for i in range(9)), " ".join(f"ภาษาไทยข้อความ{'ก' * (i + 1)}" for i in range(15)),
+            " ".join(f"Սա նախադասություն {i} է։" for i in range(9))]
+    bad = ["This site uses a cookie to keep you logged in all the time.", "a line without any mark " * 4,
+           "Copyright. Cookie. Terms of use. Privacy policy. All rights reserved. " * 4]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(good + bad)], "doc_id long, text string")
+    failed = {r["doc_id"]: r["quality"]["n_failed_lines"] for r in quality.judge_documents(docs).collect()}
+    assert failed == {i: int(i >= len(good)) for i in range(len(good + bad))}
+    assert quality.filter_documents(docs).count() == len(good)
+
+
 def test_toxicity(docs, spark):
     lexicon = toxicity.Lexicon({"idiot": 2.0}, frozenset({"idiot proof"}), 1.0, 0.05)
     rows = toxicity.score_documents(docs, lexicon).collect()
