@@ -161,6 +161,24 @@ def test_token_counts(spark):
     assert all(got[i].n_bytes == len(t.encode()) for i, t in rows.items())
 
 
+def test_token_cache(spark, tmp_path):
+    """Calls on one cache: all documents against the library, stored counts reused, new texts
+    added, another tokenizer's counts kept apart."""
+    from spindle.llm.queries import tokenizer
+    from spindle.llm.token_counts import count_tokens
+    rows = read("documents", "doc_id, text", MID)
+    texts, cache = {t or "" for _, t in rows}, f"{tmp_path}/cache"
+    first = rows[:len(rows) // 2]
+    for name, part, held in (("byte_bpe_50k.json", first, {t or "" for _, t in first}), ("byte_bpe_50k.json", rows, texts),
+                             ("byte_bpe_50k.json", rows, texts), ("word_bpe_49k.json", rows, texts)):
+        docs = spark.createDataFrame([tuple(r) for r in part], "doc_id long, text string")
+        model = library(name)
+        got = count_tokens(docs, tokenizer(name), cache).select("doc_id", "n_tokens").collect()
+        assert sorted(map(tuple, got)) == sorted((i, len(model.encode(t or "", add_special_tokens=False).ids)) for i, t in part)
+        kept = spark.read.parquet(cache).groupBy("tokenizer").count().collect()
+        assert len(held) in [r["count"] for r in kept] and len(kept) == 1 + (name == "word_bpe_49k.json")
+
+
 HARD = ["", " ", "a  b\n\n c\t\td \r\n", "x<|endoftext|> y<|startoftext|>Z", "İstanbul ΑΣ ς Ω é é ½ Ⅷ", "a\x1cb \x85 \xa0 c d",
         "don't I'M 'S x'll 12345 3.5", "日本語テキスト 😀👩‍👩‍👧", "ab" * 3000 + "!" * 500, "  lead and trail  \n", " \n x",
         "Ǆ ŉ ẞ µ ª × ÷ ﬁ", "​⁠zero", "tab\there\x0bvt\x0cff", "퟿\U0010ffff\x00\x01"]
