@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 import spindle.llm
 
@@ -59,7 +61,7 @@ def with_python_columns(df: DataFrame, text_col: str, fields: dict[str, str],
     read = df.select(*own, df[text_col].cast("string").alias("__text"))
     schema = ", ".join([*(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.select(*own).schema),
                         *(f"`{n}` {t}" for n, t in fields.items())])
-    types = [ARROW[t] for t in fields.values()]
+    types = [ARROW.get(t) or to_arrow_type(DataType.fromDDL(t)) for t in fields.values()]
 
     def run(batches):
         apply = make()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import (bpe, chat_format, embedding_dedup, html_extract, mixing, quality, simhash,
+from spindle.llm import (bpe, chat_format, embedding_dedup, html_extract, mixing, pii, quality, simhash,
                          token_counts, toxicity, url_filter)
 from spindle.llm.common import table
 from spindle.session import scratch_path
@@ -96,5 +96,13 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_captures(captures, entries)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("pii")
+    return found.select("doc_id", *[pii.n_base(spans, k).alias(f"n_{k}") for k in pii.BASE_KINDS],
+                        F.sha2(pii.span_list(pii.base_spans(spans)), 256).alias("base_sha256"),
+                        pii.span_list(spans).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_toxicity, op4_html_extraction, op5_token_counts, op6_simhash, op7_bpe,
-                                   op8_embedding_dedup, op9_chat_formatting, op10_url_filters)}
+                                   op8_embedding_dedup, op9_chat_formatting, op10_url_filters, op11_pii)}
