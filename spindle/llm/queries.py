@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import (bpe, chat_format, embedding_dedup, html_extract, mixing, pii, quality, simhash,
+from spindle.llm import (bpe, chat_format, embedding_dedup, html_extract, mixing, pii, quality, runs, simhash,
                          token_counts, toxicity, url_filter)
-from spindle.llm.common import table
+from spindle.llm.common import WORD, table, text_of
 from spindle.session import scratch_path
 
 
@@ -104,5 +104,35 @@ def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(spans).alias("spans"))
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The contract's input: in a tenth of the documents, by a hash of the id, the words from a
+    place on repeat with a period, both drawn from the hash; other texts stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    drawn = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).cast("long").alias("g"))
+    chosen = F.col("h") % 10 == 0
+    split = drawn.withColumn("w", F.when(chosen, F.regexp_extract_all(text_of(), F.lit(WORD), F.lit(0))))
+    n = F.size("w").cast("long")
+    placed = split.withColumn("n", n).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    period = F.slice("w", F.col("a") + 1, F.col("p"))
+    tail = (F.col("n") - F.col("a")).cast("int")
+    whole = F.concat(F.slice("w", F.lit(1), F.col("a")),
+                     F.slice(F.flatten(F.array_repeat(period, F.ceil(tail / F.col("p")).cast("int"))), F.lit(1), tail))
+    return placed.select("doc_id", F.when(chosen & (F.col("n") > 0), F.array_join(whole, " ")).otherwise(F.col("text"))
+                         .alias("text"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_repeats(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    top = F.col("top_run")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"),
+                        top["length"].alias("length"), top["period"].alias("period"),
+                        F.expr("1000 * top_run.length div top_run.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_toxicity, op4_html_extraction, op5_token_counts, op6_simhash, op7_bpe,
-                                   op8_embedding_dedup, op9_chat_formatting, op10_url_filters, op11_pii)}
+                                   op8_embedding_dedup, op9_chat_formatting, op10_url_filters, op11_pii, op12_runs)}
