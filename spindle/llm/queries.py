@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import (bpe, chat_format, embedding_dedup, html_extract, mixing, pii, quality, runs, simhash,
+from spindle.llm import (alignment, bpe, chat_format, embedding_dedup, html_extract, mixing, pii, quality, runs, simhash,
                          token_counts, toxicity, url_filter)
 from spindle.llm.common import WORD, table, text_of
 from spindle.session import scratch_path
@@ -134,5 +134,11 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                     tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_toxicity, op4_html_extraction, op5_token_counts, op6_simhash, op7_bpe,
-                                   op8_embedding_dedup, op9_chat_formatting, op10_url_filters, op11_pii, op12_runs)}
+                                   op8_embedding_dedup, op9_chat_formatting, op10_url_filters, op11_pii, op12_runs,
+                                   op13_alignment)}

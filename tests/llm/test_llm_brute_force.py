@@ -38,7 +38,7 @@ def library(name):
 
 def test_names():
     ops = [q for q in entry.queries() if re.match(r"op\d+_", q)]
-    assert sorted(int(q[2:].split("_")[0]) for q in ops) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in ops) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(SQL) <= set(QUERIES)
 
 
