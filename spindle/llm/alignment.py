@@ -136,7 +136,7 @@ class Aligner:
         self.strings = np.array(self.after_a + self.after_b, object)
         self.pair_type = np.uint32 if self.a.size * self.b.size <= 1 << 32 else np.uint64
 
-    def ranges(self, ids_a: list[int], ids_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def ranges(self, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each group's last token on either side."""
         ends_a = np.cumsum(self.a.lengths[ids_a]).tolist()
         ends_b = np.cumsum(self.b.lengths[ids_b]).tolist()
@@ -195,7 +195,7 @@ class Aligner:
         for t, ids_a, ids_b in zip(texts, self.a.encode(texts), self.b.encode(texts), strict=True):
             raw = b" " + t.encode("utf-8")
             fits = t and self.a.joined(ids_a) == raw and self.b.joined(ids_b) == raw
-            yield (ids_a, ids_b) if fits else None
+            yield (np.array(ids_a, np.int64), np.array(ids_b, np.int64)) if fits else None
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -219,7 +219,7 @@ def aligned_groups(docs: DataFrame, path_a: str, path_b: str, text_col: str = "t
             if ids is None:
                 return ""
             at = aligner.ranges(*ids)
-            return aligner.texts(*(np.array(x, np.int64) for x in ids), *at).decode()
+            return aligner.texts(*ids, *at).decode()
 
         return lambda texts: [[one(ids) for ids in aligner.encode(texts)]]
 
@@ -268,7 +268,6 @@ def _blocks(docs: DataFrame, own: list[str], path_a: str, path_b: str, text_col:
                         made.append((0, 0, 0, 0, "", b"", b""))
                         continue
                     at = aligner.ranges(*ids)
-                    ids = [np.array(x, np.int64) for x in ids]
                     pair, times = aligner.pairs(*ids, *at)
                     pair = pair.astype(aligner.pair_type)
                     seen.append(pair)
