@@ -8,9 +8,11 @@ blocks, without what is never content wherever it stands (scripts, forms, menus,
 comments, by element name or by a whole token of class, id or role).
 
 Labelled content (``<article>``, ``<main>``) ends a drop it stands in, as by an unclosed
-advert before it or a wrapper. An element dropped by its class, id or role that holds most
-of the page's words isn't dropped: its tags score strongly below zero instead, and what
-stands in it is judged like the rest.
+advert before it or a wrapper. An element dropped by its class, id or role, or in a page
+without labelled content by its name, that holds most of the page's words isn't dropped,
+as a form around the page or a menu that is never closed: its tags score strongly below
+zero instead, and what stands in it is judged like the rest. End tags that HTML lets
+pages omit are implied. The time is linear in the page, whatever its markup.
 
 Labels come from the pages' own markup: in pages with an ``<article>`` or ``<main>``
 element, what stands in it is content. Weights are learnt from a bounded sample of
@@ -45,8 +47,8 @@ MAX_KINDS = 5000
 OUTSIDE_WORDS, INSIDE_COST = 20.0, 0.1
 #: What a tag costs whose name speaks against content, if its element holds more than this share of the words.
 NAMED_COST, MOST = 100.0, 0.5
-#: Mark of the kind of such a tag, and the scope of dropped elements.
-NAMED, HARD = "!", -1
+#: Mark of the kind of such a tag.
+NAMED = "!"
 
 #: Elements that mark content in labelled pages.
 CONTENT_TAGS = frozenset(("article", "main"))
@@ -69,12 +71,20 @@ BLOCK_TAGS = frozenset((
 #: Elements without an end tag.
 VOID_TAGS = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
                        "track", "wbr"))
+#: Elements that a head holds; anything else ends it.
+HEAD_TAGS = frozenset(("base", "link", "meta", "noscript", "object", "script", "style", "template", "title"))
+#: Open elements that a start tag ends.
+ENDED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"),
+            "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "tbody": ("td", "th", "tr", "thead", "tbody"),
+            "tfoot": ("td", "th", "tr", "tbody"), "body": ("head",)}
 #: Elements whose inside is raw text.
 RAW_TAGS = "script|style|textarea|title|noscript|iframe|template"
 
+# a quote delimits a value only after an equals sign; possessive, hence linear
+ATTRIBUTES = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<raw>{RAW_TAGS})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|(?P<text>[^<]+|<)",
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(?P<raw>{RAW_TAGS})\b{ATTRIBUTES}(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    rf"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<rest>{ATTRIBUTES})(?:>|\Z)|(?P<text>[^<]+|<)",
     re.I | re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
@@ -84,16 +94,24 @@ def tokens(page: str):
     """Yields (kind, name, text, words, drop, content): for a tag its kind (``name`` or
     ``name.class``, marked if a dropped name is overruled), for text the kind of the element around it; whether it stands in what
     is never content, and in labelled content."""
-    # a scope is 0 outside, HARD in a dropped element, else an element with a dropped name
+    # a scope is 0 outside, else a number for an element that is dropped by its name or names
     stack = [("", "", 0, False)]             # name, kind, scope, in content
-    parts, above, words, opens = [], [0], [0], {}
+    still: Counter = Counter()               # open elements by name: an end tag without one costs nothing
+    parts, above, words, by_tag, opens = [], [0], [0], [False], {}
+    labelled = 0
+
+    def pop():
+        still[stack.pop()[0]] -= 1
+
     for m in TOKEN.finditer(page):
         text = m["text"]
         if text is not None:
             n = len(text.split())
+            if n and stack[-1][0] == "head":
+                pop()
             _, kind, scope, content = stack[-1]
-            if scope != HARD:
-                words[scope] += n
+            words[scope] += n
+            labelled += n if content and not scope else 0
             parts.append((kind, None, text, n, scope, content))
             continue
         name = m["name"]
@@ -101,13 +119,13 @@ def tokens(page: str):
             continue
         name = name.lower()
         if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    _, kind, scope, content = stack[i]
-                    if opens.get(scope) == i:
-                        kind = f"{NAMED}{scope} {kind}"
-                    del stack[i:]
-                    break
+            if still[name]:
+                while stack[-1][0] != name:
+                    pop()
+                _, kind, scope, content = stack[-1]
+                if opens.get(scope) == len(stack) - 1:
+                    kind = f"{NAMED}{scope} {kind}"
+                pop()
             else:
                 _, _, scope, content = stack[-1]
                 kind = name
@@ -120,33 +138,36 @@ def tokens(page: str):
             if names:
                 kind = f"{name}.{names[0]}"
                 named = any(not DROPPED_NAMES.isdisjoint(v.split()) for v in values)
+        if stack[-1][0] == "head" and name not in HEAD_TAGS:
+            pop()
+        if stack[-1][0] == "p" and name in BLOCK_TAGS:
+            pop()                            # a block ends the paragraph before
+        while stack[-1][0] in ENDED_BY.get(name, ()):
+            pop()
         _, _, scope, content = stack[-1]
-        if name == "p" and stack[-1][0] == "p":
-            stack.pop()                      # a paragraph ends the one before
-            _, _, scope, content = stack[-1]
-        opened = kind
+        opened, by_name = kind, name in DROPPED_TAGS
         if name in CONTENT_TAGS:
             scope = scope if named else 0
-        elif name in DROPPED_TAGS:
-            scope = HARD
-        elif named and scope != HARD and name not in ("html", "body"):
+        elif by_name or (named and name not in ("html", "body")):
             above.append(scope)
             words.append(0)
+            by_tag.append(by_name)
             scope = len(above) - 1
             opens[scope] = len(stack)
             opened = f"{NAMED}{scope} {kind}"
         content = content or name in CONTENT_TAGS
         if name not in VOID_TAGS and not rest.endswith("/"):
             stack.append((name, kind, scope, content))
+            still[name] += 1
         parts.append((opened, name, None, 0, scope, content))
     total, held = sum(words), words[:]
     for i in range(len(above) - 1, 0, -1):
         held[above[i]] += held[i]
     dropped = [False]
     for i in range(1, len(above)):
-        dropped.append(dropped[above[i]] or held[i] <= MOST * total)
+        dropped.append(dropped[above[i]] or (by_tag[i] and labelled > 0) or held[i] <= MOST * total)
     for kind, name, text, n, scope, content in parts:
-        drop = scope == HARD or dropped[scope]
+        drop = dropped[scope]
         if kind.startswith(NAMED):
             own = kind.partition(" ")[2]
             kind = own if drop else NAMED + own
