@@ -71,6 +71,8 @@ def squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def units(x: np.ndarray) -> np.ndarray:
+    """Rows at length one; scaled by their greatest component first, so that no square is lost."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
