@@ -32,8 +32,10 @@ ACTIONS = ("block", "allow", "none")
 
 
 def host_of(url: Column) -> Column:
-    """The host in lower case, without user, port, leading ``www.`` or closing dot."""
-    h = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?i:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    """The host in lower case, without user (up to the last ``@``), port, leading ``www.`` or
+    closing dot; an address in brackets whole."""
+    h = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")),
+                                 r"^(?i:[a-z][a-z0-9+.-]*:)?//(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@]*)", 1))
     return F.regexp_replace(h, r"^www\.|\.$", "")
 
 
@@ -47,7 +49,8 @@ def lookup_keys(host: Column, path: Column, depth: int) -> Column:
     """Patterns that would cover the address, longest first: for the host and each parent
     domain of two labels or more, the beginnings of the path of up to ``depth`` parts (of the
     deepest pattern listed) and the bare host."""
-    labels = F.split(host, r"\.")
+    # numeric addresses have no parent domains
+    labels = F.when(host.rlike(r"^(\[.*|[0-9]+(\.[0-9]+){3})$"), F.array(host)).otherwise(F.split(host, r"\."))
     n = F.size(labels)
     hosts = F.when(host == "", F.array().cast("array<string>")).when(n < 2, F.array(host)).otherwise(
         F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
