@@ -153,10 +153,20 @@ def decode_token(df: DataFrame, vocab: Vocab, id_col: str = "token_id",
     return df.withColumn(out_col, F.element_at(vocab.lookup_array("token"), F.col(id_col) + 1))
 
 
+def ids_hex(ids: Column, hex_table: Column) -> Column:
+    """The bytes that ids decode to, in order, as upper-case hex."""
+    return F.array_join(F.transform(ids, lambda i: F.element_at(hex_table, i + 1)), "")
+
+
 def decode_ids(ids: Column, hex_table: Column) -> Column:
     """Ids -> text, bytes concatenated in order, invalid UTF-8 replaced."""
-    hexes = F.transform(ids, lambda i: F.element_at(hex_table, i + 1))
-    return F.make_valid_utf8(F.unhex(F.array_join(hexes, "")).cast("string"))
+    return F.make_valid_utf8(F.unhex(ids_hex(ids, hex_table)).cast("string"))
+
+
+def with_bytes(df: DataFrame, vocab: Vocab, ids_col: str = "ids", out_col: str = "hex") -> DataFrame:
+    """The bytes of ``ids_col`` as hex, before any of them is replaced."""
+    return (df.withColumn("_hex_table", vocab.lookup_array("hex"))
+              .withColumn(out_col, ids_hex(F.col(ids_col), F.col("_hex_table"))).drop("_hex_table"))
 
 
 def decode_seq(df: DataFrame, vocab: Vocab, ids_col: str = "ids", out_col: str = "text") -> DataFrame:

@@ -157,9 +157,13 @@ def sample(probs: DataFrame, seed: int, step) -> DataFrame:
     id) order whose running total exceeds ``u`` wins, else the last one.
     """
     step_col = step if isinstance(step, Column) else F.lit(step)
+    return pick(probs.withColumn("u", md5_uniform(F.lit(seed), F.col("seq_id"), step_col)))
+
+
+def pick(probs: DataFrame) -> DataFrame:
+    """The draw for the ``u`` that the rows of a sequence carry."""
     r = (probs.withColumn("_rn", F.row_number().over(_ranked()))
-              .withColumn("_cum", F.sum("p").over(_running()))
-              .withColumn("u", md5_uniform(F.lit(seed), F.col("seq_id"), step_col)))
+              .withColumn("_cum", F.sum("p").over(_running())))
     # rounding may keep the total below u: then the last id that can be drawn at all
     drawn = F.coalesce(F.min_by("token_id", F.when(F.col("_cum") > F.col("u"), F.col("_rn"))),
                        F.max_by("token_id", F.when(F.col("p") > 0, F.col("_rn"))))

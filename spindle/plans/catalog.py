@@ -428,7 +428,6 @@ def q_format_loss(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- completion
-GEN_MAX_NEW = 8      # new ids per prompt in the registered completion query
 
 
 def _gen_inputs(spark, sf_dir):
@@ -459,18 +458,22 @@ def q_generate_step(spark, sf_dir):
 
 def q_complete_batch(spark, sf_dir):
     v, model, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
-    cfg = generate.GenConfig(seed=SEED, max_new=GEN_MAX_NEW)
-    st = generate.complete(prompts, model, cfg, blocked, tables)
-    out = generate.with_text(st, v)
-    return out.select("seq_id", F.col("n_new").cast("bigint").alias("n_new"), "reason",
-                      ids_to_string("ids").alias("ids"), "continuation")
+    st = generate.complete(prompts, model, generate.GenConfig(seed=SEED), blocked, tables)
+    new = st.withColumn("_new", F.slice("ids", F.col("prompt_len") + 1, F.greatest("n_new", F.lit(0))))
+    return codec.with_bytes(new, v, "_new", "continuation_hex").select(
+        "seq_id", F.col("n_new").cast("bigint").alias("n_new"), "reason", ids_to_string("ids").alias("ids"), "continuation_hex")
 
 
 # ----------------------------------------------------------------- sinks
+#: New ids a prompt in the sink and stream queries (each delivery of a stream runs its own
+#: steps, one after another); ``complete_batch`` runs the default.
+STREAM_MAX_NEW = 16
+
+
 def q_sink_completions(spark, sf_dir):
-    v, _, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
-    cfg = generate.GenConfig(seed=SEED)
-    st = generate.generate_step(generate.initial_state(prompts, cfg), tables, blocked, cfg, 0)
+    v, model, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
+    cfg = generate.GenConfig(seed=SEED, max_new=STREAM_MAX_NEW)
+    st = generate.complete(prompts, model, cfg, blocked, tables)
     path = scratch_path(spark, "completions")
     sinks.write_completions(st, v, path)
     back = spark.read.parquet(path)
@@ -554,16 +557,16 @@ def q_complete_stream(spark, sf_dir):
     v, model, tables, _, blocked = _gen_inputs(spark, sf_dir)
     conv = table(spark, sf_dir, "conversations")
     stream = streams.stream_corpus(spark, as_arriving(spark, conv, "conv_id", "arriving"), conv.schema)
-    cfg = generate.GenConfig(seed=SEED, max_new=1)
+    cfg = generate.GenConfig(seed=SEED, max_new=STREAM_MAX_NEW)
+    lists = generate.model_lists(tables, blocked)          # for all deliveries
     out = scratch_path(spark, "stream-complete")
     streams.complete_stream(
         corpus.read_prompts(stream),
         lambda mb: codec.encode(mb, v, keys=("seq_id",)),
-        lambda enc: generate.complete(enc, model, cfg, blocked, tables),
+        lambda enc: generate.complete(enc, model, cfg, blocked, tables, lists),
         out, scratch_path(spark, "ckpt"))
     st = spark.read.parquet(out)
-    return st.select("seq_id", F.col("n_new").cast("bigint").alias("n_new"),
-                     F.element_at("ids", -1).cast("bigint").alias("last_id"), "reason")
+    return st.select("seq_id", F.col("n_new").cast("bigint").alias("n_new"), "reason", ids_to_string("ids").alias("ids"))
 
 
 # ----------------------------------------------------------------- BPE

@@ -500,13 +500,82 @@ SQL["load_model"] = PACK + MODEL + f"""
 SELECT {_model_cols.replace("CAST(cnt AS BIGINT)", "CAST(2 * cnt AS BIGINT)")} FROM model"""
 SQL["stream_corpus"] = "SELECT doc_id, text FROM documents"
 SQL["stream_pack"] = SQL["drop_remainder"]
-SQL["complete_stream"] = SQL["generate_step"].replace(
-    f"WHEN 1 >= {C.MAX_NEW_TOKENS} THEN 'max_new'", "WHEN 1 >= 1 THEN 'max_new'")
 
-SQL["sink_completions"] = GEN + chain_sql("nts", "ctxp", "(SELECT token_id FROM blkd)", SEED, 0) + """
-SELECT d.seq_id, CAST(0 AS BIGINT) AS step, CAST(d.token_id AS BIGINT) AS token_id, v.token AS token_text
-FROM s_draw d JOIN vocab v ON v.token_id = d.token_id
-WHERE d.token_id IS NOT NULL"""
+
+def completion(max_new: int) -> str:
+    """CTE ``final``: every prompt completed, one id a round. The draw needs no softmax over
+    all ids: renormalising the top k takes its denominator out. Candidates are a prompt's own
+    ids, all followers of its last id and, as many as could be pushed out, the most frequent."""
+    return GEN.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+one AS MATERIALIZED (SELECT mt1.t1, nv.n_ids FROM mt1, nv),
+d1 AS MATERIALIZED (
+  SELECT CAST(r.t AS BIGINT) AS w, COALESCE(m1.n1, 0) AS n1, row_number() OVER (ORDER BY COALESCE(m1.n1, 0) DESC, r.t) AS place
+  FROM one, range(one.n_ids) r(t) LEFT JOIN m1 ON m1.w = r.t
+  WHERE r.t NOT IN (SELECT token_id FROM blkd)),
+c3 AS MATERIALIZED (SELECT u, v, w, n3, t3 FROM m3 JOIN mt3 USING (u, v)),
+c2 AS MATERIALIZED (SELECT v, w, n2, t2 FROM m2 JOIN mt2 USING (v)),
+k3 AS MATERIALIZED (SELECT * FROM mt3), k2 AS MATERIALIZED (SELECT * FROM mt2),
+gen AS (
+  SELECT CAST(seq_id AS VARCHAR) AS seq_id, 0 AS n_new, CAST(ids AS BIGINT[]) AS ids, CAST(len(ids) AS BIGINT) AS prompt_len,
+         CASE WHEN len(ids) = 0 THEN 'empty_prompt' END AS reason
+  FROM pe
+  UNION ALL
+  (WITH g AS (
+     SELECT gen.*, k3.t3, k2.t2, one.t1, one.n_ids,
+            list_transform(list_filter(range(1, len(ids) - 1), lambda i: ids[i] = ids[-2] AND ids[i + 1] = ids[-1]),
+                           lambda i: ids[i + 2]) AS bans,
+            CAST(('0x' || substr(md5(concat_ws('|', {SEED}, seq_id, n_new)), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u
+     FROM gen LEFT JOIN k3 ON k3.u = gen.ids[-2] AND k3.v = gen.ids[-1] LEFT JOIN k2 ON k2.v = gen.ids[-1], one
+     WHERE reason IS NULL)
+  SELECT seq_id, CASE WHEN nxt IS NULL THEN n_new ELSE n_new + 1 END,
+         CASE WHEN nxt IS NULL THEN ids ELSE list_append(ids, nxt) END, prompt_len,
+         CASE WHEN nxt IS NULL THEN 'no_candidate' WHEN nxt = {C.EOS_ID} THEN 'eos'
+              WHEN n_new + 1 >= {max_new} THEN 'max_new' END
+  FROM (
+    SELECT seq_id, n_new, ids, prompt_len,
+           -top[COALESCE(list_position(list_transform(run, lambda c: c > u * run[-1]), true), len(top))].m AS nxt
+    FROM (
+      SELECT *, list_transform(range(1, len(top) + 1), lambda i: list_sum(list_transform(top[:i], lambda x: x.e))) AS run
+      FROM (
+        SELECT seq_id, any_value(n_new) AS n_new, any_value(ids) AS ids, any_value(prompt_len) AS prompt_len, any_value(u) AS u,
+               max({{'e': e, 'm': -w}}, {C.TOP_K}) FILTER (WHERE e > 0) AS top
+        FROM (
+          SELECT seq_id, n_new, ids, prompt_len, u, w,
+                 CASE WHEN w = ids[-1] OR list_contains(bans, w) THEN 0.0
+                      ELSE exp(CASE WHEN list_contains(ids, w) THEN CASE WHEN s < 0 THEN s * {C.REPETITION_PENALTY}
+                               ELSE s / {C.REPETITION_PENALTY} END ELSE s END) END AS e
+          FROM (
+            SELECT g.seq_id, g.n_new, g.ids, g.prompt_len, g.u, g.bans, d1.w,
+                   ln({p_expr("c3.n3", "g.t3", "c2.n2", "g.t2", "d1.n1", "g.t1", "g.n_ids")}) / {C.TEMPERATURE} AS s
+            FROM g JOIN (
+              SELECT seq_id, unnest(ids) AS w FROM g
+              UNION SELECT g.seq_id, c2.w FROM g JOIN c2 ON c2.v = g.ids[-1]
+              UNION SELECT g.seq_id, d1.w FROM g JOIN d1 ON d1.place <= {C.TOP_K} + len(g.ids)) cand USING (seq_id)
+            JOIN d1 ON d1.w = cand.w
+            LEFT JOIN c3 ON c3.u = g.ids[-2] AND c3.v = g.ids[-1] AND c3.w = d1.w
+            LEFT JOIN c2 ON c2.v = g.ids[-1] AND c2.w = d1.w))
+        GROUP BY seq_id))))
+),
+final AS (SELECT * FROM gen WHERE reason IS NOT NULL)"""
+
+
+SQL["complete_batch"] = completion(C.MAX_NEW_TOKENS) + f""",
+said AS (
+  SELECT seq_id, string_agg(CASE WHEN token_id < {C.N_BYTES} THEN printf('%02X', token_id) ELSE hex(encode(token)) END, '' ORDER BY i) AS hex
+  FROM (SELECT seq_id, unnest(range(n_new)) AS i, unnest(ids[prompt_len + 1:]) AS token_id FROM final WHERE n_new > 0)
+  JOIN vocab USING (token_id) GROUP BY seq_id)
+SELECT seq_id, CAST(n_new AS BIGINT) AS n_new, reason, array_to_string(ids, ' ') AS ids, COALESCE(hex, '') AS continuation_hex
+FROM final LEFT JOIN said USING (seq_id)"""
+
+from spindle.plans.catalog import STREAM_MAX_NEW  # noqa: E402
+
+SQL["complete_stream"] = completion(STREAM_MAX_NEW) + """
+SELECT seq_id, CAST(n_new AS BIGINT) AS n_new, reason, array_to_string(ids, ' ') AS ids FROM final"""
+
+SQL["sink_completions"] = completion(STREAM_MAX_NEW) + """
+SELECT seq_id, CAST(i AS BIGINT) AS step, CAST(n.token_id AS BIGINT) AS token_id, v.token AS token_text
+FROM (SELECT seq_id, unnest(range(len(ids) - prompt_len)) AS i, unnest(ids[prompt_len + 1:]) AS token_id
+      FROM final WHERE n_new > 0) n JOIN vocab v ON v.token_id = n.token_id"""
 
 # ---------------------------------------------------------------- BPE
 from spindle.plans.catalog import BPE_MERGES  # noqa: E402

@@ -72,3 +72,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written_by(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """``df`` written below the shared folder in buckets of ``keys`` and read back: joins on
+    the keys don't move it again. The table's entry is the session's own."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = os.path.basename(path).replace("-", "_")
+    (df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys)
+     .option("path", path).format("parquet").saveAsTable(table))
+    return spark.table(table)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate, once what was made of it is written too."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

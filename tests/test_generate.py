@@ -20,13 +20,37 @@ def test_sparse_top_k_equals_dense(spark, gen):
     cfg = G.GenConfig(seed=42)
     active = prompts.filter(F.size("ids") > 0)
     dense = G.chain(G.next_token_scores(active, tables, cfg, keep_flags=True), blocked, cfg)
-    sparse = G.sparse_top_k(active, tables, G.background(tables, blocked, cfg), cfg)
+    sparse = G.sparse_top_k(active, G.model_lists(tables, blocked), cfg)
     d = {(r.seq_id, r.token_id): r.p for r in dense.collect()}
     s = {(r.seq_id, r.token_id): r.p for r in sparse.collect()}
     assert d.keys() == s.keys()
     assert max(abs(d[k] - s[k]) for k in d) < 1e-9
 
 
+def test_contexts_with_blocked_followers_only(spark, gen):
+    """Their total still counts: it changes what the history's penalty does."""
+    v, model, tables, prompts, _ = gen
+    cfg = G.GenConfig(seed=42)
+    active = prompts.filter(F.size("ids") > 1)
+    ends = active.select(F.element_at("ids", -2).alias("u"), F.element_at("ids", -1).alias("v"))
+    blocked = tables.n3.join(ends, ["u", "v"]).select(F.col("w").alias("token_id")).distinct()
+    assert blocked.count() > 0
+    dense = G.chain(G.next_token_scores(active, tables, cfg, keep_flags=True), blocked, cfg)
+    sparse = G.sparse_top_k(active, G.model_lists(tables, blocked), cfg)
+    d = {(r.seq_id, r.token_id): r.p for r in dense.collect()}
+    s = {(r.seq_id, r.token_id): r.p for r in sparse.collect()}
+    assert d.keys() == s.keys() and max(abs(d[k] - s[k]) for k in d) < 1e-9
+
+
+def test_prompts_with_null_or_equal_ids(spark, gen):
+    v, model, tables, prompts, blocked = gen
+    some = prompts.filter(F.size("ids") > 0).limit(3)
+    same = some.withColumn("seq_id", F.lit(None).cast("string")).unionByName(some.withColumn("seq_id", F.lit("x")))
+    out = G.complete(same, model, G.GenConfig(max_new=2, seed=1), blocked, tables).collect()
+    want = sorted(r.ids for r in same.collect())
+    assert sorted(r.ids[:r.prompt_len] for r in out) == want
+
+
 def test_completion_invariants(spark, gen):
     v, model, tables, prompts, blocked = gen
     cfg = G.GenConfig(seed=7, max_new=6)
