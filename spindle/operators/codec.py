@@ -9,11 +9,9 @@ Scale notes
 * ``build_vocab`` is one partial+final hash aggregation on the pre-token (hot
   tokens are combined map-side), then a top-N ``TakeOrderedAndProject`` whose
   output is bounded by ``size``.
-* ``encode`` explodes pre-tokens and joins the vocabulary, which is written to files
-  first: Spark broadcasts it below its own threshold, so the token stream isn't
-  shuffled for the lookup, and else joins by shuffle with skew splitting. Documents
-  that come range-partitioned by their key (``corpus.by_document``) are regrouped
-  without another exchange.
+* ``encode`` is one pass over the rows, without a shuffle: the vocabulary, bounded by
+  ``size``, is sent to the workers, and a row's ids are put together in its own batch.
+  Documents that come range-partitioned by their key (``corpus.by_document``) stay so.
 * ``decode`` uses an id-indexed array (ids are dense, at most ``size`` + 257) as an
   O(1) lookup table evaluated once as a scalar subquery, so decoding is a narrow map
   with no join. An id outside the vocabulary is an error.
@@ -23,6 +21,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -128,22 +129,51 @@ def encode(df: DataFrame, vocab: Vocab, keys=("doc_id",), text_col: str = "text"
     """T5: text -> ARRAY<INT> of ids, no special ids added unless ``separator_id`` is
     given, which then ends every row's ids.
 
-    Returns ``keys..., ids`` (plus ``n_pretokens`` on request); rows with an
-    empty text get an empty array. Only the keys travel through the regroup,
-    never the text.
+    Returns ``keys..., ids`` (plus ``n_pretokens`` on request), a row each, whatever the
+    keys; rows with a null or empty text get an empty array. One pass over the rows where
+    they are: pre-tokens are cut by built-in functions, and every distinct one of a batch is
+    looked up once. The vocabulary (``vocab.size`` words at most) is sent to the workers.
     """
     keys = list(keys)
-    rows = df.select(*keys, F.posexplode_outer(pretokenize(text_col)).alias("pos", "token"))
-    enc = encode_exploded(rows, vocab)
-    part = F.when(F.col("pos").isNotNull(), F.struct("pos", "ids"))
-    g = enc.groupBy(*keys).agg(F.sort_array(F.collect_list(part)).alias("_parts"))
-    flat = F.flatten(F.col("_parts").getField("ids"))
-    if separator_id is not None:
-        flat = F.concat(flat, F.array(F.lit(separator_id).cast("int")))
-    cols = [*keys, flat.alias(out_col)]
-    if with_pretoken_count:
-        cols.append(F.size("_parts").cast("bigint").alias("n_pretokens"))
-    return g.select(*cols)
+    # ids of words follow their order, without gaps
+    rows = vocab.words().orderBy("token_id").collect()
+    words = df.sparkSession.sparkContext.broadcast(pa.array([r.token for r in rows], pa.string()))
+    at = df.sparkSession.sparkContext.broadcast(np.array([r.token_id for r in rows], np.int32))
+    end = np.zeros(0, np.int32) if separator_id is None else np.array([separator_id], np.int32)
+
+    def run(batches):
+        known, id_of = words.value, at.value
+        for b in batches:
+            tokens = b.column("_tokens")
+            per_row = np.diff(tokens.offsets.to_numpy())
+            per_row = np.where(tokens.is_valid().to_numpy(zero_copy_only=False), per_row, 0)
+            coded = tokens.flatten().dictionary_encode()
+            distinct, which = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+            place = pc.index_in(distinct, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
+            # the ids of every distinct pre-token, one after another: a word's, or its bytes
+            parts = [id_of[k:k + 1] if k >= 0 else np.frombuffer(t.as_buffer(), np.uint8).astype(np.int32)
+                     for k, t in zip(place.tolist(), distinct)]
+            sizes = np.array([len(x) for x in parts], np.int64)
+            flat = np.concatenate([*parts, end])
+            starts = np.cumsum(sizes) - sizes
+            if len(end):                         # a last piece in every row: the separator
+                cut = np.cumsum(per_row)
+                which = np.insert(which, cut, len(parts))
+                sizes, starts = np.append(sizes, 1), np.append(starts, len(flat) - 1)
+            pieces = per_row + len(end)
+            n = sizes[which]
+            upto = np.concatenate([[0], np.cumsum(n)])
+            ids = flat[np.repeat(starts[which] - upto[:-1], n) + np.arange(upto[-1])]
+            offsets = upto[np.concatenate([[0], np.cumsum(pieces)])]
+            made = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(ids)).cast(pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keys))), made, pa.array(per_row.astype(np.int64))],
+                                             [*keys, out_col, "n_pretokens"])
+
+    read = df.select(*keys, pretokenize(text_col).alias("_tokens"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in read.drop("_tokens").schema),
+                        f"`{out_col}` array<int>", "n_pretokens bigint"])
+    out = read.mapInArrow(run, schema)
+    return out if with_pretoken_count else out.drop("n_pretokens")
 
 
 # ------------------------------------------------------------------------ T6/T7

@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def documents(spark, sf_dir, ordered: bool = True) -> DataFrame:
+def documents(spark, sf_dir, ordered: bool = False) -> DataFrame:
     return corpus.read_corpus(spark, os.path.join(sf_dir, "documents.parquet"), ordered=ordered)
 
 
@@ -52,7 +52,7 @@ def encoded_docs(spark, sf_dir, v: codec.Vocab | None = None) -> DataFrame:
 
 # ----------------------------------------------------------------- sources
 def q_scan_corpus(spark, sf_dir):
-    return documents(spark, sf_dir, ordered=False)
+    return documents(spark, sf_dir)
 
 
 def q_scan_text_lines(spark, sf_dir):
@@ -129,7 +129,7 @@ def stream_parts(spark, sf_dir, v: codec.Vocab | None = None):
     becomes a literal filter instead of a repeated scalar subquery.
     """
     v = v or vocab(spark, sf_dir)
-    wo = packing.with_offsets(codec.encode(documents(spark, sf_dir), v), ordered=True)
+    wo = packing.with_offsets(codec.encode(documents(spark, sf_dir, ordered=True), v), ordered=True)
     total = wo.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t")).first().t
     return wo, F.lit(int(total)).cast("bigint")
 
@@ -141,8 +141,8 @@ def _blocks_out(df, cols=("step", "row")):
 
 def q_token_offsets(spark, sf_dir):
     e = codec.encode(documents(spark, sf_dir), vocab(spark, sf_dir))
-    lens = e.select("doc_id", F.size("ids").alias("n"))
-    return packing.token_offsets(lens, ordered=True).select("doc_id", F.col("n").alias("n_ids"), "offset")
+    lens = written(e.select("doc_id", F.size("ids").alias("n")), "lengths")      # only these are put in order
+    return packing.token_offsets(lens).select("doc_id", F.col("n").alias("n_ids"), "offset")
 
 
 def q_concat_stream(spark, sf_dir):
@@ -536,7 +536,7 @@ def as_arriving(spark, df: DataFrame, key: str, name: str) -> str:
 
 
 def q_stream_corpus(spark, sf_dir):
-    docs = documents(spark, sf_dir, ordered=False)
+    docs = documents(spark, sf_dir)
     stream = streams.stream_corpus(spark, as_arriving(spark, docs, "doc_id", "arriving"), docs.schema)
     out = scratch_path(spark, "stream-corpus")
     streams.write_stream_parquet(stream.select("doc_id", "text"), out, scratch_path(spark, "ckpt"))
@@ -545,7 +545,7 @@ def q_stream_corpus(spark, sf_dir):
 
 def q_stream_pack(spark, sf_dir):
     v = vocab(spark, sf_dir)
-    docs = documents(spark, sf_dir, ordered=False)
+    docs = documents(spark, sf_dir)
     stream = streams.stream_corpus(spark, as_arriving(spark, docs, "doc_id", "arriving"), docs.schema)
     out, state = scratch_path(spark, "stream-pack"), scratch_path(spark, "stream-state")
     streams.stream_pack(stream.select("doc_id", "text"), out, state, scratch_path(spark, "ckpt"),

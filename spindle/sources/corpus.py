@@ -234,8 +234,9 @@ def with_dataset_tag(df: DataFrame, col: str, out_col: str = "tag") -> DataFrame
 
 # --------------------------------------------------------------------------- S9
 def read_prompts(conversations: DataFrame) -> DataFrame:
-    """User turns as prompts, ``seq_id = 'conv_id:turn'`` (a string, so that no two
-    turns share one, whatever their numbers)."""
+    """User turns as prompts, ``seq_id = 'conv_id:turn'`` (a string; a null part is
+    empty, so no two different turns share one). Rows that repeat a turn share its id; the
+    codec and completion keep them apart by row."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     return (conversations.filter(F.col("role") == "user")
-            .select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("seq_id"),
-                    F.col("text").alias("text")))
+            .select(F.concat(part("conv_id"), F.lit(":"), part("turn")).alias("seq_id"), F.col("text").alias("text")))

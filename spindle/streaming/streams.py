@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from spindle import constants as C
 from spindle.operators import ngram, packing
+from spindle.operators.codec import Vocab
 from spindle.sources import sinks
 
 CARRY_SCHEMA = "batch_id bigint, next_step bigint, leftover array<int>"
@@ -145,17 +146,21 @@ def complete_stream(prompt_stream: DataFrame, encode_fn: Callable[[DataFrame], D
 
 
 # ----------------------------------------------------------------- P9 (inf)
-def epoch_sink(blocks: DataFrame, n_ids, model_path: str, base: int = 0) -> Callable[[DataFrame, int], None]:
+def epoch_sink(blocks: DataFrame, n_ids, model_path: str, base: int = 0,
+               vocab: Vocab | None = None) -> Callable[[DataFrame, int], None]:
     """One epoch per micro-batch: train on ``blocks`` and add to the model before. Batch
     ``b`` writes version ``base + b + 1`` from version ``base + b``, so a replayed batch
-    rewrites the same version and nothing up to ``base`` is ever written."""
+    rewrites the same version and nothing up to ``base`` is ever written. The vocabulary of
+    the version before, else ``vocab``, goes on with the model."""
     def sink(_ticks: DataFrame, batch_id: int) -> None:
         spark = blocks.sparkSession
-        m = ngram.train_ngrams(blocks, n_ids)
         before = base + batch_id
-        if before:
-            m = ngram.merge_models(sinks.load_model(spark, model_path, required=True, version=before), m)
-        sinks.save_model(m, model_path, version=before + 1)
+        saved = sinks.load_model(spark, model_path, required=True, version=before) if before else None
+        words = sinks.load_vocab(spark, model_path, version=before) if saved is not None and saved.vocab else vocab
+        m = ngram.train_ngrams(blocks, n_ids, vocab=words.digest() if words is not None else None)
+        if saved is not None:
+            m = ngram.merge_models(saved, m)
+        sinks.save_model(m, model_path, version=before + 1, vocab=words)
     return sink
 
 
@@ -172,7 +177,7 @@ def run_base(spark: SparkSession, model_path: str, checkpoint: str) -> int:
 
 
 def train_epochs_forever(blocks: DataFrame, n_ids, model_path: str, checkpoint: str,
-                         seconds_per_epoch: int = 1):
+                         seconds_per_epoch: int = 1, vocab: Vocab | None = None):
     """P9 with ``epochs='inf'``: a rate source ticks, each micro-batch is one
     epoch over the same batches (see ``epoch_sink``), added to the model saved at
     ``model_path`` if there is one; returns the running query, which the caller stops.
@@ -181,6 +186,6 @@ def train_epochs_forever(blocks: DataFrame, n_ids, model_path: str, checkpoint:
     spark = blocks.sparkSession
     base = run_base(spark, model_path, checkpoint)
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    return (ticks.writeStream.foreachBatch(epoch_sink(blocks, n_ids, model_path, base))
+    return (ticks.writeStream.foreachBatch(epoch_sink(blocks, n_ids, model_path, base, vocab))
             .option("checkpointLocation", os.path.join(checkpoint, "stream"))
             .trigger(processingTime=f"{seconds_per_epoch} seconds").start())

@@ -1,5 +1,7 @@
 """Codec: lossless pre-tokens, vocabulary layout, round trip, golden checksum."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,3 +85,27 @@ def test_separator_ends_every_row(spark):
     plain = {r.doc_id: r.ids for r in codec.encode(docs, v).collect()}
     got = {r.doc_id: r.ids for r in codec.encode(docs, v, separator_id=256).collect()}
     assert got == {k: ids + [256] for k, ids in plain.items()}
+
+
+def test_encode_is_one_pass(spark):
+    """Rows stay where and as they are: no exchange, equal keys apart, null and empty texts kept."""
+    texts = ["x y", "z w", None, "", "naïve ☃ x", "x y", " \n\tx"]
+    df = spark.createDataFrame([("k", t) for t in texts], "key string, text string")
+    v = codec.build_vocab(codec.explode_pretokens(df.limit(2), ("key",)), 3)
+    words = {r.token: r.token_id for r in v.words().collect()}
+    enc = codec.encode(df, v, keys=("key",), with_pretoken_count=True, separator_id=256)
+    assert "Exchange" not in enc._jdf.queryExecution().executedPlan().toString()
+
+    def plain(text):
+        pieces = re.findall(r" ?[^\W\d_]+| ?\d+| ?[^\s\w]+|\s", text or "")
+        return [i for t in pieces for i in ([words[t]] if t in words else t.encode())] + [256], len(pieces)
+
+    assert sorted((r.ids, r.n_pretokens) for r in enc.collect()) == sorted(plain(t) for t in texts)
+
+
+def test_text_is_not_shuffled(spark):
+    """Queries that don't need an order of documents don't move their texts."""
+    from spindle.plans import catalog as K
+    for name in ("pretokenize", "scan_text_lines", "join_lines", "encode_lines", "token_counts"):
+        plan = K.QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange rangepartitioning" not in plan and "Exchange hashpartitioning" not in plan, name

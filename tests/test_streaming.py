@@ -1,5 +1,6 @@
 """Streaming: carry across micro-batches (FIXTURES 3.2) and stream = batch."""
 
+import pytest
 import os
 import time
 
@@ -129,3 +130,28 @@ def test_metrics_of_an_epoch_written_twice(spark, tmpdir_path):
     sinks.write_metrics(rows, f"{tmpdir_path}/x")
     sinks.write_metrics(rows.where("epoch = 2"), f"{tmpdir_path}/x")
     assert spark.read.parquet(f"{tmpdir_path}/x").count() == 6
+
+
+def test_epochs_forever_keep_the_vocabulary(spark, tmpdir_path):
+    """Train, one more epoch by the endless loop's sink, then complete and train again."""
+    from spindle import api
+    from spindle.plans.generate import GenConfig
+    from spindle.sources import sinks
+    docs = spark.createDataFrame([(i, "one two three four five " * 60) for i in range(40)], "doc_id long, text string")
+    path = f"{tmpdir_path}/m"
+    api.train(docs, path)
+    vocab, model = sinks.load_vocab(spark, path), sinks.load_model(spark, path, required=True)
+    blocks = spark.createDataFrame([(0, 0, [257, 258, 259, 260])], "step bigint, row bigint, x array<int>")
+    before = model.counts.agg(F.sum("cnt")).first()[0]
+    streams.epoch_sink(blocks, vocab.n_ids(), path, base=1)(spark.range(0), 0)
+    assert sinks.load_model(spark, path, required=True).counts.agg(F.sum("cnt")).first()[0] == before + 9
+    prompts = spark.createDataFrame([("a", "one two")], "seq_id string, text string")
+    assert api.complete(prompts, path, GenConfig(max_new=2, seed=1)).count() == 1
+    assert api.train(docs, path) == 3
+
+
+def test_models_without_a_named_vocabulary_are_not_added(spark):
+    from spindle.operators import ngram
+    blocks = spark.createDataFrame([(0, 0, [1, 2, 3])], "step bigint, row bigint, x array<int>")
+    with pytest.raises(ValueError, match="vocabularies"):
+        ngram.merge_models(ngram.train_ngrams(blocks, F.lit(4), vocab="a"), ngram.train_ngrams(blocks, F.lit(4)))
