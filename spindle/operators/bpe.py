@@ -4,30 +4,38 @@ Symbols are written as upper-case hex of their bytes; a word is its symbols
 between spaces of their own (``" E3  81  82 "``), so a merge is one plain
 replacement, leftmost first, and never needs escaping.
 
-* ``learn_merges``: each round counts adjacent symbol pairs over the *distinct*
-  word table weighted by frequency (partial + final hash aggregation, so hot
-  pairs combine map-side), takes the best pair (count desc, pair asc) and
-  rewrites every word with it. Only the winning pair reaches the driver, which
-  loops over rounds; the word table is checkpointed every few rounds.
+* ``learn_merges``: pair counts of the *distinct* words, weighted by frequency, are a
+  table that only deltas change: a round looks at the words that hold a pair merged since
+  the tables were written, takes their old pairs away and adds the new ones, map-side
+  combined. The best ``TOP_PAIRS`` pairs reach the driver, which takes as many of them as
+  must be the next merges whatever the round's own merges do to the counts
+  (``next_merges``): many merges a job, the same ones in the same order as one at a time.
+  Words and counts are written anew every ``MERGES_A_CUT`` merges, in built-in functions.
+* ``read_merges`` and ``read_vocab``: given merge and vocabulary files with byte letters.
 * ``bpe_encode``: distinct pre-tokens are encoded once with ``mapInPandas``
   (the merge table, bounded by the number of merges, is broadcast), then
   joined back to the occurrences.
 * ``bpe_encode_documents``: whole documents in one pass, with a bounded memo of
-  words per task; no join and no shuffle.
+  words per task; no join and no shuffle. A word of n bytes takes O(n log n).
 
-Ids: bytes 0..255, end-of-text 256, merge ``r`` (0-based rank) is 257 + r.
+Ids: bytes 0..255, end-of-text 256, merge ``r`` (0-based rank) is 257 + r; with a given
+vocabulary its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import heapq
+from collections import defaultdict
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle import constants as C
 from spindle.functions.text import pretokenize, utf8_hex
-from spindle.session import cut_lineage
+from spindle.session import drop_path, scratch_path
 
-CHECKPOINT_EVERY = 8
+TOP_PAIRS = 2048          # best pairs that reach the driver a round
+MERGES_A_CUT = 64         # merges applied to the written words before they are written anew
 
 
 def word_table(tokens: DataFrame, token_col: str = "token") -> DataFrame:
@@ -38,53 +46,171 @@ def word_table(tokens: DataFrame, token_col: str = "token") -> DataFrame:
 
 
 def _pairs(words: DataFrame) -> DataFrame:
+    """``(pair, n)`` of every adjacent pair of ``(n, syms)``."""
     arr = F.split(F.trim(F.col("syms")), "  ")
-    n = F.size(arr)
-    z = F.arrays_zip(F.slice(arr, 1, n - 1).alias("a"), F.slice(arr, 2, n - 1).alias("b"))
-    return (words.filter(n >= 2)
-            .select("freq", F.explode(z).alias("p"))
-            .select(F.concat_ws(" ", "p.a", "p.b").alias("pair"), "freq"))
+    size = F.size(arr)
+    z = F.arrays_zip(F.slice(arr, 1, size - 1).alias("a"), F.slice(arr, 2, size - 1).alias("b"))
+    return (words.filter(size >= 2)
+            .select("n", F.explode(z).alias("p"))
+            .select(F.concat_ws(" ", "p.a", "p.b").alias("pair"), "n"))
+
+
+def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _merged(since: list[tuple[str, str]]) -> Column:
+    """``syms`` after the merges, in order."""
+    steps = F.array(*[F.struct(F.lit(f" {a}  {b} ").alias("f"), F.lit(f" {a}{b} ").alias("t")) for a, b in since])
+    return F.aggregate(steps, F.col("syms"), lambda s, m: F.replace(s, m["f"], m["t"]))
+
 
+def _counts(words: DataFrame, counts: DataFrame, since: list[tuple[str, str]]) -> DataFrame:
+    """``counts`` of the written ``words``, brought up to date by the merges since."""
+    if not since:
+        return counts
+    found = F.array(*[F.lit(f" {a}  {b} ") for a, b in since])
+    touched = words.filter(F.exists(found, lambda f: F.col("syms").contains(f)))
+    sides = F.array(F.struct((-F.col("n")).alias("n"), F.col("syms")),
+                    F.struct(F.col("n"), _merged(since).alias("syms")))
+    delta = _pairs(touched.select(F.inline(sides)))
+    return counts.unionByName(delta).groupBy("pair").agg(F.sum("n").alias("n")).filter("n > 0")
+
+
+def next_merges(top: list[tuple[str, int]], complete: bool, room: int) -> list[tuple[str, str, int]]:
+    """The merges that come next for certain, given the best pairs ``(pair, n)`` by count
+    desc, pair asc; ``complete`` says that no other pair exists.
+
+    Merging (a, b) changes only the counts of pairs that end in a or begin with b, and the
+    new pairs (x, ab), (ab, y) are no more frequent than (x, a), (b, y) were. So a pair is
+    next if no merge taken ends in its first or begins with its second symbol: all that
+    was ahead of it is taken, and nothing new can pass it. At equal counts (x, ab) sorts
+    after (x, a), but (ab, y) may sort before (b, y), which ends the round where it would
+    sort before the pair at hand. A pair of equal symbols ends the round, as its new pairs
+    are bounded by itself only. Pairs as rare as the last one of an incomplete list
+    aren't all known: only the first of a round may be one.
+    """
+    known = 0 if complete or not top else top[-1][1]
+    tied: dict[int, list[tuple[str, str]]] = defaultdict(list)
+    for pair, n in top:
+        tied[n].append(tuple(pair.split(" ")))
+    taken: list[tuple[str, str, int]] = []
+    firsts: set[str] = set()                                    # first symbols of those taken
+    merged_by_end: dict[str, list[str]] = defaultdict(list)     # second symbol -> merged symbols
+    for pair, n in top[:room]:
+        a, b = pair.split(" ")
+        if taken:
+            if n <= known or a in merged_by_end or b in firsts:
+                break
+            if any(f"{m} {y}" < pair for x, y in tied[n] if x in merged_by_end for m in merged_by_end[x]):
+                break
+        taken.append((a, b, n))
+        if a == b:
+            break
+        firsts.add(a)
+        merged_by_end[b].append(a + b)
+    return taken
 
-def learn_merges(tokens: DataFrame, n_merges: int, token_col: str = "token") -> DataFrame:
-    """``(rank, a, b, freq)`` of the first ``n_merges`` merges."""
+
+def learn_merges(tokens: DataFrame, n_merges: int, token_col: str = "token",
+                 top_pairs: int = TOP_PAIRS, merges_a_cut: int = MERGES_A_CUT) -> DataFrame:
+    """``(rank, a, b, freq)`` of the first ``n_merges`` merges: best count first, equal
+    counts by the pair's text. Fewer rows if no pair is left; null tokens have no pairs.
+    ``top_pairs`` and ``merges_a_cut`` change the number of jobs, never the merges."""
     spark = tokens.sparkSession
-    words = cut_lineage(word_table(tokens, token_col))
-    merges = []
-    for r in range(n_merges):
-        best = (_pairs(words).groupBy("pair").agg(F.sum("freq").alias("n"))
-                .orderBy(F.desc("n"), F.asc("pair")).limit(1).collect())
-        if not best:
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))     # as many files: each round reads them all
+    words, words_path = _stored(word_table(tokens, token_col).filter(F.length("syms") > 4)
+                                .select(F.col("freq").alias("n"), "syms").repartition(spread), "bpe-words")
+    counts, counts_path = _stored(_pairs(words).groupBy("pair").agg(F.sum("n").alias("n")), "bpe-pairs")
+    merges: list[tuple[int, str, str, int]] = []
+    since: list[tuple[str, str]] = []
+    while len(merges) < n_merges:
+        now = _counts(words, counts, since)
+        if len(since) >= merges_a_cut:
+            counts, new_counts = _stored(now, "bpe-pairs")
+            words, new_words = _stored(words.withColumn("syms", _merged(since)), "bpe-words")
+            drop_path(spark, counts_path)
+            drop_path(spark, words_path)
+            counts_path, words_path, since, now = new_counts, new_words, [], counts
+        top = [(r.pair, int(r.n)) for r in
+               now.orderBy(F.desc("n"), F.asc("pair")).limit(top_pairs).collect()]     # bounded by top_pairs
+        taken = next_merges(top, len(top) < top_pairs, n_merges - len(merges))
+        if not taken:
             break
-        a, b = best[0].pair.split(" ")
-        merges.append((r, a, b, int(best[0].n)))
-        words = words.withColumn("syms", F.replace("syms", F.lit(f" {a}  {b} "), F.lit(f" {a}{b} ")))
-        if (r + 1) % CHECKPOINT_EVERY == 0:
-            words = cut_lineage(words)
+        for a, b, n in taken:
+            merges.append((len(merges), a, b, n))
+            since.append((a, b))
+    drop_path(spark, counts_path)
+    drop_path(spark, words_path)
     return spark.createDataFrame(merges, "rank int, a string, b string, freq bigint")
 
 
+# ---------------------------------------------------------------- given files
+def byte_letters() -> dict[str, str]:
+    """Letter -> hex of its byte, as public byte-level files write them: printable Latin-1
+    bytes stand for themselves, the others for the code points from 256 on, in order."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in printable]
+    return ({chr(b): f"{b:02X}" for b in sorted(printable)}
+            | {chr(256 + i): f"{b:02X}" for i, b in enumerate(rest)})
+
+
+def _letters_to_hex(col: Column) -> Column:
+    """Hex symbol of a token in byte letters; null if a letter stands for no byte."""
+    table = F.create_map(*[F.lit(v) for pair in byte_letters().items() for v in pair])
+    hexes = F.transform(F.split(col, ""), lambda ch: F.element_at(table, ch))
+    return F.when(~F.exists(hexes, lambda h: h.isNull()), F.array_join(hexes, ""))
+
+
+def read_merges(spark: SparkSession, path: str) -> DataFrame:
+    """T4: ``(rank, a, b)`` of a merge file: two tokens in byte letters a line, best first;
+    a first line that starts with ``#version`` and empty lines don't count. A line of any
+    other form is an error. One file is one row, as merges are bounded by a vocabulary."""
+    lines = F.filter(F.split(F.regexp_replace("value", "\r\n?", "\n"), "\n"), lambda s: F.length(s) > 0)
+    lines = F.when(F.get(lines, F.lit(0)).startswith("#version"), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))).otherwise(lines)
+    parts = F.split("line", " ", -1)
+    rows = (spark.read.text(path, wholetext=True).select(F.posexplode(lines).alias("rank", "line"))
+            .select("rank", "line", F.size(parts).alias("k"),
+                    _letters_to_hex(F.get(parts, F.lit(0))).alias("a"), _letters_to_hex(F.get(parts, F.lit(1))).alias("b")))
+    bad = (F.col("k") != 2) | F.col("a").isNull() | F.col("b").isNull() | (F.col("a") == "") | (F.col("b") == "")
+    fault = F.raise_error(F.concat(F.lit("not a merge: "), F.col("line")))
+    return rows.select("rank", F.when(bad, fault.cast("string")).otherwise(F.col("a")).alias("a"), "b")
+
+
+def read_vocab(spark: SparkSession, path: str) -> DataFrame:
+    """T4: ``(sym, id)`` of a vocabulary file, a JSON object of tokens in byte letters and
+    their ids. Tokens with other letters (special strings) have no bytes and are left out."""
+    whole = spark.read.text(path, wholetext=True)
+    return (whole.select(F.explode(F.from_json("value", "map<string,int>")).alias("token", "id"))
+            .select(_letters_to_hex(F.col("token")).alias("sym"), "id").filter("sym is not null and sym != ''"))
+
+
 # ------------------------------------------------------------------- T4 helper
 def _encode_word(syms: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Apply merges lowest rank first until none applies (per word)."""
-    while len(syms) > 1:
-        best, best_rank = None, None
-        for pair in zip(syms, syms[1:]):
-            r = ranks.get(pair)
-            if r is not None and (best_rank is None or r < best_rank):
-                best, best_rank = pair, r
-        if best is None:
-            break
-        out, i = [], 0
-        while i < len(syms):
-            if i + 1 < len(syms) and (syms[i], syms[i + 1]) == best:
-                out.append(syms[i] + syms[i + 1])
-                i += 2
-            else:
-                out.append(syms[i])
-                i += 1
-        syms = out
-    return syms
+    """Apply the merges lowest rank first, leftmost first, until none applies. The pairs
+    wait in a heap and the symbols are linked, so n symbols take O(n log n). In a merge
+    table a merge comes after those of its parts; then this is one merge at a time."""
+    n = len(syms)
+    syms, after, before = list(syms), list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i) for i in range(n - 1) if (r := ranks.get((syms[i], syms[i + 1]))) is not None]
+    heapq.heapify(heap)
+    while heap:
+        rank, i = heapq.heappop(heap)
+        j = after[i]
+        if syms[i] is None or j >= n or ranks.get((syms[i], syms[j])) != rank:
+            continue                                            # an older pair, merged since
+        syms[i], syms[j] = syms[i] + syms[j], None
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+            if (r := ranks.get((syms[i], syms[k]))) is not None:
+                heapq.heappush(heap, (r, i))
+        h = before[i]
+        if h >= 0 and (r := ranks.get((syms[h], syms[i]))) is not None:
+            heapq.heappush(heap, (r, h))
+    return [s for s in syms if s is not None]
 
 
 def bpe_encode(tokens: DataFrame, merges: DataFrame, token_col: str = "token") -> DataFrame:
@@ -118,11 +244,15 @@ MEMO_WORDS = 200_000      # words a task remembers before it starts afresh
 
 
 def bpe_encode_documents(docs: DataFrame, merges: DataFrame, key: str = "doc_id",
-                         text_col: str = "text") -> DataFrame:
-    """T4 on documents: ``(key, ids)``, each row by itself, in one pass."""
+                         text_col: str = "text", vocab: DataFrame | None = None) -> DataFrame:
+    """T4 on documents: ``(key, ids)``, each row by itself, in one pass. With ``vocab``
+    (``read_vocab``) the ids are the file's; a symbol it doesn't hold is an error."""
     rows = merges.collect()                 # bounded by the number of merges
     ranks = {(r.a, r.b): r.rank for r in rows}
-    ids_of = {r.a + r.b: C.FIRST_WORD_ID + r.rank for r in rows}
+    if vocab is None:
+        ids_of = {f"{b:02X}": b for b in range(256)} | {r.a + r.b: C.FIRST_WORD_ID + r.rank for r in rows}
+    else:
+        ids_of = {r.sym: r.id for r in vocab.collect()}         # bounded by the file
 
     def run(batches):
         import pyarrow as pa
@@ -134,7 +264,7 @@ def bpe_encode_documents(docs: DataFrame, merges: DataFrame, key: str = "doc_id"
                 if len(memo) >= MEMO_WORDS:
                     memo.clear()
                 syms = _encode_word([f"{b:02X}" for b in word.encode("utf-8")], ranks)
-                found = memo[word] = [ids_of[s] if len(s) > 2 else int(s, 16) for s in syms]
+                found = memo[word] = [ids_of[s] for s in syms]
             return found
 
         for b in batches:

@@ -570,7 +570,7 @@ def q_complete_stream(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- BPE
-BPE_MERGES = 32
+BPE_MERGES = 2000
 
 
 def q_learn_merges(spark, sf_dir):

@@ -581,29 +581,36 @@ FROM (SELECT seq_id, unnest(range(len(ids) - prompt_len)) AS i, unnest(ids[promp
 from spindle.plans.catalog import BPE_MERGES  # noqa: E402
 
 # Symbols of a word, each between spaces of its own (" 61  62 "): a merge is one plain
-# replacement, leftmost first. One pair of tables a merge: its best pair, the words after it.
-_merge_steps = []
-for _i in range(BPE_MERGES):
-    _merge_steps.append(f"""
-b{_i} AS MATERIALIZED (
-  SELECT z.a || ' ' || z.b AS pair, z.a AS a, z.b AS b, CAST(sum(freq) AS BIGINT) AS n
-  FROM (SELECT freq, unnest(list_transform(range(1, len(s)), lambda i: {{'a': s[i], 'b': s[i + 1]}})) AS z
-        FROM (SELECT freq, string_split(trim(syms), '  ') AS s FROM w{_i}))
-  GROUP BY ALL ORDER BY n DESC, pair LIMIT 1),
-w{_i + 1} AS MATERIALIZED (
-  SELECT word, freq, replace(syms, ' ' || a || '  ' || b || ' ', ' ' || a || b || ' ') AS syms FROM w{_i}, b{_i})""")
-BPE_LEARN = with_ctes(PRETOKENS) + """,
+# replacement, leftmost first. One merge a round: all pairs are counted anew, the words
+# that hold the best one are replaced by their key (0, word), the merge is row (rank + 1, '').
+BPE_LEARN = "WITH RECURSIVE " + with_ctes(PRETOKENS).removeprefix("WITH ") + f""",
 w0 AS MATERIALIZED (
   SELECT token AS word, count(*) AS freq,
          ' ' || array_to_string(regexp_extract_all(hex(encode(token)), '..'), '  ') || ' ' AS syms
-  FROM pt GROUP BY token),""" + ",".join(_merge_steps) + ",\nmerges AS (" + " UNION ALL ".join(
-    f"SELECT CAST({i} AS BIGINT) AS rank, a, b, n AS freq FROM b{i}" for i in range(BPE_MERGES)) + ")"
+  FROM pt GROUP BY token),
+st(k, word, rank, freq, syms, a, b) USING KEY (k, word) AS (
+  SELECT CAST(0 AS BIGINT), word, CAST(-1 AS BIGINT), CAST(freq AS BIGINT), syms, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+  FROM w0
+  UNION
+  (WITH words AS MATERIALIZED (SELECT word, freq, syms FROM recurring.st WHERE k = 0),
+  best AS MATERIALIZED (
+    SELECT z.a || ' ' || z.b AS pair, z.a AS a, z.b AS b, CAST(sum(freq) AS BIGINT) AS n
+    FROM (SELECT freq, unnest(list_transform(range(1, len(s)), lambda i: {{'a': s[i], 'b': s[i + 1]}})) AS z
+          FROM (SELECT freq, string_split(trim(syms), '  ') AS s FROM words))
+    GROUP BY ALL ORDER BY n DESC, pair LIMIT 1),
+  step AS (SELECT CAST(max(rank) + 1 AS BIGINT) AS r FROM st)
+  SELECT CAST(0 AS BIGINT), word, r, freq, replace(syms, ' ' || a || '  ' || b || ' ', ' ' || a || b || ' '), NULL, NULL
+  FROM words, best, step WHERE r < {BPE_MERGES} AND contains(syms, ' ' || a || '  ' || b || ' ')
+  UNION ALL
+  SELECT r + 1, '', r, n, '', a, b FROM best, step WHERE r < {BPE_MERGES})),
+merges AS MATERIALIZED (SELECT rank, a, b, freq FROM st WHERE k > 0),
+w AS MATERIALIZED (SELECT word, syms FROM st WHERE k = 0)"""
 
 SQL["learn_merges"] = BPE_LEARN + "\nSELECT rank, a, b, freq FROM merges"
 SQL["bpe_encode"] = BPE_LEARN + f""",
 sym AS (SELECT a || b AS s, {C.FIRST_WORD_ID} + max(rank) AS id FROM merges GROUP BY ALL),
 ws AS (SELECT word, unnest(range(len(p))) AS i, unnest(p) AS s
-       FROM (SELECT word, string_split(trim(syms), '  ') AS p FROM w{BPE_MERGES})),
+       FROM (SELECT word, string_split(trim(syms), '  ') AS p FROM w)),
 wi AS (SELECT word, list(CASE WHEN length(ws.s) = 2 THEN CAST('0x' || ws.s AS BIGINT) ELSE sym.id END ORDER BY i) AS ids
        FROM ws LEFT JOIN sym USING (s) GROUP BY word),
 de AS (SELECT doc_id, flatten(list(ids ORDER BY pos)) AS ids FROM pt JOIN wi ON pt.token = wi.word GROUP BY doc_id)
