@@ -58,7 +58,7 @@ def _running(df: DataFrame, key: str, n: str, ordered: bool) -> DataFrame:
              .orderBy("_part").collect())
     start, starts, last = 0, [], None
     for p in parts:
-        if last is not None and p.lo is not None and p.lo < last:
+        if ordered and last is not None and p.lo is not None and p.lo < last:
             raise ValueError(f"rows aren't partitioned by ranges of {key}")
         starts.append((p["_part"], start))
         start, last = start + (p.n or 0), p.hi if p.hi is not None else last

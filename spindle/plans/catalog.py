@@ -553,6 +553,16 @@ def q_stream_pack(spark, sf_dir):
     return _blocks_out(spark.read.parquet(out))
 
 
+def q_train_stream(spark, sf_dir):
+    """Training while the documents arrive; the model that the versions add up to."""
+    v = vocab(spark, sf_dir)
+    docs = documents(spark, sf_dir)
+    stream = streams.stream_corpus(spark, as_arriving(spark, docs, "doc_id", "arriving"), docs.schema)
+    path = scratch_path(spark, "model")
+    streams.train_stream(stream.select("doc_id", "text"), path, scratch_path(spark, "train-stream"), v)
+    return _model_out(sinks.load_model(spark, path, required=True))
+
+
 def q_complete_stream(spark, sf_dir):
     v, model, tables, _, blocked = _gen_inputs(spark, sf_dir)
     conv = table(spark, sf_dir, "conversations")
@@ -646,6 +656,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_model": q_load_model,
     "stream_corpus": q_stream_corpus,
     "stream_pack": q_stream_pack,
+    "train_stream": q_train_stream,
     "complete_stream": q_complete_stream,
     "learn_merges": q_learn_merges,
     "bpe_encode": q_bpe_encode,

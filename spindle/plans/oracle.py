@@ -500,6 +500,7 @@ SQL["load_model"] = PACK + MODEL + f"""
 SELECT {_model_cols.replace("CAST(cnt AS BIGINT)", "CAST(2 * cnt AS BIGINT)")} FROM model"""
 SQL["stream_corpus"] = "SELECT doc_id, text FROM documents"
 SQL["stream_pack"] = SQL["drop_remainder"]
+SQL["train_stream"] = SQL["train_ngrams"]
 
 
 def completion(max_new: int) -> str:

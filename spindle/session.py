@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,10 +62,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+_scope = threading.local()
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession):
+    """Tables that ``written`` makes inside are removed at the end: whatever is made of them
+    must be written by then. For loops and streams, whose rounds would pile them up."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _scope.paths = _scope.paths, outer
+        for path in paths:
+            drop_path(spark, path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read back. Unlike a checkpoint, the
     files tell Spark the table's size, which decides how it is joined."""
     path = scratch_path(df.sparkSession, name)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

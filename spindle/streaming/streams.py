@@ -1,4 +1,4 @@
-"""Structured Streaming: S8, P13, G4.
+"""Structured Streaming: S8, P13, G4, training while text arrives.
 
 Streams reuse the batch functions inside ``foreachBatch``. State that must
 survive between micro-batches (the packing leftover, the next step number) is
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spindle import constants as C
-from spindle.operators import ngram, packing
+from spindle.operators import codec, ngram, packing
 from spindle.operators.codec import Vocab
+from spindle.session import scratch_removed
 from spindle.sources import sinks
 
 CARRY_SCHEMA = "batch_id bigint, next_step bigint, leftover array<int>"
@@ -83,14 +84,17 @@ def _latest_carry(spark: SparkSession, state_dir: str, batch_id: int) -> DataFra
 
 def pack_micro_batch(encoded: DataFrame, carry: DataFrame, block: int = C.BLOCK_SIZE,
                      batch: int = C.BATCH_SIZE):
-    """Pack ``carry.leftover + encoded (in doc_id order)`` into full batches.
+    """Pack ``carry.leftover + encoded (in doc_id order)`` into full batches. The leftover
+    comes first whatever the ids are (null, negative, text).
 
     Returns ``(blocks(step, row, x), new_carry(next_step, leftover))``.
     """
     per_step = block * batch
-    lead = carry.select(F.lit(-1).cast("bigint").alias("doc_id"), F.col("leftover").alias("ids"))
-    docs = lead.unionByName(encoded.select(F.col("doc_id").cast("bigint"), "ids"))
-    wo = packing.with_offsets(docs)
+    kind = encoded.schema["doc_id"].dataType
+    lead = carry.select(F.struct(F.lit(0).alias("arrived"), F.lit(None).cast(kind).alias("doc_id")).alias("place"),
+                        F.col("leftover").alias("ids"))
+    docs = lead.unionByName(encoded.select(F.struct(F.lit(1).alias("arrived"), "doc_id").alias("place"), "ids"))
+    wo = packing.with_offsets(docs, key="place")
     total = wo.select(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).scalar()
     start = carry.select("next_step").scalar()
     n_full = F.floor(total / F.lit(per_step))
@@ -122,10 +126,11 @@ def stream_pack(stream: DataFrame, out: str, state_dir: str, checkpoint: str,
         carry = _latest_carry(spark, state_dir, batch_id)
         enc = encode_fn(mb) if encode_fn is not None else mb
         # the rows with offsets are written once, and both outputs read them
-        blocks, new_carry = pack_micro_batch(enc, carry, block, batch)
-        blocks.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
-        new_carry.write.mode("overwrite").parquet(
-            os.path.join(state_dir, "carry", f"batch_id={batch_id}"))
+        with scratch_removed(spark):
+            blocks, new_carry = pack_micro_batch(enc, carry, block, batch)
+            blocks.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+            new_carry.write.mode("overwrite").parquet(
+                os.path.join(state_dir, "carry", f"batch_id={batch_id}"))
     run_to_end(stream, sink, checkpoint)
 
 
@@ -134,6 +139,43 @@ def read_carry(spark: SparkSession, state_dir: str) -> DataFrame:
     return _latest_carry(spark, state_dir, 1 << 62)
 
 
+# ------------------------------------------------- training while text arrives
+def train_sink(model_path: str, state_dir: str, base: int, vocab: Vocab, block: int = C.BLOCK_SIZE,
+               batch: int = C.BATCH_SIZE) -> Callable[[DataFrame, int], None]:
+    """Train on the full batches that a micro-batch of ``(doc_id, text)`` completes; ids
+    short of a batch wait in the carry. Micro-batch ``b`` adds its counts as version
+    ``base + b + 1`` to version ``base + b`` and then writes its carry: a replay reads the
+    same carry and writes the same version, so nothing counts twice."""
+    digest = vocab.digest()
+
+    def sink(mb: DataFrame, batch_id: int) -> None:
+        spark = mb.sparkSession
+        with scratch_removed(spark):
+            carry = _latest_carry(spark, state_dir, batch_id)
+            blocks, new_carry = pack_micro_batch(codec.encode(mb, vocab), carry, block, batch)
+            delta = ngram.train_ngrams(blocks, vocab.n_ids(), vocab=digest)
+            sinks.append_model(delta, model_path, base + batch_id, vocab)
+            new_carry.write.mode("overwrite").parquet(os.path.join(state_dir, "carry", f"batch_id={batch_id}"))
+    return sink
+
+
+def train_stream(stream: DataFrame, model_path: str, checkpoint: str, vocab: Vocab | None = None,
+                 block: int = C.BLOCK_SIZE, batch: int = C.BATCH_SIZE) -> None:
+    """Train on ``stream(doc_id, text)`` as it arrives, until all that is there is read; run
+    again with the same ``checkpoint`` it goes on with what came since. The model saved at
+    ``model_path`` is resumed with its own vocabulary; a new one needs ``vocab``. Equal to
+    training on the full batches of all texts in the order of arrival, by ``doc_id``
+    within a micro-batch."""
+    spark = stream.sparkSession
+    base = run_base(spark, model_path, checkpoint)
+    if base:
+        vocab = sinks.load_vocab(spark, model_path, version=base)
+    elif vocab is None:
+        raise ValueError("a new model needs a vocabulary")
+    run_to_end(stream, train_sink(model_path, os.path.join(checkpoint, "state"), base, vocab, block, batch),
+               os.path.join(checkpoint, "stream"))
+
+
 # --------------------------------------------------------------------------- G4
 def complete_stream(prompt_stream: DataFrame, encode_fn: Callable[[DataFrame], DataFrame],
                     complete_fn: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> None:
@@ -149,18 +191,15 @@ def complete_stream(prompt_stream: DataFrame, encode_fn: Callable[[DataFrame], D
 def epoch_sink(blocks: DataFrame, n_ids, model_path: str, base: int = 0,
                vocab: Vocab | None = None) -> Callable[[DataFrame, int], None]:
     """One epoch per micro-batch: train on ``blocks`` and add to the model before. Batch
-    ``b`` writes version ``base + b + 1`` from version ``base + b``, so a replayed batch
-    rewrites the same version and nothing up to ``base`` is ever written. The vocabulary of
-    the version before, else ``vocab``, goes on with the model."""
+    ``b`` writes version ``base + b + 1``, a delta on version ``base + b``, so a replayed
+    batch rewrites the same version and nothing up to ``base`` is ever written. The
+    vocabulary of the version before, else ``vocab``, goes on with the model."""
     def sink(_ticks: DataFrame, batch_id: int) -> None:
         spark = blocks.sparkSession
         before = base + batch_id
         saved = sinks.load_model(spark, model_path, required=True, version=before) if before else None
-        words = sinks.load_vocab(spark, model_path, version=before) if saved is not None and saved.vocab else vocab
-        m = ngram.train_ngrams(blocks, n_ids, vocab=words.digest() if words is not None else None)
-        if saved is not None:
-            m = ngram.merge_models(saved, m)
-        sinks.save_model(m, model_path, version=before + 1, vocab=words)
+        name = saved.vocab if saved is not None else vocab.digest() if vocab is not None else None
+        sinks.append_model(ngram.train_ngrams(blocks, n_ids, vocab=name), model_path, before, vocab)
     return sink
 
 

@@ -1,9 +1,11 @@
 """Streaming: carry across micro-batches (FIXTURES 3.2) and stream = batch."""
 
-import pytest
 import os
+import shutil
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from spindle.streaming import streams
@@ -155,3 +157,81 @@ def test_models_without_a_named_vocabulary_are_not_added(spark):
     blocks = spark.createDataFrame([(0, 0, [1, 2, 3])], "step bigint, row bigint, x array<int>")
     with pytest.raises(ValueError, match="vocabularies"):
         ngram.merge_models(ngram.train_ngrams(blocks, F.lit(4), vocab="a"), ngram.train_ngrams(blocks, F.lit(4)))
+
+
+def _texts(spark, rows):
+    return spark.createDataFrame(rows, "doc_id string, text string")
+
+
+def _trigram_counts(m):
+    return {(r.ord, r.u, r.v, r.w): r.cnt for r in m.counts.collect()}
+
+
+def test_training_while_text_arrives_equals_batch_training(spark, tmpdir_path):
+    """Text ids and a null one, a delivery without a full batch, a replay after each half of
+    a micro-batch, a second run: every position counts once."""
+    from spindle.operators import codec, ngram, packing
+    from spindle.session import ensure_checkpoint_dir
+    from spindle.sources import sinks
+    deliveries = [[(None, "one two three four one two"), ("a", "three four five")], [("b", "six")], [],
+                  [("c", "one two one two three three six seven eight nine ten one two three")],
+                  [("d", "five five five five six six")]]
+    everything = _texts(spark, [r for d in deliveries for r in d])
+    vocab = codec.build_vocab(codec.explode_pretokens(everything.withColumn("doc_id", F.lit(1))), 30)
+    ids = [i for r in codec.encode(everything.withColumn("doc_id", F.coalesce("doc_id", F.lit(""))), vocab).orderBy("doc_id").collect() for i in r.ids]
+    rows = [(0, k, ids[4 * k:4 * k + 4]) for k in range(len(ids) // 8 * 2)]
+    blocks = spark.createDataFrame(rows, "step bigint, row bigint, x array<int>")
+    want = _trigram_counts(ngram.train_ngrams(blocks, vocab.n_ids()))
+
+    path, state = f"{tmpdir_path}/m", f"{tmpdir_path}/state"
+    sink = streams.train_sink(path, state, 0, vocab, block=4, batch=2)
+    scratch = lambda: {n for n in os.listdir(ensure_checkpoint_dir(spark).removeprefix("file:")) if n.startswith("offsets-")}
+    before = scratch()
+    for b, rows in enumerate(deliveries):
+        sink(_texts(spark, rows), b)
+        sink(_texts(spark, rows), b)                                        # whole micro-batch replayed
+        if b == 3:
+            shutil.rmtree(f"{state}/carry/batch_id={b}")                    # lost after the model was written
+            sink(_texts(spark, rows), b)
+    assert scratch() == before
+    model = sinks.load_model(spark, path, required=True)
+    assert _trigram_counts(model) == want and model.vocab == vocab.digest()
+    assert [n for n in sorted(os.listdir(path)) if os.path.exists(f"{path}/{n}/vocab")] == ["v=1"]
+
+
+def test_deltas_add_up_and_are_written_whole_now_and_then(spark, tmpdir_path):
+    from spindle.operators import ngram
+    from spindle.sources import sinks
+    blocks = spark.createDataFrame([(0, 0, [1, 2, 3])], "step bigint, row bigint, x array<int>")
+    delta = ngram.train_ngrams(blocks, F.lit(4), vocab="a")
+    path = f"{tmpdir_path}/m"
+    for base in range(sinks.DELTAS_A_WHOLE + 2):
+        assert sinks.append_model(delta, path, base) == base + 1
+    n = sinks.DELTAS_A_WHOLE
+    for version in (1, 3, n, n + 1, n + 2):
+        got = sinks.load_model(spark, path, version=version)
+        assert set(_trigram_counts(got).values()) == {version}
+    metas = [spark.read.parquet(f"{path}/v={v}/meta").first().base for v in range(1, n + 3)]
+    assert [v for v, base in enumerate(metas, 1) if not base] == [1, n + 1]
+    with pytest.raises(ValueError, match="vocabularies"):
+        sinks.append_model(ngram.train_ngrams(blocks, F.lit(4), vocab="b"), path, 2)
+
+
+def test_train_stream_goes_on_where_it_stopped(spark, tmpdir_path):
+    from spindle.operators import codec
+    from spindle.sources import sinks
+    docs = spark.createDataFrame([(i, "one two three four five six seven eight") for i in range(6)], "doc_id bigint, text string")
+    vocab = codec.build_vocab(codec.explode_pretokens(docs), 20)
+    arriving, path, ckpt = f"{tmpdir_path}/in", f"{tmpdir_path}/m", f"{tmpdir_path}/ckpt"
+    docs.filter("doc_id < 4").write.parquet(arriving)
+    stream = lambda: streams.stream_corpus(spark, arriving, docs.schema, max_files_per_trigger=None)
+    with pytest.raises(ValueError, match="vocabulary"):
+        streams.train_stream(stream(), path, f"{tmpdir_path}/none")
+    streams.train_stream(stream(), path, ckpt, vocab, block=8, batch=3)     # 32 ids: one batch, 8 wait
+    total = lambda: sinks.load_model(spark, path, required=True).counts.filter("ord = 1").agg(F.sum("cnt")).first()[0]
+    assert total() == 24
+    docs.filter("doc_id >= 4").write.mode("append").parquet(arriving)
+    streams.train_stream(stream(), path, ckpt, vocab, block=8, batch=3)
+    assert total() == 48
+    streams.train_stream(stream(), path, ckpt, vocab, block=8, batch=3)
+    assert total() == 48
