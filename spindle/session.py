@@ -26,6 +26,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
+          # a join whose measured partitions all fit is hashed, not sorted
+          .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
           .config("spark.sql.session.timeZone", "UTC")
           # delete checkpoint files once nothing references them (long loops)
           .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
