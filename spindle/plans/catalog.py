@@ -448,14 +448,23 @@ def q_next_token_scores(spark, sf_dir):
                      F.round("score", 6).alias("score"))
 
 
-def q_generate_step(spark, sf_dir):
+def _one_step(spark, sf_dir, **config):
     _, _, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
-    cfg = generate.GenConfig(seed=SEED)
+    cfg = generate.GenConfig(seed=SEED, **config)
     st = generate.generate_step(generate.initial_state(prompts, cfg), tables, blocked, cfg, 0)
     return st.select("seq_id", F.col("n_new").cast("bigint").alias("n_new"),
                      F.element_at("ids", -1).cast("bigint").alias("last_id"), "reason")
 
 
+def q_generate_step(spark, sf_dir):
+    return _one_step(spark, sf_dir)
+
+
+def q_nucleus_step(spark, sf_dir):
+    """The same with top-p: each prompt's nucleus from the heads of the model's lists."""
+    return _one_step(spark, sf_dir, top_p=TOP_P_FIXTURE)
+
+
 def q_complete_batch(spark, sf_dir):
     v, model, tables, prompts, blocked = _gen_inputs(spark, sf_dir)
     st = generate.complete(prompts, model, generate.GenConfig(seed=SEED), blocked, tables)
@@ -649,6 +658,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "format_loss": q_format_loss,
     "next_token_scores": q_next_token_scores,
     "generate_step": q_generate_step,
+    "nucleus_step": q_nucleus_step,
     "complete_batch": q_complete_batch,
     "sink_completions": q_sink_completions,
     "sink_metrics": q_sink_metrics,

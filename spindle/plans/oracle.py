@@ -289,9 +289,10 @@ NEG = "CAST('-inf' AS DOUBLE)"
 
 
 def chain_sql(base: str, seqs: str, blocked: str, seed: int = SEED, step: int = 0,
-              top_k: int = C.TOP_K, top_p: float = TOP_P_FIXTURE) -> str:
-    """CTEs s_temp .. s_draw over ``base(seq_id, token_id, score)`` and
-    ``seqs(seq_id, ids)``; ``blocked`` is a SQL set of blocked ids."""
+              top_k: int = C.TOP_K, top_p: float = TOP_P_FIXTURE,
+              kept: str = "s_topk") -> str:
+    """CTEs s_temp .. s_draw over ``base(seq_id, token_id, score)`` and ``seqs(seq_id, ids)``;
+    ``blocked`` is a SQL set of blocked ids. The draw is from ``kept`` (s_topk or s_topp)."""
     return f""",
 bans AS (
   SELECT DISTINCT seq_id, g[3] AS token_id
@@ -339,7 +340,7 @@ s_draw AS (
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
                CAST(('0x' || substr(md5(concat_ws('|', {seed}, seq_id, {step})), 1, 13)) AS BIGINT)
                  / 4503599627370496.0 AS u
-        FROM s_topk)
+        FROM {kept})
   GROUP BY seq_id
 )"""
 
@@ -467,7 +468,7 @@ blkd AS (
 SQL["next_token_scores"] = GEN + """
 SELECT seq_id, token_id, round(score, 6) AS score FROM nts"""
 
-SQL["generate_step"] = GEN + chain_sql("nts", "ctxp", "(SELECT token_id FROM blkd)", SEED, 0) + f"""
+_step_out = f"""
 SELECT p.seq_id,
        CAST(CASE WHEN len(p.ids) = 0 THEN 0 WHEN d.token_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_new,
        CAST(CASE WHEN len(p.ids) = 0 THEN NULL WHEN d.token_id IS NULL THEN p.ids[-1] ELSE d.token_id END
@@ -477,6 +478,8 @@ SELECT p.seq_id,
             WHEN d.token_id = {C.EOS_ID} THEN 'eos'
             WHEN 1 >= {C.MAX_NEW_TOKENS} THEN 'max_new' END AS reason
 FROM pe p LEFT JOIN s_draw d USING (seq_id)"""
+SQL["generate_step"] = GEN + chain_sql("nts", "ctxp", "(SELECT token_id FROM blkd)") + _step_out
+SQL["nucleus_step"] = GEN + chain_sql("nts", "ctxp", "(SELECT token_id FROM blkd)", kept="s_topp") + _step_out
 
 # ---------------------------------------------------------------- sinks / streams
 SQL["sink_metrics"] = PACK + MODEL + f""",

@@ -20,7 +20,7 @@ def test_sparse_top_k_equals_dense(spark, gen):
     cfg = G.GenConfig(seed=42)
     active = prompts.filter(F.size("ids") > 0)
     dense = G.chain(G.next_token_scores(active, tables, cfg, keep_flags=True), blocked, cfg)
-    sparse = G.sparse_top_k(active, G.model_lists(tables, blocked), cfg)
+    sparse = G.sparse_kept(active, G.model_lists(tables, blocked), cfg)
     d = {(r.seq_id, r.token_id): r.p for r in dense.collect()}
     s = {(r.seq_id, r.token_id): r.p for r in sparse.collect()}
     assert d.keys() == s.keys()
@@ -36,7 +36,7 @@ def test_contexts_with_blocked_followers_only(spark, gen):
     blocked = tables.n3.join(ends, ["u", "v"]).select(F.col("w").alias("token_id")).distinct()
     assert blocked.count() > 0
     dense = G.chain(G.next_token_scores(active, tables, cfg, keep_flags=True), blocked, cfg)
-    sparse = G.sparse_top_k(active, G.model_lists(tables, blocked), cfg)
+    sparse = G.sparse_kept(active, G.model_lists(tables, blocked), cfg)
     d = {(r.seq_id, r.token_id): r.p for r in dense.collect()}
     s = {(r.seq_id, r.token_id): r.p for r in sparse.collect()}
     assert d.keys() == s.keys() and max(abs(d[k] - s[k]) for k in d) < 1e-9
@@ -82,11 +82,28 @@ def test_one_step_equals_generate_step(spark, gen):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
-def test_top_p_path_runs(spark, gen):
+@pytest.mark.parametrize("p, head, warmth", [(0.9, 256, 0.8), (0.5, 2, 1.0), (0.05, 1, 0.8), (0.999, 8, 1.3)])
+def test_sparse_nucleus_equals_dense(spark, gen, monkeypatch, p, head, warmth):
+    """Whatever the head that is read first, with a nucleus of one id and of most ids."""
     v, model, tables, prompts, blocked = gen
-    cfg = G.GenConfig(seed=1, max_new=1, top_p=0.9)
-    st = G.generate_step(G.initial_state(prompts, cfg), tables, blocked, cfg, 0)
-    assert st.filter(F.col("n_new") == 1).count() > 0
+    monkeypatch.setattr(G, "FIRST_HEAD", head)
+    cfg = G.GenConfig(seed=42, top_p=p, temperature=warmth)
+    active = prompts.filter(F.size("ids") > 0)
+    dense = G.chain(G.next_token_scores(active, tables, cfg, keep_flags=True), blocked, cfg)
+    sparse = G.sparse_kept(active, G.model_lists(tables, blocked, warmth), cfg)
+    d = {(r.seq_id, r.token_id): r.p for r in dense.collect()}
+    s = {(r.seq_id, r.token_id): r.p for r in sparse.collect()}
+    assert d.keys() == s.keys()
+    assert max(abs(d[k] - s[k]) for k in d) < 1e-9
+
+
+def test_top_p_steps(spark, gen):
+    v, model, tables, prompts, blocked = gen
+    cfg = G.GenConfig(seed=1, max_new=2, top_p=0.9)
+    rows = G.complete(prompts, model, cfg, blocked, tables).collect()
+    assert len(rows) == prompts.count() and any(r.n_new == 2 for r in rows)
+    with pytest.raises(ValueError, match="temperature"):
+        G.complete(prompts, model, cfg, None, tables, G.model_lists(tables, None, 0.5))
 
 
 def test_text_and_sink(spark, gen, tmpdir_path):
