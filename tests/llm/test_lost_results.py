@@ -83,3 +83,25 @@ def test_hosts(spark):
         "listed_on", F.lit("2024-01-01").cast("date"))
     out = {r["url"]: r["blocked"] for r in url_filter.filter_captures(urls, entries).collect()}
     assert [u for u, b in out.items() if b] == ["http://[2001:db8::1]/x"]
+
+
+def test_chat_sql_states_the_parts_in_force(spark, tmp_path):
+    """Hot conversations by number, by repeated and missing numbers, without an id."""
+    import random
+
+    import duckdb
+
+    from spindle.llm import queries
+    from spindle.llm.oracle import SQL
+    rnd = random.Random(3)
+    rows = [(7, rnd.choice([None, 1, 2, 300]), rnd.choice(["user", "assistant", "system", None, "bob"]),
+             rnd.choice(["a", "b <|x", None, ""])) for _ in range(900)]
+    rows += [(8, i, ["user", "assistant"][i % 2], f"t{i}") for i in range(600)] + [(None, i % 3, "user", "q") for i in range(10)]
+    path = f"{tmp_path}/conversations.parquet"
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(path)
+    got = queries.op9_chat_formatting(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    want = con.sql(SQL["op9_chat_formatting"])
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.select(*got.columns).fetchall(), key=repr)
