@@ -11,6 +11,9 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -53,6 +56,90 @@ def read_text_file(spark: SparkSession, path: str) -> DataFrame:
                      normalize_newlines("value").alias("text"))
 
 
+def file_chunks(spark: SparkSession, files: list[tuple[str, str, str]]) -> DataFrame:
+    """S2 on files of any size: ``(doc_id, file_name, place, text)``, ``files`` being ``(name,
+    URI-encoded name, path)`` in the order of ``doc_id``. The chunks of a file in the order
+    of ``place`` are its text; a file without a byte has none.
+
+    Every chunk but a file's first begins with a space. No pre-token goes on beyond a
+    space or holds one but at its start, so the pre-tokens (and ids) of the chunks, one
+    after another, are those of the whole text. The reader cuts large files into splits at
+    spaces; words are put together again by batches of a split, and nothing is shuffled.
+    Only a file's first and last bytes are looked at beside that: what the reader drops of
+    them (a byte order mark, a last space) is put back.
+    """
+    opened = []
+    for i, (name, uri, path) in enumerate(files):
+        size, head, tail = _ends(spark, path)
+        opened.append((i, name, uri, "\ufeff" if head == b"\xef\xbb\xbf" else "", tail, size))
+    order = spark.createDataFrame(opened, "doc_id bigint, file_name string, _uri string, _head string, _tail int, _size bigint")
+    paths = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for _, _, path in files]
+    words = spark.read.text(paths, lineSep=" ").select(
+        F.col("_metadata.file_name").alias("_uri"), F.col("_metadata.file_block_start").alias("_start"), "value")
+
+    def join(batches):
+        number: dict = {}                           # chunks so far of the split that is read
+        for b in batches:
+            uri, start, value = (b.column(i) for i in range(3))
+            if not b.num_rows:
+                continue
+            new = pc.or_(pc.not_equal(uri[1:], uri[:-1]), pc.not_equal(start[1:], start[:-1]))
+            at = [0, *(np.flatnonzero(new.to_numpy(zero_copy_only=False)) + 1).tolist()]
+            keys = [(uri[i].as_py(), start[i].as_py()) for i in at]
+            place = []
+            for key in keys:
+                number = {key: number.get(key, -1) + 1}
+                place.append(key[1] + number[key])
+            runs = pa.ListArray.from_arrays(pa.array([*at, b.num_rows], pa.int32()), value)
+            yield pa.RecordBatch.from_arrays([uri.take(pa.array(at)), pa.array(place, pa.int64()), pc.binary_join(runs, " ")],
+                                             ["_uri", "place", "text"])
+
+    # a chunk holds a byte at least, so a split has no more chunks than bytes
+    chunks = words.mapInArrow(join, "_uri string, place bigint, text string").join(order, "_uri")
+    begins = F.when(F.col("place") == 0, F.col("_head")).otherwise(" ")
+    last = order.filter(F.col("_tail") == 32).select("doc_id", "file_name", F.col("_size").alias("place"), F.lit(" ").alias("text"))
+    return chunks.select("doc_id", "file_name", "place",
+                         normalize_newlines(F.concat(begins, F.col("text"))).alias("text")).unionByName(last)
+
+
+def _ends(spark: SparkSession, path: str) -> tuple[int, bytes, int | None]:
+    """A file's size, first three bytes and last byte."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getFileStatus(jpath).getLen()
+    if size == 0:
+        return 0, b"", None
+    stream = fs.open(jpath)
+    try:
+        head = bytes(stream.read() for _ in range(min(3, size)))
+        stream.seek(size - 1)
+        return size, head, stream.read()
+    finally:
+        stream.close()
+
+
+def read_text_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """S2 on one file of any size: ``(doc_id, text)``, ``doc_id`` being a chunk's place in the
+    file. Encoded and packed in that order it gives the ids of the file as one text."""
+    return file_chunks(spark, [_one_file(spark, path)]).select(F.col("place").alias("doc_id"), "text")
+
+
+def read_dir_chunks(spark: SparkSession, directory: str) -> DataFrame:
+    """S4 with files of any size: ``(doc_id, file_name, place, text)`` of every ``*.txt``."""
+    _require_exists(spark, directory)
+    files = _list_txt_files(spark, directory)
+    if not files:
+        raise ValueError(f"no *.txt files in {directory}")
+    return file_chunks(spark, files)
+
+
+def _one_file(spark: SparkSession, path: str) -> tuple[str, str, str]:
+    _require_exists(spark, path)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getName(), jpath.toUri().getRawPath().rsplit("/", 1)[1], path
+
+
 def _require_exists(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -77,7 +164,7 @@ def file_lines(spark: SparkSession, files: list[tuple[str, str, str]]) -> DataFr
     the file, from a table with one row a split. Only a file's last byte is looked at
     beside that: whether its last line has a newline.
     """
-    opened = [(i, name, uri, _ends_with_newline(spark, path)) for i, (name, uri, path) in enumerate(files)]
+    opened = [(i, name, uri, _ends(spark, path)[2] in (None, 10, 13)) for i, (name, uri, path) in enumerate(files)]
     order = spark.createDataFrame(opened, "doc_id bigint, file_name string, _uri string, _closed boolean")
     paths = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for _, _, path in files]
     lines = spark.read.text(paths).select(
@@ -95,27 +182,9 @@ def file_lines(spark: SparkSession, files: list[tuple[str, str, str]]) -> DataFr
                          F.concat("value", F.when(last, "").otherwise("\n")).alias("line"))
 
 
-def _ends_with_newline(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    size = fs.getFileStatus(jpath).getLen()
-    if size == 0:
-        return True
-    stream = fs.open(jpath)
-    try:
-        stream.seek(size - 1)
-        return stream.read() in (10, 13)
-    finally:
-        stream.close()
-
-
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """S3 on a file: ``(doc_id, line_no, line)``."""
-    _require_exists(spark, path)
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    one = (jpath.getName(), jpath.toUri().getRawPath().rsplit("/", 1)[1], path)
-    return file_lines(spark, [one]).select("doc_id", "line_no", "line")
+    return file_lines(spark, [_one_file(spark, path)]).select("doc_id", "line_no", "line")
 
 
 def read_dir_lines(spark: SparkSession, directory: str) -> DataFrame:
@@ -188,12 +257,13 @@ def fallback_corpus(spark: SparkSession) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- S7
-def open_corpus(spark: SparkSession, choice: str, registry: dict | None = None) -> DataFrame:
+def open_corpus(spark: SparkSession, choice: str, registry: dict | None = None, chunked: bool = False) -> DataFrame:
     """A named dataset from ``registry`` (name -> callable(spark) -> DataFrame)
     or a path (parquet file/dir, ``*.txt`` directory, or a text file).
 
     If a registered loader fails, tiny-shakespeare falls back to the bundled
-    stanza; other names re-raise. An unknown path is an error.
+    stanza; other names re-raise. An unknown path is an error. ``chunked`` reads a text
+    file as chunks (see ``read_text_chunks``), whatever its size.
     """
     registry = registry or {}
     if choice in registry:
@@ -214,7 +284,7 @@ def open_corpus(spark: SparkSession, choice: str, registry: dict | None = None)
         raise FileNotFoundError(f"{choice} not found.")
     if fs.getFileStatus(jpath).isDirectory():
         return read_text_dir(spark, choice).select("doc_id", "text")
-    return read_text_file(spark, choice)
+    return read_text_chunks(spark, choice) if chunked else read_text_file(spark, choice)
 
 
 def corpus_tag(choice: str) -> str:

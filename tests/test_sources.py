@@ -139,3 +139,41 @@ def test_lines_of_files_cut_into_splits(spark, tmpdir_path):
         assert [r.line_no for r in mine] == list(range(len(mine)))
         assert [r.line for r in mine] == want.splitlines(keepends=True)
     assert "".join(r.line for r in alone) == texts["a b.txt"].replace("\r\n", "\n")
+
+
+def test_chunks_of_a_file_are_its_text_and_ids(spark, tmpdir_path):
+    """One long line, lines, spaces at ends and in rows, a byte order mark, no byte; small splits and batches."""
+    from spindle.operators import codec, packing
+    long = "".join(f"wörd{i % 97},  7{i}\t x" + " " * (i % 4) for i in range(900))
+    texts = {"a long.txt": long, "b.txt": "x y\r\n z\r \n\n" * 300 + " ", "c.txt": "  ", "d.txt": "", "e.txt": "\ufeffone two",
+             "f.txt": "solid" * 400, "g.txt": " "}
+    for n, t in texts.items():
+        with open(f"{tmpdir_path}/{n}", "w", newline="", encoding="utf-8") as f:
+            f.write(t)
+    small = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "1",
+             "spark.sql.execution.arrow.maxRecordsPerBatch": "50"}
+    old = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        rows = corpus.read_dir_chunks(spark, tmpdir_path).orderBy("doc_id", "place").collect()
+        one = corpus.read_text_chunks(spark, f"{tmpdir_path}/a long.txt")
+        whole = corpus.read_text_file(spark, f"{tmpdir_path}/a long.txt")
+        v = codec.build_vocab(codec.explode_pretokens(whole), 60)
+        parts = codec.encode(one, v).orderBy("doc_id").collect()
+        blocks = [[packing.pack_blocks(packing.with_offsets(codec.encode(corpus.by_document(d, "doc_id"), v), ordered=True))
+                   .orderBy("step", "row").collect()] for d in (one, whole)]
+        assert len(parts) > 20
+    finally:
+        for k, v_ in old.items():
+            spark.conf.set(k, v_)
+    for i, (n, t) in enumerate(sorted(texts.items())):
+        mine = [r for r in rows if r.file_name == n]
+        assert "".join(r.text for r in mine) == t.replace("\r\n", "\n").replace("\r", "\n")
+        assert all(r.doc_id == i for r in mine) and len({r.place for r in mine}) == len(mine)
+        assert all(r.text.startswith(" ") for r in mine[1:])
+    want = codec.encode(whole, v).collect()[0].ids
+    assert [i for r in parts for i in r.ids] == want
+    assert blocks[0] == blocks[1] and blocks[0][0]
+    with pytest.raises(FileNotFoundError):
+        corpus.read_text_chunks(spark, f"{tmpdir_path}/missing.txt")
