@@ -16,7 +16,7 @@ the length and the cut are those of the best F1 on the sample, weighted to the c
 sizes; scores are scaled to be 0.3 at the cut. Scoring is a map over whole texts.
 
 Defined cases: a null or empty text scores 0; without labels of both classes the lexicon
-is empty and all score 0; labelled rows with a null id or label, or ids with both
+is empty and all score 0; labelled rows with a null id or label, or ids or texts with both
 labels, teach nothing; equal rows score alike; an empty table gives an empty result.
 """
 
@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -120,7 +122,11 @@ class Scorer:
             elif end + 1 == len(folded) or not folded[end + 1].isalpha():
                 spared.append((start, end))
         if spared:
-            found = [m for m in found if not any(a <= m[0] <= b for a, b in spared)]
+            spared.sort()
+            starts = [a for a, _ in spared]
+            upto = list(accumulate((b for _, b in spared), max))     # the furthest end so far
+            at = [bisect_right(starts, m[0]) - 1 for m in found]
+            found = [m for m, i in zip(found, at, strict=True) if i < 0 or upto[i] < m[0]]
         return found
 
     def weigh(self, text: str) -> tuple[float, int]:
@@ -148,7 +154,8 @@ def held_out(id_col: str | Column = "doc_id") -> Column:
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
                     label_col: str) -> tuple[DataFrame, dict[int, int]]:
-    """``text, label`` of the bounded sample, and the labelled documents of each class."""
+    """``text, label`` of the bounded sample, and the labelled documents of each class. Equal
+    texts count once, and not at all if their labels differ."""
     label = F.col(label_col).cast("int")
     known = saved(labels.select(F.col(id_col).alias("id"), label.alias("label"))
                   .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("id"))
@@ -164,7 +171,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     # bounded by DOCS_PER_CLASS, hence the broadcast
     found = (docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("text"))
              .join(F.broadcast(saved(picked, "toxicity-picked")), F.col("__id") == F.col("id"))
-             .select("text", "label", F.xxhash64("id").alias("order")).dropDuplicates(["text"]))
+             .groupBy("text").agg(F.min("label").alias("label"), F.max("label").alias("most"), F.min(F.xxhash64("id")).alias("order"))
+             .where(F.col("label") == F.col("most")).drop("most"))
     found = saved(found, "toxicity-found")
     sample = None
     for k in (0, 1):

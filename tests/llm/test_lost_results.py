@@ -105,3 +105,37 @@ def test_chat_sql_states_the_parts_in_force(spark, tmp_path):
     want = con.sql(SQL["op9_chat_formatting"])
     assert sorted(got.columns) == sorted(want.columns)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.select(*got.columns).fetchall(), key=repr)
+
+
+def test_spared_spans_are_merged():
+    """Equal to a search of all spans for every match, and not quadratic."""
+    import random
+    import time
+
+    from spindle.llm.toxicity import Lexicon, fold
+    lexicon = Lexicon({"bad": 1.0, "bad dog": 2.0, "dog": 0.5, "ug": 1.0}, frozenset({"bad dog day", "dog day", "not bad"}))
+    rnd = random.Random(1)
+    scorer = lexicon.scorer()
+    for _ in range(200):
+        folded = fold(" ".join(rnd.choice(["bad", "dog", "day", "not", "days", "ugly"]) for _ in range(rnd.randrange(40))))
+        spans = [(i, i + len(p) - 1) for p in lexicon.exceptions for i in range(len(folded))
+                 if folded.startswith(p, i) and not (i and folded[i - 1].isalpha()) and not folded[i + len(p):i + len(p) + 1].isalpha()]
+        want = [(i, w, t) for t, w in lexicon.terms.items() for i in range(len(folded))
+                if folded.startswith(t, i) and not (i and folded[i - 1].isalpha()) and not any(a <= i <= b for a, b in spans)]
+        assert sorted(scorer.matches(folded)) == sorted(want)
+    began = time.perf_counter()
+    scorer.matches("not bad dog day bad " * 40_000)
+    assert time.perf_counter() - began < 10
+
+
+def test_equal_texts_with_both_labels_teach_nothing(spark):
+    from spindle.llm.toxicity import training_sample
+    docs = spark.createDataFrame([(i, f"text {i % 7}") for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 7 == 1 or i == 14)) for i in range(60)], "doc_id bigint, toxic int")
+    got = {(r.text, r.label) for r in training_sample(docs, labels, "doc_id", "text", "toxic")[0].collect()}
+    from zlib import crc32
+    learnt = [i for i in range(60) if crc32(str(i).encode()) % 4 != 2]
+    seen = {}
+    for i in learnt:
+        seen.setdefault(f"text {i % 7}", set()).add(int(i % 7 == 1 or i == 14))
+    assert got == {(t, min(k)) for t, k in seen.items() if len(k) == 1}
