@@ -2,6 +2,7 @@
 
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +110,18 @@ def test_text_is_not_shuffled(spark):
     for name in ("pretokenize", "scan_text_lines", "join_lines", "encode_lines", "token_counts"):
         plan = K.QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange rangepartitioning" not in plan and "Exchange hashpartitioning" not in plan, name
+
+
+def test_encode_takes_a_bounded_number_of_pretokens_at_a_time(spark, monkeypatch):
+    """A batch of any size is put together in slices of rows; the ids are those of the whole."""
+    rows = [(1, "alpha beta " * 40), (2, None), (3, ""), (4, "caf\u00e9 \u4e2d\u6587 zzz"), (5, "alpha"), (6, "\U0001f600" * 9), (7, "beta x\ny")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    v = codec.build_vocab(codec.explode_pretokens(docs.filter("doc_id in (1, 5)")), 3)
+    ids = lambda **how: sorted((r.doc_id, r.ids, r.n_pretokens) for r in codec.encode(docs, v, with_pretoken_count=True, **how).collect())
+    whole, ended = ids(), ids(separator_id=256)
+    monkeypatch.setattr(codec, "SLICE_TOKENS", 8)
+    assert ids() == whole and ids(separator_id=256) == ended
+    back = codec.decode_seq(codec.encode(docs, v), v).collect()
+    assert sorted((r.doc_id, r.text) for r in back) == [(i, t or "") for i, t in rows]
+    batch = pa.RecordBatch.from_pydict({"_tokens": [["a"] * 5, None, ["b"] * 4, ["c"] * 20, []]})
+    assert [s.num_rows for s in codec._row_slices(batch, "_tokens")] == [2, 1, 1, 1]
