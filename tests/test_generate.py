@@ -117,3 +117,12 @@ def test_text_and_sink(spark, gen, tmpdir_path):
     assert j.filter(~F.col("text").startswith(F.col("prompt"))).count() == 0
     sinks.write_completions(st, v, f"{tmpdir_path}/c")
     assert spark.read.parquet(f"{tmpdir_path}/c").count() == st.agg(F.sum("n_new")).collect()[0][0]
+
+
+def test_dense_rows_are_never_moved(spark, gen):
+    """M3's row an id and sequence is made where it is put out; no exchange sees it."""
+    v, model, tables, prompts, blocked = gen
+    active = prompts.filter(F.size("ids") > 0)
+    plan = G.next_token_scores(active, tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0" not in plan
+    assert plan.splitlines()[0].startswith("MapInArrow")
