@@ -126,3 +126,18 @@ def test_dense_rows_are_never_moved(spark, gen):
     plan = G.next_token_scores(active, tables)._jdf.queryExecution().optimizedPlan().toString()
     assert "sequence(0" not in plan
     assert plan.splitlines()[0].startswith("MapInArrow")
+
+
+def test_a_list_is_met_by_several_sequences_at_once(spark, gen, monkeypatch):
+    """Sequences that end alike share a list's row, in groups of any size."""
+    v, model, tables, prompts, blocked = gen
+    cfg = G.GenConfig(seed=3)
+    some = prompts.filter(F.size("ids") > 0).limit(5).select("ids")
+    active = some.select(F.explode(F.sequence(F.lit(1), F.lit(7))).alias("seq_id"), "ids") \
+        .select(F.concat_ws("-", "seq_id", F.md5(F.concat_ws(" ", "ids"))).alias("seq_id"), "ids")
+    lists = G.model_lists(tables, blocked)
+    kept = lambda: sorted((r.seq_id, r.token_id, r["rank"], r.p) for r in G.sparse_kept(active, lists, cfg).collect())
+    whole = kept()
+    monkeypatch.setattr(G, "SEQUENCES_A_LIST", 2)
+    monkeypatch.setattr(G, "ENTRIES_AT_ONCE", 10)
+    assert kept() == whole and len({r[0] for r in whole}) == 35
