@@ -4,13 +4,14 @@ Symbols are written as upper-case hex of their bytes; a word is its symbols
 between spaces of their own (``" E3  81  82 "``), so a merge is one plain
 replacement, leftmost first, and never needs escaping.
 
-* ``learn_merges``: pair counts of the *distinct* words, weighted by frequency, are a
-  table that only deltas change: a round looks at the words that hold a pair merged since
-  the tables were written, takes their old pairs away and adds the new ones, map-side
-  combined. The best ``TOP_PAIRS`` pairs reach the driver, which takes as many of them as
-  must be the next merges whatever the round's own merges do to the counts
-  (``next_merges``): many merges a job, the same ones in the same order as one at a time.
-  Words and counts are written anew every ``MERGES_A_CUT`` merges, in built-in functions.
+* ``learn_merges``: a round counts the pairs of the *distinct* words, weighted by
+  frequency, and cuts the words where a pair isn't among the most frequent ones. Equal
+  pieces are added up, and all merges more frequent than any pair that was cut happen inside
+  the pieces (``piece_merges``): the driver gets ``MAX_PIECES`` of them at most, learns these
+  merges from them and the words take them: hundreds of merges a round, the same ones in the
+  same order as one at a time. Fewer pairs are kept if there are more pieces. If not even
+  those of two counts fit, the best ``TOP_PAIRS`` pairs alone say which merges must be
+  next (``next_merges``).
 * ``read_merges`` and ``read_vocab``: given merge and vocabulary files with byte letters.
 * ``bpe_encode``: distinct pre-tokens are encoded once with ``mapInPandas``
   (the merge table, bounded by the number of merges, is broadcast), then
@@ -25,8 +26,10 @@ vocabulary its own.
 from __future__ import annotations
 
 import heapq
+import sys
 from collections import defaultdict
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +37,13 @@ from spindle import constants as C
 from spindle.functions.text import pretokenize, utf8_hex
 from spindle.session import drop_path, scratch_path
 
+#: Helpers of this module travel to the workers by value, with the values they read.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOP_PAIRS = 2048          # best pairs that reach the driver a round
+MAX_PIECES = 1 << 16      # distinct pieces of words that reach the driver a round
 MERGES_A_CUT = 64         # merges applied to the written words before they are written anew
+FIRST_KEPT = 64           # pairs that words aren't cut at, in the first round
 
 
 def word_table(tokens: DataFrame, token_col: str = "token") -> DataFrame:
@@ -61,22 +69,85 @@ def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _merged(since: list[tuple[str, str]]) -> Column:
-    """``syms`` after the merges, in order."""
-    steps = F.array(*[F.struct(F.lit(f" {a}  {b} ").alias("f"), F.lit(f" {a}{b} ").alias("t")) for a, b in since])
-    return F.aggregate(steps, F.col("syms"), lambda s, m: F.replace(s, m["f"], m["t"]))
+def _merged(words: DataFrame, since: list[tuple[str, str]]) -> DataFrame:
+    """``(n, syms)`` after the merges, in order; words of one symbol are left out."""
+    if not since:
+        return words
+    ranks = {pair: r for r, pair in enumerate(since)}
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            syms = [s.split() for s in b.column("syms").to_pylist()]
+            syms = [_encode_word(s, ranks) if any(p in ranks for p in zip(s, s[1:])) else s for s in syms]
+            left = pa.array([len(s) > 1 for s in syms], pa.bool_())
+            out = pa.array([f" {'  '.join(s)} " for s in syms], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column("n"), out], ["n", "syms"]).filter(left)
+
+    return words.select("n", "syms").mapInArrow(run, "n bigint, syms string")
 
 
-def _counts(words: DataFrame, counts: DataFrame, since: list[tuple[str, str]]) -> DataFrame:
-    """``counts`` of the written ``words``, brought up to date by the merges since."""
-    if not since:
-        return counts
-    found = F.array(*[F.lit(f" {a}  {b} ") for a, b in since])
-    touched = words.filter(F.exists(found, lambda f: F.col("syms").contains(f)))
-    sides = F.array(F.struct((-F.col("n")).alias("n"), F.col("syms")),
-                    F.struct(F.col("n"), _merged(since).alias("syms")))
-    delta = _pairs(touched.select(F.inline(sides)))
-    return counts.unionByName(delta).groupBy("pair").agg(F.sum("n").alias("n")).filter("n > 0")
+def _pieces(words: DataFrame, kept: set[tuple[str, str]]) -> DataFrame:
+    """``(syms, n)`` of the distinct pieces of two symbols or more that are left when the
+    words are cut at all pairs but ``kept``."""
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            pieces, counts = [], []
+            for word, n in zip(b.column("syms").to_pylist(), b.column("n").to_pylist()):
+                syms, start = word.split(), 0
+                for i in range(1, len(syms) + 1):
+                    if i == len(syms) or (syms[i - 1], syms[i]) not in kept:
+                        if i - start > 1:
+                            pieces.append(" ".join(syms[start:i]))
+                            counts.append(n)
+                        start = i
+            yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.string()), pa.array(counts, pa.int64())], ["syms", "n"])
+
+    return words.select("n", "syms").mapInArrow(run, "syms string, n bigint").groupBy("syms").agg(F.sum("n").alias("n"))
+
+
+def piece_merges(pieces: list[tuple[str, int]], floor: int, room: int) -> list[tuple[str, str, int]]:
+    """The next merges that are more frequent than ``floor``, ``room`` at most, from the
+    pieces ``(syms, n)`` of all words cut at every pair no more frequent than ``floor``.
+
+    All of these are inside the pieces: where symbols p, q stand side by side, the last
+    symbol of p and the first of q stood so when the words were cut. A merged symbol comes
+    from one row of symbols only (no merge crosses its ends, so those inside are the same
+    everywhere), so this pair was at least as frequent as (p, q) is. Runs of equal symbols
+    are never cut inside, so they are merged from the same end.
+    """
+    syms, weight = [s.split(" ") for s, _ in pieces], [n for _, n in pieces]
+    count: dict[tuple[str, str], int] = defaultdict(int)
+    where: dict[tuple[str, str], set[int]] = defaultdict(set)
+    for i, s in enumerate(syms):
+        for p in zip(s, s[1:]):
+            count[p] += weight[i]
+            where[p].add(i)
+    heap = [(-n, f"{p[0]} {p[1]}", p) for p, n in count.items() if n > floor]
+    heapq.heapify(heap)
+    taken: list[tuple[str, str, int]] = []
+    while heap and len(taken) < room:
+        n, _, best = heapq.heappop(heap)
+        if count[best] != -n:
+            continue                                            # an older count
+        taken.append((*best, -n))
+        ranks, changed = {best: 0}, set()
+        for i in where.pop(best):
+            old = syms[i]
+            syms[i] = new = _encode_word(old, ranks)
+            if len(new) == len(old):
+                continue                                        # merged away since
+            for s, sign in ((old, -weight[i]), (new, weight[i])):
+                for p in zip(s, s[1:]):
+                    count[p] += sign
+                    changed.add(p)
+            for p in zip(new, new[1:]):
+                where[p].add(i)
+        for p in changed:
+            if count[p] > floor:
+                heapq.heappush(heap, (-count[p], f"{p[0]} {p[1]}", p))
+    return taken
 
 
 def next_merges(top: list[tuple[str, int]], complete: bool, room: int) -> list[tuple[str, str, int]]:
@@ -115,35 +186,50 @@ def next_merges(top: list[tuple[str, int]], complete: bool, room: int) -> list[t
 
 
 def learn_merges(tokens: DataFrame, n_merges: int, token_col: str = "token",
-                 top_pairs: int = TOP_PAIRS, merges_a_cut: int = MERGES_A_CUT) -> DataFrame:
+                 top_pairs: int = TOP_PAIRS, merges_a_cut: int = MERGES_A_CUT,
+                 max_pieces: int = MAX_PIECES) -> DataFrame:
     """``(rank, a, b, freq)`` of the first ``n_merges`` merges: best count first, equal
     counts by the pair's text. Fewer rows if no pair is left; null tokens have no pairs.
-    ``top_pairs`` and ``merges_a_cut`` change the number of jobs, never the merges."""
+    ``top_pairs``, ``merges_a_cut`` and ``max_pieces`` change the number of jobs, never the merges."""
     spark = tokens.sparkSession
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))     # as many files: each round reads them all
-    words, words_path = _stored(word_table(tokens, token_col).filter(F.length("syms") > 4)
-                                .select(F.col("freq").alias("n"), "syms").repartition(spread), "bpe-words")
-    counts, counts_path = _stored(_pairs(words).groupBy("pair").agg(F.sum("n").alias("n")), "bpe-pairs")
+    words, path = _stored(word_table(tokens, token_col).filter(F.length("syms") > 4)
+                          .select(F.col("freq").alias("n"), "syms").repartition(spread), "bpe-words")
     merges: list[tuple[int, str, str, int]] = []
     since: list[tuple[str, str]] = []
+    n_kept = FIRST_KEPT
     while len(merges) < n_merges:
-        now = _counts(words, counts, since)
+        now = _merged(words, since)
         if len(since) >= merges_a_cut:
-            counts, new_counts = _stored(now, "bpe-pairs")
-            words, new_words = _stored(words.withColumn("syms", _merged(since)), "bpe-words")
-            drop_path(spark, counts_path)
-            drop_path(spark, words_path)
-            counts_path, words_path, since, now = new_counts, new_words, [], counts
+            words, new_path = _stored(now, "bpe-words")
+            drop_path(spark, path)
+            path, since, now = new_path, [], words
         top = [(r.pair, int(r.n)) for r in
-               now.orderBy(F.desc("n"), F.asc("pair")).limit(top_pairs).collect()]     # bounded by top_pairs
-        taken = next_merges(top, len(top) < top_pairs, n_merges - len(merges))
+               _pairs(now).groupBy("pair").agg(F.sum("n").alias("n"))
+               .orderBy(F.desc("n"), F.asc("pair")).limit(top_pairs).collect()]     # bounded by top_pairs
+        complete, room = len(top) < top_pairs, n_merges - len(merges)
+        taken: list[tuple[str, str, int]] = []
+        while not taken:
+            # the most frequent pair that words are cut at
+            floor = top[n_kept][1] if n_kept < len(top) else 0 if complete else top[-1][1]
+            kept = {tuple(pair.split(" ")) for pair, n in top if n > floor}
+            if not kept:
+                taken = next_merges(top, complete, room)
+                break
+            pieces = _pieces(now, kept).limit(max_pieces + 1).collect()              # bounded by max_pieces
+            if len(pieces) <= max_pieces:
+                taken = piece_merges([(r.syms, int(r.n)) for r in pieces], floor, room)
+                n_kept = n_kept * 2 if len(pieces) < max_pieces // 4 and n_kept < top_pairs else n_kept
+            else:
+                # below all that were kept, of which ties may be more than asked for
+                n_kept = min(n_kept, len(kept)) // 2
+        n_kept = max(n_kept, 1)
         if not taken:
             break
         for a, b, n in taken:
             merges.append((len(merges), a, b, n))
             since.append((a, b))
-    drop_path(spark, counts_path)
-    drop_path(spark, words_path)
+    drop_path(spark, path)
     return spark.createDataFrame(merges, "rank int, a string, b string, freq bigint")
 
 

@@ -118,6 +118,54 @@ def test_hundreds_of_merges_match_python(spark, top, cut, monkeypatch):
     assert len(rounds) < 75
 
 
+def test_merges_from_pieces_equal_one_at_a_time():
+    """Words cut at all pairs but the most frequent ones give the same merges, whatever the cut."""
+    rng, several = random.Random(11), 0
+    for case in range(300):
+        letters = "abcd "[:rng.randint(1, 5)]
+        words = Counter()
+        for _ in range(rng.randint(1, 25)):
+            words["".join(rng.choice(letters) for _ in range(rng.randint(1, 12)))] += rng.randint(1, 4)
+        want, _ = _python_merges(words, 30)
+        table, got = [([f"{b:02X}" for b in w.encode()], f) for w, f in words.items()], []
+        while len(got) < 30:
+            counts = Counter()
+            for s, f in table:
+                for p in zip(s, s[1:]):
+                    counts[p] += f
+            if not counts:
+                break
+            floor = rng.choice([0, *(n for n in counts.values() if n < max(counts.values()))])
+            pieces = Counter()
+            for s, f in table:
+                start = 0
+                for i in range(1, len(s) + 1):
+                    if i == len(s) or counts[s[i - 1], s[i]] <= floor:
+                        if i - start > 1:
+                            pieces[" ".join(s[start:i])] += f
+                        start = i
+            taken = bpe.piece_merges(list(pieces.items()), floor, 30 - len(got))
+            assert taken and all(n > floor for _, _, n in taken)
+            several += len(taken) > 1
+            for a, b, n in taken:
+                got.append((len(got), a, b, n))
+                table = [(_merge_word(s, (a, b)), f) for s, f in table]
+        assert got == want, case
+    assert several > 200
+
+
+@pytest.mark.parametrize("pieces, most", [(1 << 16, 12), (60, 75), (0, 150)])
+def test_merges_take_few_rounds(spark, pieces, most, monkeypatch):
+    """However few pieces may reach the driver, the merges are the same; plenty make few rounds."""
+    toks = codec.explode_pretokens(K.documents(spark, SF001).filter("doc_id % 4 = 1"))
+    want, _ = _python_merges(Counter(r.token for r in toks.collect()), 100)
+    rounds, plain = [], bpe._pairs
+    monkeypatch.setattr(bpe, "_pairs", lambda words: rounds.append(1) or plain(words))
+    got = [tuple(r) for r in bpe.learn_merges(toks, 100, max_pieces=pieces).orderBy("rank").collect()]
+    assert got == want
+    assert len(rounds) <= most
+
+
 def test_merges_end_when_no_pair_is_left(spark):
     toks = spark.createDataFrame([("aaaa",), ("b",), ("",), (None,)], "token string")
     assert [tuple(r) for r in bpe.learn_merges(toks, 9).orderBy("rank").collect()] == [
