@@ -154,6 +154,18 @@ def test_merges_from_pieces_equal_one_at_a_time():
     assert several > 200
 
 
+def test_helpers_travel_by_value():
+    """A worker needs no copy of this library to merge the symbols of a word."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    sent = cloudpickle.dumps(bpe._encode_word)
+    code = "import pickle, sys; print(pickle.load(sys.stdin.buffer)(['61', '62', '63'], {('61', '62'): 0}))"
+    got = subprocess.run([sys.executable, "-I", "-c", code], input=sent, capture_output=True, cwd="/")
+    assert got.stdout.decode().strip() == "['6162', '63']", got.stderr.decode()
+
+
 @pytest.mark.parametrize("pieces, most", [(1 << 16, 12), (60, 75), (0, 150)])
 def test_merges_take_few_rounds(spark, pieces, most, monkeypatch):
     """However few pieces may reach the driver, the merges are the same; plenty make few rounds."""
