@@ -16,8 +16,9 @@ replacement, leftmost first, and never needs escaping.
 * ``bpe_encode``: distinct pre-tokens are encoded once with ``mapInPandas``
   (the merge table, bounded by the number of merges, is broadcast), then
   joined back to the occurrences.
-* ``bpe_encode_documents``: whole documents in one pass, with a bounded memo of
-  words per task; no join and no shuffle. A word of n bytes takes O(n log n).
+* ``bpe_encode_documents``: whole documents in one pass; the distinct words of a bounded
+  number of pre-tokens at a time are looked up in a bounded memo per task, and rows are put
+  together in arrays; no join and no shuffle. A word of n bytes takes O(n log n).
 
 Ids: bytes 0..255, end-of-text 256, merge ``r`` (0-based rank) is 257 + r; with a given
 vocabulary its own.
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 
 from spindle import constants as C
 from spindle.functions.text import pretokenize, utf8_hex
+from spindle.operators import codec
 from spindle.session import drop_path, scratch_path
 
 #: Helpers of this module travel to the workers by value, with the values they read.
@@ -341,6 +343,7 @@ def bpe_encode_documents(docs: DataFrame, merges: DataFrame, key: str = "doc_id"
         ids_of = {r.sym: r.id for r in vocab.collect()}         # bounded by the file
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
         memo: dict[str, list[int]] = {}
 
@@ -353,9 +356,15 @@ def bpe_encode_documents(docs: DataFrame, merges: DataFrame, key: str = "doc_id"
                 found = memo[word] = [ids_of[s] for s in syms]
             return found
 
-        for b in batches:
-            out = [[i for w in words.as_py() or () for i in ids(w)] for words in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], [key, "ids"])
+        for whole in batches:
+            for b in codec._row_slices(whole, "_tokens"):
+                tokens = b.column("_tokens")
+                coded = tokens.flatten().dictionary_encode()
+                found = [ids(w) for w in coded.dictionary.to_pylist()]
+                sizes = np.array([len(f) for f in found], np.int64)
+                flat = np.array([i for f in found for i in f], np.int32)
+                out = codec._rows_of(coded.indices.to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes, sizes, flat, codec._lengths(tokens))
+                yield pa.RecordBatch.from_arrays([b.column(0), out], [key, "ids"])
 
     kind = docs.schema[key].dataType.simpleString()
     return (docs.select(key, pretokenize(text_col).alias("_tokens"))

@@ -159,6 +159,16 @@ def _bytes_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return at - at[0], np.frombuffer(data, np.uint8)[at[0]:at[-1]]
 
 
+def _rows_of(which: np.ndarray, starts: np.ndarray, sizes: np.ndarray, flat: np.ndarray, per_row: np.ndarray) -> pa.Array:
+    """A list of ids a row: the next ``per_row`` pieces of ``which``, piece ``w`` being the
+    ``sizes[w]`` ids of ``flat`` from ``starts[w]`` on."""
+    n = sizes[which]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    ids = flat[np.repeat(starts[which] - upto[:-1], n) + np.arange(upto[-1])]
+    offsets = upto[np.concatenate([[0], np.cumsum(per_row)])]
+    return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(ids)).cast(pa.list_(pa.int32()))
+
+
 def encode(df: DataFrame, vocab: Vocab, keys=("doc_id",), text_col: str = "text",
            out_col: str = "ids", with_pretoken_count: bool = False,
            separator_id: int | None = None) -> DataFrame:
@@ -195,12 +205,7 @@ def encode(df: DataFrame, vocab: Vocab, keys=("doc_id",), text_col: str = "text"
                 if len(end):                         # a last piece in every row: the separator
                     which = np.insert(which, np.cumsum(per_row), len(sizes))
                     sizes, starts = np.append(sizes, 1), np.append(starts, len(flat) - 1)
-                pieces = per_row + len(end)
-                n = sizes[which]
-                upto = np.concatenate([[0], np.cumsum(n)])
-                ids = flat[np.repeat(starts[which] - upto[:-1], n) + np.arange(upto[-1])]
-                offsets = upto[np.concatenate([[0], np.cumsum(pieces)])]
-                made = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(ids)).cast(pa.list_(pa.int32()))
+                made = _rows_of(which, starts, sizes, flat, per_row + len(end))
                 yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keys))), made, pa.array(per_row.astype(np.int64))],
                                                  [*keys, out_col, "n_pretokens"])
 

@@ -224,3 +224,15 @@ def test_given_files(spark, tmpdir_path):
         fh.write("a b c\n")
     with pytest.raises(Exception, match="not a merge"):
         bpe.read_merges(spark, path).collect()
+
+
+def test_documents_meet_each_distinct_word_once_a_slice(spark, monkeypatch):
+    """However small the memo, a word that comes often isn't encoded anew each time."""
+    calls, plain = spark.sparkContext.accumulator(0), bpe._encode_word
+    merges = spark.createDataFrame([(0, "61", "62", 9)], "rank int, a string, b string, freq bigint")
+    docs = spark.createDataFrame([(1, "ab c " * 500), (2, None), (3, "ab"), (1, "")], "doc_id bigint, text string").coalesce(1)
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 1)
+    monkeypatch.setattr(bpe, "_encode_word", lambda syms, ranks: calls.add(1) or plain(syms, ranks))
+    got = sorted(map(tuple, bpe.bpe_encode_documents(docs, merges).collect()))
+    assert got == sorted([(1, ([257] + [32, 99, 32, 257] * 500)[:-1]), (2, []), (3, [257]), (1, [])])
+    assert calls.value < 20
