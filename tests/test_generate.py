@@ -141,3 +141,26 @@ def test_a_list_is_met_by_several_sequences_at_once(spark, gen, monkeypatch):
     monkeypatch.setattr(G, "SEQUENCES_A_LIST", 2)
     monkeypatch.setattr(G, "ENTRIES_AT_ONCE", 10)
     assert kept() == whole and len({r[0] for r in whole}) == 35
+
+
+def test_a_step_sorts_no_lists_and_draws_by_running_totals(spark, gen):
+    """The model's lists are streamed past the sequences; one sequence or many, each draws alone."""
+    import numpy as np
+    v, model, tables, prompts, blocked = gen
+    cfg = G.GenConfig(seed=3)
+    lists = G.model_lists(tables, blocked)
+    rows = G.numbered(prompts.filter(F.size("ids") > 0)).withColumn("u", F.when(F.col("_row") % 7 == 0, 1.0 - 2.0 ** -53).otherwise(F.rand(5)))
+    rows = rows.select("_row", "seq_id", "ids", "u").localCheckpoint()
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        asked = rows.select("_row", "ids", F.lit(G.ANY).alias("u"), F.element_at("ids", -1).alias("v"))
+        plan = G._own_entries(asked, lists, 5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    got = G.top_k_lists(rows, lists, cfg).collect()
+    assert len(got) == rows.count() > 20
+    for r in got:
+        assert r._next == r.tokens[min(np.searchsorted(np.cumsum(r.probs), r.u, side="right"), sum(p > 0 for p in r.probs) - 1)]
+        assert abs(sum(r.probs) - 1) < 1e-12 and r.ids[-1] not in [t for t, p in zip(r.tokens, r.probs) if p > 0]
