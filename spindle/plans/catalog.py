@@ -39,7 +39,7 @@ def documents(spark, sf_dir, ordered: bool = False) -> DataFrame:
 
 def vocab(spark, sf_dir) -> codec.Vocab:
     """The learned vocabulary, written once per plan (bounded by VOCAB_SIZE)."""
-    docs = documents(spark, sf_dir)
+    docs = corpus.dealt_out(documents(spark, sf_dir))
     v = codec.build_vocab(codec.explode_pretokens(docs), VOCAB_SIZE)
     return codec.Vocab(written(v.df, "vocab"), v.size)
 

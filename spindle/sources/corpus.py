@@ -35,6 +35,12 @@ def by_document(df: DataFrame, key: str) -> DataFrame:
     return df.repartitionByRange(n, key)
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` dealt evenly to ``spark.sql.shuffle.partitions`` parts. A file's row group is
+    read by one task, however large; what costs more than reading is done after this exchange."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def read_corpus(spark: SparkSession, path: str, text_col: str = "text",
                 id_col: str = "doc_id", ordered: bool = False) -> DataFrame:
     """A map-style dataset split (parquet); only its id and text columns.

@@ -125,3 +125,15 @@ def test_encode_takes_a_bounded_number_of_pretokens_at_a_time(spark, monkeypatch
     assert sorted((r.doc_id, r.text) for r in back) == [(i, t or "") for i, t in rows]
     batch = pa.RecordBatch.from_pydict({"_tokens": [["a"] * 5, None, ["b"] * 4, ["c"] * 20, []]})
     assert [s.num_rows for s in codec._row_slices(batch, "_tokens")] == [2, 1, 1, 1]
+
+
+def test_the_vocabulary_is_counted_in_many_tasks_whatever_the_row_groups(spark, tmpdir_path, monkeypatch):
+    """A table in one row group was cut into pre-tokens by one task."""
+    rows = [(i % 7 or None, f"a b{i}") for i in range(400)] + [(1, None), (None, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmpdir_path}/t/documents.parquet")
+    seen, build = [], codec.build_vocab
+    monkeypatch.setattr(codec, "build_vocab", lambda tokens, size: seen.append(tokens) or build(tokens, size))
+    v = K.vocab(spark, f"{tmpdir_path}/t")
+    busy = seen[0].groupBy(F.spark_partition_id()).count().collect()
+    assert len(busy) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {r.token: r.freq for r in v.df.filter("kind = 'word'").collect()}["a"] == 400
