@@ -11,7 +11,8 @@ pairs that are connected already are not emitted for the full one, so a large gr
 near copies gives a few links a member. Components follow by contraction.
 
 Classes, buckets and roots are never gathered: a fingerprint's probes are spread by
-segment value, and joins on a hot value can be split by Spark. Where a segment value is
+segment value and merged with the filed rows, whatever size Spark guesses, and joins on a
+hot value can be split by Spark. Where a segment value is
 shared by more than ``BUCKET`` classes, its filed rows are salted and its probes go to
 all salts, which loses nothing.
 
@@ -126,7 +127,8 @@ def links(classes: DataFrame, max_bits: int) -> DataFrame:
                       F.col("fp").alias("a"), F.col("root").alias("root_a")))
     near = (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits) & (F.col("root_a") != F.col("root_b"))
     on = [sought[c] == filed[c] for c in ("seg", "value", "salt")]
-    return (sought.join(filed, [*on, near, ~F.col("twice") | (F.col("a") < F.col("b"))])
+    # merged: Spark takes an exploded side for as small as its classes, and would send it to the driver
+    return (sought.hint("merge").join(filed, [*on, near, ~F.col("twice") | (F.col("a") < F.col("b"))])
             .select("a", "b").distinct())
 
 

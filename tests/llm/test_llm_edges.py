@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from spindle.llm import (bpe, chat_format, embedding_dedup, html_extract, mixing, quality, simhash, token_counts,
                          toxicity, url_filter)
+from spindle.llm.common import saved
 from spindle.llm.queries import tokenizer
 from spindle.session import scratch_path
 
@@ -248,3 +249,13 @@ def test_vectors_of_all_lengths(spark, monkeypatch, small):
     for n, m in ((4, 60), (8, 40), (3, 6)):
         want |= {100 * n + i: (m // n - 1, 100 * n + i % n) for i in range(m)}
     assert out == want
+
+
+def test_simhash_never_broadcasts_exploded_classes(spark):
+    """A class has two dozen rows after the explode, of which Spark's guess of their size knows nothing."""
+    one = spark.range(2000).select(F.xxhash64("id").alias("fp"))
+    fps = one.unionByName(one.select(F.col("fp").bitwiseXOR(F.lit(5)).alias("fp")))
+    found = simhash.links(saved(fps.select("fp", F.col("fp").alias("root")), "classes"), 4)
+    assert found.count() == len(found.collect()) == 2000
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin [seg" in plan and not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "salt" in x]
