@@ -528,12 +528,14 @@ def q_load_model(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- streaming
+#: Deliveries in which a stream query's rows arrive.
 STREAM_FILES = 4
 
 
-def as_arriving(spark, df: DataFrame, key: str, name: str) -> str:
-    """A folder where the rows of ``df`` arrived in ``STREAM_FILES`` deliveries, in ranges
-    of ``key``, one after another: a stream reads one file a micro-batch."""
+def as_arriving(spark, df: DataFrame, key: str, name: str, read: Callable[[DataFrame], None]) -> None:
+    """The rows of ``df`` arrive in a folder in ``STREAM_FILES`` deliveries, in ranges of
+    ``key``, one after another; ``read`` runs its streaming query on the folder after each. What a
+    delivery brought is one micro-batch, however many files its tasks wrote."""
     path = scratch_path(spark, name)
     bounds = df.select(F.percentile_approx(key, [i / STREAM_FILES for i in range(1, STREAM_FILES)]).alias("b")).first().b
     edges = [None, *sorted(set(bounds or [])), None]
@@ -541,49 +543,45 @@ def as_arriving(spark, df: DataFrame, key: str, name: str) -> str:
         part = F.lit(True) if lo is None else F.col(key) >= lo
         part = part if hi is None else part & (F.col(key) < hi)
         df.filter(part if lo is not None else part | F.col(key).isNull()).write.mode("append").parquet(path)
-    return path
+        read(streams.stream_corpus(spark, path, df.schema, max_files_per_trigger=None))
 
 
 def q_stream_corpus(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    stream = streams.stream_corpus(spark, as_arriving(spark, docs, "doc_id", "arriving"), docs.schema)
-    out = scratch_path(spark, "stream-corpus")
-    streams.write_stream_parquet(stream.select("doc_id", "text"), out, scratch_path(spark, "ckpt"))
+    out, ckpt = scratch_path(spark, "stream-corpus"), scratch_path(spark, "ckpt")
+    as_arriving(spark, documents(spark, sf_dir), "doc_id", "arriving",
+                lambda stream: streams.write_stream_parquet(stream.select("doc_id", "text"), out, ckpt))
     return spark.read.parquet(out).select("doc_id", "text")
 
 
 def q_stream_pack(spark, sf_dir):
     v = vocab(spark, sf_dir)
-    docs = documents(spark, sf_dir)
-    stream = streams.stream_corpus(spark, as_arriving(spark, docs, "doc_id", "arriving"), docs.schema)
-    out, state = scratch_path(spark, "stream-pack"), scratch_path(spark, "stream-state")
-    streams.stream_pack(stream.select("doc_id", "text"), out, state, scratch_path(spark, "ckpt"),
-                         encode_fn=lambda mb: codec.encode(mb, v))
+    out, state, ckpt = (scratch_path(spark, n) for n in ("stream-pack", "stream-state", "ckpt"))
+    as_arriving(spark, documents(spark, sf_dir), "doc_id", "arriving",
+                lambda stream: streams.stream_pack(
+                    stream.select("doc_id", "text"), out, state, ckpt, ordered=True,
+                    encode_fn=lambda mb: codec.encode(corpus.by_document(mb, "doc_id"), v)))
     return _blocks_out(spark.read.parquet(out))
 
 
 def q_train_stream(spark, sf_dir):
     """Training while the documents arrive; the model that the versions add up to."""
     v = vocab(spark, sf_dir)
-    docs = documents(spark, sf_dir)
-    stream = streams.stream_corpus(spark, as_arriving(spark, docs, "doc_id", "arriving"), docs.schema)
-    path = scratch_path(spark, "model")
-    streams.train_stream(stream.select("doc_id", "text"), path, scratch_path(spark, "train-stream"), v)
+    path, ckpt = scratch_path(spark, "model"), scratch_path(spark, "train-stream")
+    as_arriving(spark, documents(spark, sf_dir), "doc_id", "arriving",
+                lambda stream: streams.train_stream(stream.select("doc_id", "text"), path, ckpt, v))
     return _model_out(sinks.load_model(spark, path, required=True))
 
 
 def q_complete_stream(spark, sf_dir):
     v, model, tables, _, blocked = _gen_inputs(spark, sf_dir)
-    conv = table(spark, sf_dir, "conversations")
-    stream = streams.stream_corpus(spark, as_arriving(spark, conv, "conv_id", "arriving"), conv.schema)
     cfg = generate.GenConfig(seed=SEED, max_new=STREAM_MAX_NEW)
     lists = generate.model_lists(tables, blocked)          # for all deliveries
-    out = scratch_path(spark, "stream-complete")
-    streams.complete_stream(
+    out, ckpt = scratch_path(spark, "stream-complete"), scratch_path(spark, "ckpt")
+    as_arriving(spark, table(spark, sf_dir, "conversations"), "conv_id", "arriving", lambda stream: streams.complete_stream(
         corpus.read_prompts(stream),
         lambda mb: codec.encode(mb, v, keys=("seq_id",)),
         lambda enc: generate.complete(enc, model, cfg, blocked, tables, lists),
-        out, scratch_path(spark, "ckpt"))
+        out, ckpt))
     st = spark.read.parquet(out)
     return st.select("seq_id", F.col("n_new").cast("bigint").alias("n_new"), "reason", ids_to_string("ids").alias("ids"))
 

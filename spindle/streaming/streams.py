@@ -83,18 +83,20 @@ def _latest_carry(spark: SparkSession, state_dir: str, batch_id: int) -> DataFra
 
 
 def pack_micro_batch(encoded: DataFrame, carry: DataFrame, block: int = C.BLOCK_SIZE,
-                     batch: int = C.BATCH_SIZE):
+                     batch: int = C.BATCH_SIZE, ordered: bool = False):
     """Pack ``carry.leftover + encoded (in doc_id order)`` into full batches. The leftover
-    comes first whatever the ids are (null, negative, text).
+    comes first whatever the ids are (null, negative, text). ``ordered`` says that ``encoded``
+    is range-partitioned by ``doc_id``: its rows stay where they are, after the leftover's.
 
     Returns ``(blocks(step, row, x), new_carry(next_step, leftover))``.
     """
     per_step = block * batch
     kind = encoded.schema["doc_id"].dataType
-    lead = carry.select(F.struct(F.lit(0).alias("arrived"), F.lit(None).cast(kind).alias("doc_id")).alias("place"),
-                        F.col("leftover").alias("ids"))
-    docs = lead.unionByName(encoded.select(F.struct(F.lit(1).alias("arrived"), "doc_id").alias("place"), "ids"))
-    wo = packing.with_offsets(docs, key="place")
+    place = (lambda arrived, doc: doc.alias("place")) if ordered else (
+        lambda arrived, doc: F.struct(F.lit(arrived).alias("arrived"), doc.alias("doc_id")).alias("place"))
+    lead = carry.select(place(0, F.lit(None).cast(kind)), F.col("leftover").alias("ids"))
+    docs = lead.unionByName(encoded.select(place(1, F.col("doc_id")), "ids"))
+    wo = packing.with_offsets(docs, key="place", ordered=ordered)
     total = wo.select(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).scalar()
     start = carry.select("next_step").scalar()
     n_full = F.floor(total / F.lit(per_step))
@@ -114,12 +116,13 @@ def pack_micro_batch(encoded: DataFrame, carry: DataFrame, block: int = C.BLOCK_
 
 def stream_pack(stream: DataFrame, out: str, state_dir: str, checkpoint: str,
                 block: int = C.BLOCK_SIZE, batch: int = C.BATCH_SIZE,
-                encode_fn: Callable[[DataFrame], DataFrame] | None = None) -> None:
+                encode_fn: Callable[[DataFrame], DataFrame] | None = None, ordered: bool = False) -> None:
     """Pack while rows arrive; the leftover is carried between micro-batches.
 
     ``stream`` yields ``(doc_id, ids)``, or raw rows that ``encode_fn`` turns
     into them inside each micro-batch (the encode regroup is a batch
-    aggregation there). Within a micro-batch documents are ordered by ``doc_id``.
+    aggregation there). Within a micro-batch documents are ordered by ``doc_id``; ``ordered``
+    says that ``encode_fn`` leaves them range-partitioned by it (see ``corpus.by_document``).
     """
     def sink(mb: DataFrame, batch_id: int) -> None:
         spark = mb.sparkSession
@@ -127,7 +130,7 @@ def stream_pack(stream: DataFrame, out: str, state_dir: str, checkpoint: str,
         enc = encode_fn(mb) if encode_fn is not None else mb
         # the rows with offsets are written once, and both outputs read them
         with scratch_removed(spark):
-            blocks, new_carry = pack_micro_batch(enc, carry, block, batch)
+            blocks, new_carry = pack_micro_batch(enc, carry, block, batch, ordered)
             blocks.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
             new_carry.write.mode("overwrite").parquet(
                 os.path.join(state_dir, "carry", f"batch_id={batch_id}"))

@@ -235,3 +235,29 @@ def test_train_stream_goes_on_where_it_stopped(spark, tmpdir_path):
     assert total() == 48
     streams.train_stream(stream(), path, ckpt, vocab, block=8, batch=3)
     assert total() == 48
+
+
+def test_a_delivery_of_many_files_is_one_micro_batch(spark, tmpdir_path, monkeypatch):
+    """Whatever the order in which the tasks' files were finished, and however many they are."""
+    from spindle.plans import catalog
+    rows = [(i * 7919 % 600, " ".join(f"w{(i * j) % 97}" for j in range(60))) for i in range(600)] + [(None, "no id " * 50)]
+    (spark.createDataFrame(rows, "doc_id bigint, text string").repartition(12).write.parquet(f"{tmpdir_path}/documents.parquet"))
+    batches, run = [], streams.run_to_end
+    monkeypatch.setattr(streams, "run_to_end", lambda df, sink, ckpt: run(
+        df, lambda mb, b: (batches.append((b, mb.count())), sink(mb, b)), ckpt))
+    got = catalog.q_stream_pack(spark, tmpdir_path).collect()
+    assert [b for b, _ in batches] == list(range(catalog.STREAM_FILES)) and sum(n for _, n in batches) == 601
+    assert sorted(got) == sorted(catalog.q_drop_remainder(spark, tmpdir_path).collect()) != []
+
+
+def test_packing_ordered_rows_leaves_them_where_they_are(spark):
+    from spindle.sources import corpus
+    rows = [(None, [1, 2]), (-5, [3]), (-5, [3]), *((i, [i] * (i % 4)) for i in range(40))]
+    enc = spark.createDataFrame(rows, "doc_id bigint, ids array<int>")
+    carry = spark.createDataFrame([(3, 7, [91, 92, 93])], streams.CARRY_SCHEMA)
+    want = streams.pack_micro_batch(enc, carry, block=4, batch=2)
+    got = streams.pack_micro_batch(corpus.by_document(enc, "doc_id"), carry, block=4, batch=2, ordered=True)
+    for a, b in zip(want, got):
+        assert sorted(a.collect()) == sorted(b.collect()) != []
+    with pytest.raises(ValueError, match="ranges"):
+        streams.pack_micro_batch(enc.repartition(4, "ids"), carry, block=4, batch=2, ordered=True)
