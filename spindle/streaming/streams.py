@@ -23,7 +23,7 @@ from spindle import constants as C
 from spindle.operators import codec, ngram, packing
 from spindle.operators.codec import Vocab
 from spindle.session import scratch_removed
-from spindle.sources import sinks
+from spindle.sources import corpus, sinks
 
 CARRY_SCHEMA = "batch_id bigint, next_step bigint, leftover array<int>"
 
@@ -155,7 +155,9 @@ def train_sink(model_path: str, state_dir: str, base: int, vocab: Vocab, block:
         spark = mb.sparkSession
         with scratch_removed(spark):
             carry = _latest_carry(spark, state_dir, batch_id)
-            blocks, new_carry = pack_micro_batch(codec.encode(mb, vocab), carry, block, batch)
+            # the text is put in order, and encoded once: ranges are drawn from what moves
+            enc = codec.encode(corpus.by_document(mb, "doc_id"), vocab)
+            blocks, new_carry = pack_micro_batch(enc, carry, block, batch, ordered=True)
             delta = ngram.train_ngrams(blocks, vocab.n_ids(), vocab=digest)
             sinks.append_model(delta, model_path, base + batch_id, vocab)
             new_carry.write.mode("overwrite").parquet(os.path.join(state_dir, "carry", f"batch_id={batch_id}"))
