@@ -1,5 +1,7 @@
 """Completion invariants on sf0.001 and sparse top-k = dense chain."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +166,36 @@ def test_a_step_sorts_no_lists_and_draws_by_running_totals(spark, gen):
     for r in got:
         assert r._next == r.tokens[min(np.searchsorted(np.cumsum(r.probs), r.u, side="right"), sum(p > 0 for p in r.probs) - 1)]
         assert abs(sum(r.probs) - 1) < 1e-12 and r.ids[-1] not in [t for t, p in zip(r.tokens, r.probs) if p > 0]
+
+
+def test_dense_scores_travel_as_lists(spark, gen, monkeypatch):
+    """No row an entry of a list is moved, a last id that all share is dealt to many rows, and
+    sequences that share an id add up what they met, as ever."""
+    v, model, tables, prompts, blocked = gen
+    monkeypatch.setattr(G, "DENSE_TOGETHER", 4)
+    some = prompts.filter(F.size("ids") > 2).limit(8)
+    last = some.first().ids[-1]
+    alike = some.select("seq_id", F.concat(F.slice("ids", -3, 2), F.array(F.lit(last))).alias("ids"))
+    rows = alike.unionByName(alike.limit(1).select(F.lit("short").alias("seq_id"), F.array(F.lit(last)).alias("ids"))).localCheckpoint()
+    met = G._followers(G._context(rows, tables, G.GenConfig()), tables, [], G.GenConfig())
+    assert 1 < met.count() and met.selectExpr("sum(size(s))").first()[0] == 9
+    n3, n2 = ({(*r[:-1],): r[-1] for r in t.collect()} for t in (tables.n3, tables.n2))
+    n1 = {r.token_id: r.n1 for r in tables.uni.collect()}
+    got = {(r.seq_id, r.token_id): r.score for r in G.next_token_scores(rows, tables, decimals=6).collect()}
+    assert len(got) == 9 * tables.n_ids
+    for r in rows.collect():
+        u, e = r.ids[-2] if len(r.ids) > 1 else None, r.ids[-1]
+        t3, t2 = (sum(n for k, n in t.items() if k[:-1] == c) for t, c in ((n3, (u, e)), (n2, (e,))))
+        for w in range(0, tables.n_ids, 7):
+            parts = [(0.0, 0.0) if not t3 else (G.LAMBDAS[0] * n3.get((u, e, w), 0) / t3, G.LAMBDAS[0]),
+                     (0.0, 0.0) if not t2 else (G.LAMBDAS[1] * n2.get((e, w), 0) / t2, G.LAMBDAS[1]),
+                     (G.LAMBDAS[2] * n1[w] / tables.t1, G.LAMBDAS[2]), (G.LAMBDAS[3] / tables.n_ids, G.LAMBDAS[3])]
+            assert abs(got[r.seq_id, w] - math.log(sum(p for p, _ in parts) / sum(d for _, d in parts))) < 6e-7
+
+
+def test_scores_are_rounded_as_spark_rounds(spark):
+    import numpy as np
+    rnd = np.random.default_rng(5)
+    x = np.concatenate([-rnd.random(5000) * 20, np.round(-rnd.random(2000) * 9, 6) - 5e-7, [-0.0000005, -1.0000015, -2.5e-7, 0.0, -1e-9, -0.1234565]])
+    want = [r[0] for r in spark.createDataFrame([(i, float(a)) for i, a in enumerate(x)], "i int, a double").orderBy("i").select(F.round("a", 6)).collect()]
+    assert [repr(a) for a in G._rounded(x, 6).tolist()] == [repr(a + 0.0) for a in want]
